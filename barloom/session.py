@@ -19,6 +19,9 @@ def local_session(cpus: str = "*", partitions: int = 8, **conf: str) -> SparkSes
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Wide window projections exceed the size the JVM compiles; below this limit Spark
+        # splits them into small methods instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
