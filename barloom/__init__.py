@@ -1 +1,8 @@
 """barloom: daily market-bar analytics expressed as Spark DataFrame jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

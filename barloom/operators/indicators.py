@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from barloom.functions.series import (
     TYPICAL_PRICE,
     SeriesWindow,
-    add_columns,
     full,
     ratio,
     true_range,
@@ -40,6 +39,7 @@ from barloom.operators.recurrence import (
     span_alpha,
     wilder_alpha,
 )
+from barloom.operators.stages import Stages
 
 Plain = Mapping[str, str]
 Windowed = Callable[[SeriesWindow], Mapping[str, str]]
@@ -504,27 +504,31 @@ def compute(
     w = blocked.window
     one, two = BlockScan(blocked, scans, "s1"), BlockScan(blocked, scans2, "s2")
 
-    def stage(part: str) -> dict[str, str]:
+    def plain(part: str) -> dict[str, str]:
         return _merged([getattr(i, part) for i in indicators])
 
     def windows(part: str) -> dict[str, str]:
         return _merged([getattr(i, part)(w) for i in indicators])
 
-    df = add_columns(blocked.df, stage("base"))
-    df = add_columns(df, windows("near") | one.start() | two.start())
-    df = add_columns(df, stage("derived"))
-    df = add_columns(df, stage("derived_more"))
-    df = add_columns(df, windows("far") | one.positions())
-    df = add_columns(df, stage("middle"))
-    df = add_columns(df, one.gaps())
-    df = add_columns(df, one.scale())
-    df = one.finish(add_columns(df, one.sums()))
-    df = add_columns(df, stage("derived2"))
-    df = add_columns(df, windows("far2") | two.positions())
-    df = add_columns(df, two.gaps())
-    df = add_columns(df, two.scale())
-    df = two.finish(add_columns(df, two.sums()))
-    df = add_columns(df, stage("final"))
+    stages = Stages(blocked.df)
+    stages.add(plain("base"))
+    stages.add(windows("near") | one.start() | two.start())
+    stages.add(plain("derived"))
+    stages.add(plain("derived_more"))
+    stages.add(windows("far") | one.positions())
+    stages.add(plain("middle"))
+    stages.add(one.gaps())
+    stages.add(one.scale())
+    stages.add(one.sums())
+    stages = one.finish(stages)
+    stages.add(plain("derived2"))
+    stages.add(windows("far2") | two.positions())
+    stages.add(two.gaps())
+    stages.add(two.scale())
+    stages.add(two.sums())
+    stages = two.finish(stages)
+    stages.add(plain("final"))
+    df = stages.df
     if blocked.split:
         df = df.where(f"NOT {HALO}")
     outputs = dict.fromkeys(o for i in indicators for o in i.outputs)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import add_columns
 from barloom.operators.blocks import BLOCK, BLOCK_ROWS, Blocked, split_series
+from barloom.operators.stages import Stages
 
 # Where nulls can occur in a scanned column: nowhere, only before its first value, or anywhere.
 NEVER, LEADING, ANYWHERE = "never", "leading", "anywhere"
@@ -162,12 +163,6 @@ class BlockScan:
             f"CASE WHEN {gap} > 1 THEN pow({_num(1 - s.alpha)}, {gap}) + {_num(s.alpha)} ELSE 1D END"
         )
 
-    def local(self, df: DataFrame) -> DataFrame:
-        """All layers, for a caller without window columns of its own."""
-        for layer in (self.start, self.positions, self.gaps, self.scale, self.sums):
-            df = add_columns(df, layer())
-        return df
-
     def summaries(self, local: DataFrame) -> DataFrame:
         """One row per (series, block, scan) from the last row of every block."""
         w, key = self.w, self.b.key
@@ -226,13 +221,13 @@ class BlockScan:
         ]
         return states.groupBy(self.b.key, F.col("c.blk").alias(BLOCK)).agg(*picks)
 
-    def finish(self, local: DataFrame) -> DataFrame:
-        """Replace the helper columns by the scans' output columns, on the same rows."""
+    def finish(self, stages: Stages) -> Stages:
+        """Add the scans' output columns to stages that end with the three layers."""
         if not self.scans:
-            return local
-        df = local
+            return stages
         if self.b.split:
-            df = local.join(self.carries(local), [self.b.key, BLOCK], "left")
+            local = stages.df
+            stages = Stages(local.join(self.carries(local), [self.b.key, BLOCK], "left"))
         out: dict[str, str] = {}
         for s in self.scans:
             y = self._n(s, "y")
@@ -248,9 +243,8 @@ class BlockScan:
             if s.min_periods > 1:
                 y = f"CASE WHEN {seen} >= {s.min_periods} THEN {y} END"
             out[s.out] = y
-        prefix = f"_{self.level}_"
-        kept = [f"`{c}`" for c in df.columns if not c.startswith(prefix)]
-        return df.selectExpr(*kept, *[f"{sql} AS `{name}`" for name, sql in out.items()])
+        stages.add(out)
+        return stages
 
 
 def ewm(
@@ -264,5 +258,8 @@ def ewm(
     rows = block_rows_for(scans, rows)
     blocked = split_series(df, halo=0, rows=rows, key=key, order=order)
     scan = BlockScan(blocked, scans, "s")
-    out = scan.finish(scan.local(blocked.df))
+    stages = Stages(blocked.df)
+    for layer in (scan.start, scan.positions, scan.gaps, scan.scale, scan.sums):
+        stages.add(layer())
+    out = scan.finish(stages).df
     return out.select(*df.columns, *[s.out for s in scan.scans])

@@ -22,6 +22,9 @@ def local_session(cpus: str = "*", partitions: int = 8, **conf: str) -> SparkSes
         # Wide window projections exceed the size the JVM compiles; below this limit Spark
         # splits them into small methods instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # A plan of all indicators has more generated classes than the default cache of 100
+        # holds, so that every task would compile them again.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -13,47 +13,48 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.clean import drop_no_data, keep_wellformed_rows
+from barloom.functions.clean import keep_wellformed_rows
 
-_ROW_SCHEMA = (
-    "page_id bigint, table_no int, row_no int, section string, n_data int,"
-    " cells array<string>, tight array<string>"
-)
+_ROW = "struct<row_no: int, section: string, n_data: int, cells: array<string>, tight: array<string>>"
+_SCHEMA = f"page_id bigint, tables array<array<{_ROW}>>"
+_NONE = "no data found|no record found"
 
 
 class _Tables(HTMLParser):
-    """Collects every table row: table, row, section, number of td cells and the cell texts.
+    """Collects the tables of a page as lists of rows.
 
-    Texts come in two forms: stripped as a whole, and with every text node stripped (tight).
-
-    Cells of a table inside another table are read as rows of the inner table.
+    A row has its number in the table, its section (thead, tbody, tfoot or none), the number
+    of its td cells and the cell texts in two forms: stripped as a whole, and with every text
+    node stripped (tight). Cells of a table inside another table are rows of the inner table.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[list] = []
-        self.tables = 0
-        self.open: list[list] = []  # per open table: number, rows so far, section
-        self.cells: list[str] | None = None
+        self.tables: list[list[dict]] = []
+        self.open: list[list] = []  # per open table: its rows, the current section
+        self.row: dict | None = None
         self.text: list[str] | None = None
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
             self._close_row()
-            self.open.append([self.tables, 0, ""])
-            self.tables += 1
+            self.tables.append([])
+            self.open.append([self.tables[-1], ""])
         elif not self.open:
             return
         elif tag in ("thead", "tbody", "tfoot"):
             self._close_row()
-            self.open[-1][2] = tag
+            self.open[-1][1] = tag
         elif tag == "tr":
             self._close_row()
-            self.cells, self.tight, self.n_data = [], [], 0
-        elif tag in ("td", "th") and self.cells is not None:
+            rows, section = self.open[-1]
+            self.row = {
+                "row_no": len(rows) + 1, "section": section, "n_data": 0, "cells": [], "tight": []
+            }
+        elif tag in ("td", "th") and self.row is not None:
             self._close_cell()
             self.text = []
-            self.n_data += tag == "td"
+            self.row["n_data"] += tag == "td"
 
     def handle_endtag(self, tag):
         if not self.open:
@@ -64,7 +65,7 @@ class _Tables(HTMLParser):
             self._close_row()
         elif tag in ("thead", "tbody", "tfoot"):
             self._close_row()
-            self.open[-1][2] = ""
+            self.open[-1][1] = ""
         elif tag == "table":
             self._close_row()
             self.open.pop()
@@ -80,37 +81,36 @@ class _Tables(HTMLParser):
 
     def _close_cell(self):
         if self.text is not None:
-            self.cells.append("".join(self.text).strip())
-            self.tight.append("".join(t.strip() for t in self.text))
+            self.row["cells"].append("".join(self.text).strip())
+            self.row["tight"].append("".join(t.strip() for t in self.text))
             self.text = None
 
     def _close_row(self):
         self._close_cell()
-        if self.cells is not None:
-            table = self.open[-1]
-            table[1] += 1
-            self.rows.append([table[0], table[1], table[2], self.n_data, self.cells, self.tight])
-            self.cells = None
+        if self.row is not None:
+            self.open[-1][0].append(self.row)
+            self.row = None
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        out = []
-        for page_id, html in zip(batch["page_id"], batch["html"]):
+        found = []
+        for html in batch["html"]:
             parser = _Tables()
             parser.feed(html or "")
             parser.close()
-            out.extend([page_id, *row] for row in parser.rows)
-        yield pd.DataFrame(
-            out,
-            columns=["page_id", "table_no", "row_no", "section", "n_data", "cells", "tight"],
-        )
+            found.append(parser.tables)
+        yield pd.DataFrame({"page_id": batch["page_id"], "tables": found})
+
 
+def page_tables(pages: DataFrame) -> DataFrame:
+    """The tables of each page that has any: (page_id, tables), each table an array of rows.
 
-def table_rows(pages: DataFrame) -> DataFrame:
-    """Every row of every table of the pages. Pages without a table are filtered in the scan."""
+    A page is one value already, so its tables stay together: everything that needs a whole
+    page is an array expression, and no step shuffles.
+    """
     with_table = pages.where(F.col("html").rlike("(?i)<table")).select("page_id", "html")
-    return with_table.mapInPandas(_parse, _ROW_SCHEMA)
+    return with_table.mapInPandas(_parse, _SCHEMA).where("size(tables) > 0")
 
 
 def extract_table(pages: DataFrame) -> DataFrame:
@@ -119,16 +119,16 @@ def extract_table(pages: DataFrame) -> DataFrame:
     A page without a data row after the header, or whose single data row says that there is
     no data, has no rows.
     """
-    rows = table_rows(pages).where("table_no = 0")
-    filled = (
-        rows.groupBy("page_id")
-        .agg(F.count_if(F.expr("row_no > 1 AND n_data > 0")).alias("n"))
-        .where("n > 0")
-        .select("page_id")
+    first = page_tables(pages).selectExpr(
+        "page_id",
+        "tables[0] AS rows",
+        "filter(tables[0], r -> r.row_no > 1 AND r.n_data > 0) AS data",
+    )
+    says_none = f"size(data) = 1 AND exists(data[0].cells, c -> lower(c) RLIKE '{_NONE}')"
+    kept = first.where(f"size(data) > 0 AND NOT ({says_none})")
+    return kept.selectExpr("page_id", "inline(rows)").where("size(cells) > 0").select(
+        "page_id", "row_no", "cells"
     )
-    kept = rows.join(filled, "page_id", "left_semi").where("size(cells) > 0")
-    kept = drop_no_data(kept, data="row_no > 1 AND n_data > 0")
-    return kept.select("page_id", "row_no", "cells")
 
 
 def extract_tables_union(pages: DataFrame) -> DataFrame:
@@ -137,22 +137,27 @@ def extract_tables_union(pages: DataFrame) -> DataFrame:
     (page_id, table_no, row_no, header, cells); rows with another number of cells are left
     out, and so are tables with another header, without a head or without a body.
     """
-    rows = table_rows(pages).withColumn("cells", F.col("tight")).drop("tight")
-    heads = (
-        rows.where("section = 'thead'")
-        .groupBy("page_id", "table_no")
-        .agg(F.min_by("cells", "row_no").alias("head"))
+    # The head cells of a table are the th cells of all its head rows.
+    head = "flatten(transform(filter(t, r -> r.section = 'thead'), r -> r.tight))"
+    headed = page_tables(pages).selectExpr(
+        "page_id",
+        f"transform(tables, (t, i) -> struct(i AS table_no, {head} AS head, t AS rows)) AS tables",
     )
-    # One entry per table of a page; the earliest table with a header gives it to the page.
-    firsts = (
-        heads.where("size(head) > 0").groupBy("page_id").agg(F.min_by("head", "table_no").alias("header"))
+    named = headed.selectExpr(
+        "page_id", "tables", "filter(tables, t -> size(t.head) > 0)[0].head AS header"
+    ).where("header IS NOT NULL")
+    fitting = (
+        "transform(filter(t.rows, r -> r.section = 'tbody' AND r.n_data = size(header)"
+        " AND size(r.tight) = size(header)), r -> struct(t.table_no, r.row_no, r.tight AS cells))"
     )
-    tables = heads.join(firsts, "page_id").where("head = header").drop("head")
-    body = rows.where("section = 'tbody'").join(tables, ["page_id", "table_no"])
-    body = keep_wellformed_rows(body.where("n_data = size(cells)"))
-    return drop_no_data(body, data="true").select(
-        "page_id", "table_no", "row_no", "header", "cells"
+    body = named.selectExpr(
+        "page_id",
+        "header",
+        f"flatten(transform(filter(tables, t -> t.head = header), t -> {fitting})) AS body",
     )
+    says_none = f"size(body) = 1 AND exists(body[0].cells, c -> lower(c) RLIKE '{_NONE}')"
+    rows = body.where(f"NOT ({says_none})").selectExpr("page_id", "header", "inline(body)")
+    return rows.select("page_id", "table_no", "row_no", "header", "cells")
 
 
 def extract_records(pages: DataFrame) -> DataFrame:
@@ -161,12 +166,10 @@ def extract_records(pages: DataFrame) -> DataFrame:
     Rows with fewer cells than the header are left out and extra cells are cut off; of equal
     headers the last one wins.
     """
-    rows = table_rows(pages).where("table_no = 0")
-    # Header and rows of a page come out of one parse, so only the small header is joined.
-    headers = rows.where("row_no = 1").select("page_id", F.col("cells").alias("header"))
-    data = keep_wellformed_rows(
-        rows.where("row_no > 1 AND n_data = size(cells)").join(headers, "page_id"), at_least=True
-    ).where("size(header) > 0")
+    rows = page_tables(pages).selectExpr(
+        "page_id", "tables[0][0].cells AS header", "inline(slice(tables[0], 2, size(tables[0])))"
+    )
+    data = keep_wellformed_rows(rows.where("n_data = size(cells) AND size(header) > 0"), at_least=True)
     last = F.filter(
         F.transform("header", lambda h, i: F.struct(h.alias("key"), i.alias("at"))),
         lambda e: ~F.array_contains(F.slice("header", e["at"] + 2, F.size("header")), e["key"]),
