@@ -774,7 +774,16 @@ def read_top10_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_top10_report(spark, path).select("security_name", "symbol", "rank", "value")
 
 
-@query("to_json_document")
+_RECORD_SQL = """'{"Name":"' || n_name || '","Region":"' || r_name || '"}'"""
+
+
+@query(
+    "to_json_document",
+    f"""select '{{"scraping_info":{{"source_url":"https://example.org/listing",'
+        || '"scraped_at":"2024-01-01T00:00:00","total_companies":' || count(*) || '}},"companies":['
+        || string_agg({_RECORD_SQL}, ',' order by {_RECORD_SQL}) || ']}}' as document
+    from nation join region on n_regionkey = r_regionkey""",
+)
 def to_json_document_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing of all nations as one document."""
     nations = table(spark, sf_dir, "nation").join(

@@ -121,10 +121,10 @@ def extract_table(pages: DataFrame) -> DataFrame:
     """
     first = page_tables(pages).selectExpr(
         "page_id",
-        "tables[0] AS rows",
-        "filter(tables[0], r -> r.row_no > 1 AND r.n_data > 0) AS data",
+        "get(tables, 0) AS rows",
+        "filter(get(tables, 0), r -> r.row_no > 1 AND r.n_data > 0) AS data",
     )
-    says_none = f"size(data) = 1 AND exists(data[0].cells, c -> lower(c) RLIKE '{_NONE}')"
+    says_none = f"size(data) = 1 AND exists(get(data, 0).cells, c -> lower(c) RLIKE '{_NONE}')"
     kept = first.where(f"size(data) > 0 AND NOT ({says_none})")
     return kept.selectExpr("page_id", "inline(rows)").where("size(cells) > 0").select(
         "page_id", "row_no", "cells"
@@ -144,7 +144,7 @@ def extract_tables_union(pages: DataFrame) -> DataFrame:
         f"transform(tables, (t, i) -> struct(i AS table_no, {head} AS head, t AS rows)) AS tables",
     )
     named = headed.selectExpr(
-        "page_id", "tables", "filter(tables, t -> size(t.head) > 0)[0].head AS header"
+        "page_id", "tables", "get(filter(tables, t -> size(t.head) > 0), 0).head AS header"
     ).where("header IS NOT NULL")
     fitting = (
         "transform(filter(t.rows, r -> r.section = 'tbody' AND r.n_data = size(header)"
@@ -155,7 +155,7 @@ def extract_tables_union(pages: DataFrame) -> DataFrame:
         "header",
         f"flatten(transform(filter(tables, t -> t.head = header), t -> {fitting})) AS body",
     )
-    says_none = f"size(body) = 1 AND exists(body[0].cells, c -> lower(c) RLIKE '{_NONE}')"
+    says_none = f"size(body) = 1 AND exists(get(body, 0).cells, c -> lower(c) RLIKE '{_NONE}')"
     rows = body.where(f"NOT ({says_none})").selectExpr("page_id", "header", "inline(body)")
     return rows.select("page_id", "table_no", "row_no", "header", "cells")
 
@@ -167,7 +167,9 @@ def extract_records(pages: DataFrame) -> DataFrame:
     headers the last one wins.
     """
     rows = page_tables(pages).selectExpr(
-        "page_id", "tables[0][0].cells AS header", "inline(slice(tables[0], 2, size(tables[0])))"
+        "page_id",
+        "get(get(tables, 0), 0).cells AS header",
+        "inline(slice(get(tables, 0), 2, size(get(tables, 0))))",
     )
     data = keep_wellformed_rows(rows.where("n_data = size(cells) AND size(header) > 0"), at_least=True)
     last = F.filter(
