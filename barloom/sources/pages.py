@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +17,15 @@ from barloom.functions.clean import keep_wellformed_rows
 
 _ROW = "struct<row_no: int, section: string, n_data: int, cells: array<string>, tight: array<string>>"
 _SCHEMA = f"page_id bigint, tables array<array<{_ROW}>>"
+_ARROW_ROW = pa.struct(
+    [
+        ("row_no", pa.int32()),
+        ("section", pa.string()),
+        ("n_data", pa.int32()),
+        ("cells", pa.list_(pa.string())),
+        ("tight", pa.list_(pa.string())),
+    ]
+)
 _NONE = "no data found|no record found"
 
 
@@ -92,15 +101,16 @@ class _Tables(HTMLParser):
             self.row = None
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for html in batch["html"]:
+        for html in batch.column("html").to_pylist():
             parser = _Tables()
             parser.feed(html or "")
             parser.close()
             found.append(parser.tables)
-        yield pd.DataFrame({"page_id": batch["page_id"], "tables": found})
+        tables = pa.array(found, type=pa.list_(pa.list_(_ARROW_ROW)))
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), tables], ["page_id", "tables"])
 
 
 def page_tables(pages: DataFrame) -> DataFrame:
@@ -110,7 +120,7 @@ def page_tables(pages: DataFrame) -> DataFrame:
     page is an array expression, and no step shuffles.
     """
     with_table = pages.where(F.col("html").rlike("(?i)<table")).select("page_id", "html")
-    return with_table.mapInPandas(_parse, _SCHEMA).where("size(tables) > 0")
+    return with_table.mapInArrow(_parse, _SCHEMA).where("size(tables) > 0")
 
 
 def extract_table(pages: DataFrame) -> DataFrame:

@@ -20,8 +20,12 @@ def frames(x: pd.Series, n: int) -> np.ndarray:
     return out
 
 
-def measures(bars: pd.DataFrame) -> pd.DataFrame:
-    """``bars``: the rows of one symbol in date order."""
+def measures(bars: pd.DataFrame, callbacks: bool = False) -> pd.DataFrame:
+    """``bars``: the rows of one symbol in date order.
+
+    With ``callbacks`` the mean deviation and the slope call a function per frame, the plain
+    way to write them in pandas; otherwise they are array operations over all frames.
+    """
     bars = bars.reset_index(drop=True)
     o = bars[["date", "symbol"]].copy()
     c, h, lo, v = (bars[k].astype(float) for k in ("close", "high", "low", "vol"))
@@ -47,6 +51,8 @@ def measures(bars: pd.DataFrame) -> pd.DataFrame:
     o["stoch_d"] = pd.Series(frames(o["stoch_k"], 3).mean(axis=1))
     f = frames(typical, 20)
     off = np.abs(f - f.mean(axis=1, keepdims=True)).mean(axis=1)
+    if callbacks:
+        off = typical.rolling(20).apply(lambda x: np.abs(x - x.mean()).mean(), raw=True).to_numpy(copy=True)
     off[f.max(axis=1) == f.min(axis=1)] = np.nan
     o["cci_20"] = (typical - f.mean(axis=1)) / (0.015 * off)
     o["momentum_5"] = c / c.shift(5) - 1
@@ -55,6 +61,8 @@ def measures(bars: pd.DataFrame) -> pd.DataFrame:
     x = np.arange(20) - 9.5
     f = frames(c, 20)
     o["slope_20"] = (f - f[:, :1]) @ x / (x @ x)
+    if callbacks:
+        o["slope_20"] = c.rolling(20).apply(lambda y: np.polyfit(x, y, 1)[0], raw=True)
     o["bb_upper"] = f.mean(axis=1) + 2 * f.std(axis=1)
     o["bb_lower"] = f.mean(axis=1) - 2 * f.std(axis=1)
     rate = 100 * (c / c.shift(12) - 1)
