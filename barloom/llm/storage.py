@@ -6,12 +6,17 @@ ranges, which pyarrow's file systems give for local paths, HDFS and object store
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 import types
 
+import pyarrow
 from pyarrow import fs
 
+#: The C library's name for the size from which arrays are mapped on their own.
+_MMAP_THRESHOLD = -3
+
 
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a URI and the path in it; ``file:/x`` and plain paths are local."""
@@ -38,3 +43,20 @@ def worker_state(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, for tables worth keeping across tasks."""
     holder = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))
     return holder.__dict__.setdefault(name, {})
+
+
+def return_memory() -> None:
+    """From now on this worker's large arrays go back to the system when they are freed.
+
+    By default the C library keeps freed arrays of growing sizes for later, and a worker that handles
+    many groups grows far beyond what any of them needs. Where the library has no such switch,
+    nothing changes.
+    """
+    state = worker_state("memory")
+    if not state:
+        state["done"] = True
+        try:
+            ctypes.CDLL(None).mallopt(_MMAP_THRESHOLD, 1 << 18)
+        except (OSError, AttributeError):
+            pass
+    pyarrow.default_memory_pool().release_unused()

@@ -24,16 +24,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.loser_tree import front_code, merge
-from barloom.llm.storage import open_store
+from barloom.llm.storage import open_store, return_memory
 from barloom.session import new_folder, written
 
 MIN_BYTES, GRAM_BYTES = 50, 20
 #: Rows are stored in groups of about this many bytes; a group is a run.
-RUN_BYTES = 32 << 20
+RUN_BYTES = 8 << 20
 #: Windows hashed at a time, and windows sorted at a time.
-BLOCK, SORT = 1 << 20, 1 << 19
-#: Bytes of text per bucket of the exchanges.
-BUCKET_BYTES = 256 << 20
+BLOCK, SORT = 1 << 18, 1 << 18
+#: Bytes of text per bucket of the exchanges. A run sends every bucket a row, so both sizes should
+#: grow with the executors' memory where the input is very large.
+BUCKET_BYTES = 8 << 20
+#: Windows whose anchor lies this far inside, and the bytes left and right of the anchor that all
+#: of them hold: equal windows agree there.
+_ZONES = ((22, 31, 22, 0), (15, 22, 15, 9), (8, 15, 8, 16), (0, 8, 0, 23))
 
 _FLAG, _ENTRY, _OPEN, _SORTED = 0, 1, 2, 3
 _BASE = 0x9E3779B97F4A7C15
@@ -60,6 +64,8 @@ class Hasher:
     """Window hashes and anchors of a buffer of texts, block by block."""
 
     def __init__(self, size: int = MIN_BYTES, gram: int = GRAM_BYTES):
+        if size - gram != MIN_BYTES - GRAM_BYTES:
+            raise ValueError(f"size - gram must be {MIN_BYTES - GRAM_BYTES}, which the zones divide")
         self.size, self.gram = size, gram
         self.power, self.inverse = _powers(BLOCK + size + 1)
 
@@ -71,12 +77,15 @@ class Hasher:
         return _mix((sums[end] - sums[begin]) * self.inverse[begin])
 
     def anchors(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-        """Runs of windows with one anchor: ``pos``, ``n`` (windows), ``key``, ``joint``, ``doc``.
+        """Runs of windows with one anchor: ``pos``, ``n`` (windows), ``off`` (of the anchor), ``key``,
+        ``joint``, ``doc``.
 
-        ``offsets`` are the texts' bounds in ``data``; no window crosses them.
+        ``joint`` holds 10 bits for the bytes that the windows of each zone share around the anchor
+        (0: no window there) and 16 for all bytes of the windows. ``offsets`` are the texts' bounds in
+        ``data``; no window crosses them.
         """
         size, gram = self.size, self.gram
-        out: dict[str, list[np.ndarray]] = {k: [] for k in ("pos", "n", "key", "joint", "doc")}
+        out: dict[str, list[np.ndarray]] = {k: [] for k in ("pos", "n", "off", "key", "joint", "doc")}
         for begin in range(0, max(len(data) - size + 1, 0), BLOCK):
             part = data[begin : begin + BLOCK + size - 1]
             sums = self.sums(part)
@@ -98,10 +107,19 @@ class Hasher:
             first = np.flatnonzero(new)
             pos, n = whole[first], np.diff(np.r_[first, len(whole)])
             anchor = at[pos]
+            off = anchor - pos
             joint = self.of(sums, pos, pos + n - 1 + size)
-            joint = _mix(joint + (n * 64 + (anchor - pos)).astype(np.uint64))
-            for k, v in (("pos", pos + begin), ("n", n), ("key", grams[anchor]), ("joint", joint), ("doc", doc[pos])):
-                out[k].append(v)
+            joint = _mix(joint + (n * 64 + off).astype(np.uint64)) >> np.uint64(48)
+            for z, (least_off, most_off, left, right) in enumerate(_ZONES):
+                has = (off >= least_off) & (off - n + 1 < most_off)
+                a = np.where(has, anchor - left, 0)
+                zone = self.of(sums, a, np.where(has, anchor + gram + right, 1)) >> np.uint64(54) | np.uint64(1)
+                joint |= np.where(has, zone, np.uint64(0)) << np.uint64(16 + 10 * z)
+            # Least hashes crowd at the low end; mixed once more, they deal out evenly.
+            key = _mix(grams[anchor] + np.uint64(_BASE))
+            found = {"pos": pos + begin, "n": n, "off": off, "key": key, "joint": joint, "doc": doc[pos]}
+            for k, v in found.items():
+                out[k].append(v.astype(np.int32) if k in ("n", "off", "doc") else v)
         return {k: np.concatenate(v) if v else np.zeros(0, np.uint64 if k in ("key", "joint") else np.int64) for k, v in out.items()}
 
 
@@ -191,6 +209,7 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
     """Step 1, per run: anchors seen first here go to their bucket, later copies are flagged."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return_memory()
         hasher = Hasher(size, gram)
         for file in (f for b in batches for f in b["file"]):
             for group in range(_groups(paths[file])):
@@ -199,19 +218,19 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
                 doc = keys[found["doc"]]
                 order = np.lexsort((doc, found["joint"], found["key"]))
                 key, joint, doc = found["key"][order], found["joint"][order], doc[order]
-                pos, n = found["pos"][order], found["n"][order]
+                pos, n, off = found["pos"][order], found["n"][order], found["off"][order]
+                del found, order
                 least = _least(_starts(key, joint), doc)
                 rows = []
                 if (late := doc > least).any():
                     rows.append((file % buckets, file, group, _FLAG, _flags(pos[late], n[late], size)))
-                key, joint, doc, pos, n = (x[~late] for x in (key, joint, doc, pos, n))
+                key, joint, doc, pos, n, off = (x[~late] for x in (key, joint, doc, pos, n, off))
                 bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(cuts)):
                     s = slice(cuts[b], cuts[b + 1])
-                    # 48 bits of the joint hash beside 64 of the key.
-                    joint48 = joint[s] >> np.uint64(16)
-                    rows.append((int(b), file, group, _ENTRY, pack({"key": key[s], "joint": joint48, "doc": doc[s], "pos": pos[s], "n": n[s]})))
+                    blob = pack({"key": key[s], "joint": joint[s], "doc": doc[s], "pos": pos[s], "shape": n[s] * 64 + off[s]})
+                    rows.append((int(b), file, group, _ENTRY, blob))
                 yield pd.DataFrame(rows, columns=["bucket", "file", "grp", "kind", "data"])
 
     return find
@@ -219,33 +238,56 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
 
 def _settle(size: int):
     """Step 1, per bucket: flags windows with equal joint bytes in a smaller document, and leaves
-    those open whose anchor has other joint bytes in another document."""
+    open the zones that share the anchor and the bytes around it with another document."""
+    names = ["key", "joint", "doc", "pos", "shape"]
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        return_memory()
         out = [(r.file, r.grp, _FLAG, r.data) for r in rows.itertuples() if r.kind == _FLAG]
-        runs = [r for r in rows.itertuples() if r.kind == _ENTRY]
-        if runs:
-            parts = [unpack(r.data, ["key", "joint", "doc", "pos", "n"]) for r in runs]
-            run = np.repeat(np.arange(len(runs)), [len(p["key"]) for p in parts])
-            key, joint, doc, pos, n = (np.concatenate([p[k] for p in parts]) for k in ("key", "joint", "doc", "pos", "n"))
-            doc = doc.astype(np.int64)
-            order = np.lexsort((doc, joint, key))
-            key, joint, doc, pos, n, run = (x[order] for x in (key, joint, doc, pos, n, run))
-            new_key, new = _starts(key), _starts(key, joint)
-            least = _least(new, doc)
-            late = doc > least
-            # Open: the anchor's groups have not all the same least document.
-            begin = np.flatnonzero(new_key)
-            several = np.minimum.reduceat(least, begin) < np.maximum.reduceat(least, begin)
-            still = several[np.cumsum(new_key) - 1] & ~late
-            for kind, chosen in ((_FLAG, late), (_OPEN, still)):
-                where = np.flatnonzero(chosen)
-                where = where[np.argsort(run[where], kind="stable")]
-                cuts = np.searchsorted(run[where], np.arange(len(runs) + 1))
-                for k in np.flatnonzero(np.diff(cuts)):
-                    w = where[cuts[k] : cuts[k + 1]]
-                    blob = _flags(pos[w], n[w], size) if kind == _FLAG else pack({"pos": pos[w], "n": n[w]})
-                    out.append((runs[k].file, runs[k].grp, kind, blob))
+        runs = [(r.file, r.grp) for r in rows.itertuples() if r.kind == _ENTRY]
+        parts = [unpack(r.data, names) for r in rows.itertuples() if r.kind == _ENTRY]
+        if not parts:
+            return pd.DataFrame(out, columns=["file", "grp", "kind", "data"])
+        run = np.repeat(np.arange(len(runs), dtype=np.int32), [len(p["key"]) for p in parts])
+        key, joint, doc, pos, shape = (np.concatenate([p.pop(k) for p in parts]) for k in names)
+        doc = doc.astype(np.int64)
+        order = np.lexsort((doc, joint, key))
+        key, joint, doc, pos, shape, run = (x[order] for x in (key, joint, doc, pos.astype(np.int64), shape.astype(np.int32), run))
+        new_key, new = _starts(key), _starts(key, joint)
+        least = _least(new, doc)
+        late = doc > least
+        n, off = shape >> 6, shape & 63
+
+        def emit(kind: int, at: np.ndarray, begin: np.ndarray, count: np.ndarray) -> None:
+            by_run = np.argsort(run[at], kind="stable")
+            at, begin, count = at[by_run], begin[by_run], count[by_run]
+            cuts = np.searchsorted(run[at], np.arange(len(runs) + 1))
+            for k in np.flatnonzero(np.diff(cuts)):
+                s = slice(cuts[k], cuts[k + 1])
+                blob = _flags(begin[s], count[s], size) if kind == _FLAG else pack({"pos": begin[s], "n": count[s]})
+                out.append((*runs[k], kind, blob))
+
+        at = np.flatnonzero(late)
+        emit(_FLAG, at, pos[at], n[at])
+        # Open: the anchor occurs with other bytes in another document ...
+        begin = np.flatnonzero(new_key)
+        several = np.minimum.reduceat(least, begin) < np.maximum.reduceat(least, begin)
+        still = np.flatnonzero(several[np.cumsum(new_key) - 1] & ~late)
+        # ... and so do the bytes that the windows of a zone share.
+        for z, (least_off, most_off, _, _) in enumerate(_ZONES):
+            zone = joint[still] >> np.uint64(16 + 10 * z) & np.uint64(1023)
+            at, zone = still[zone > 0], zone[zone > 0]
+            if not len(at):
+                continue
+            order = np.lexsort((zone, key[at]))
+            at, zone = at[order], zone[order]
+            group = _starts(key[at], zone)
+            begin = np.flatnonzero(group)
+            shared = np.minimum.reduceat(least[at], begin) < np.maximum.reduceat(least[at], begin)
+            at = at[shared[np.cumsum(group) - 1]]
+            # Windows of the zone: the anchor's place in them falls from ``off`` by one each.
+            skip = np.maximum(off[at] - most_off + 1, 0)
+            emit(_OPEN, at, pos[at] + skip, np.minimum(n[at], off[at] - least_off + 1) - skip)
         return pd.DataFrame(out, columns=["file", "grp", "kind", "data"])
 
     return settle
@@ -255,6 +297,7 @@ def _sort_open(paths: list[str], buckets: int, size: int, gram: int):
     """Step 2, per run: the open windows as sorted, front-coded strings by bucket."""
 
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
+        return_memory()
         file, group = int(rows["file"].iloc[0]), int(rows["grp"].iloc[0])
         data, offsets, keys, _ = _read(paths[file], group)
         parts = [unpack(d, ["pos", "n"]) for d in rows["data"]]
@@ -301,6 +344,7 @@ def _merge_bucket(size: int):
     """Step 3, per bucket: merges the runs and flags strings that a smaller document holds."""
 
     def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        return_memory()
         out = [(r.file, r.grp, _FLAG, r.data) for r in rows.itertuples() if r.kind == _FLAG]
         runs = [r for r in rows.itertuples() if r.kind == _SORTED]
         heads, rests = [], []
@@ -338,6 +382,7 @@ def _cut(paths: list[str], content: bool):
     """Per file: every text without its flagged bytes."""
 
     def cut(rows: pd.DataFrame) -> pd.DataFrame:
+        return_memory()
         file = int(rows["file"].iloc[0])
         flagged: dict[int, list[bytes]] = {}
         for g, d in zip(rows["grp"], rows["data"]):
@@ -351,8 +396,8 @@ def _cut(paths: list[str], content: bool):
                 spans = unpack(blob, ["begin", "end"])
                 np.add.at(edge, spans["begin"].astype(np.int64), 1)
                 np.add.at(edge, spans["end"].astype(np.int64), -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            total = np.r_[0, np.cumsum(gone)]
+            gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
+            total = np.concatenate((np.zeros(1, np.int32), np.cumsum(gone, dtype=np.int32)))
             removed = total[offsets[1:]] - total[offsets[:-1]]
             out = {"begins": [], "ends": [], "sha": [], "kept": []}
             for a, b, r in zip(offsets[:-1].tolist(), offsets[1:].tolist(), removed.tolist()):
@@ -422,9 +467,9 @@ def remove_repeats(
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     files = spark.createDataFrame([(i,) for i in range(len(paths))], "file int").repartition(max(len(paths), 1), "file")
     entries = files.mapInPandas(_entries(paths, buckets, size, gram), _ROW)
-    first = written(entries.groupBy("bucket").applyInPandas(_settle(size), _FOUND), "settled")
+    first = written(entries.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_settle(size), _FOUND), "settled")
     runs = first.where(F.col("kind") == _OPEN).groupBy("file", "grp").applyInPandas(_sort_open(paths, buckets, size, gram), _ROW)
-    second = runs.groupBy("bucket").applyInPandas(_merge_bucket(size), _FOUND)
+    second = runs.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge_bucket(size), _FOUND)
     flags = first.where(F.col("kind") == _FLAG).unionByName(second).select("file", "grp", "data")
     every = files.select("file", F.lit(None).cast("int").alias("grp"), F.lit(None).cast("binary").alias("data"))
     return flags.unionByName(every).groupBy("file").applyInPandas(_cut(paths, content), _CUT).withColumnRenamed("key", key)
