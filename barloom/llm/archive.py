@@ -1,14 +1,15 @@
 """Web archives packed in ZIP files, read by byte ranges (operator 7).
 
-A package holds one stored member ``archive/data.warc`` with the records back to back and one
-stored member ``indexes/index.cdx`` with a line per record: page key, offset, length, payload
-digest. The reader finds both members through the central directory, with its ZIP64 fields, and
+A package holds one stored member ``archive/data.warc.gz``, every record a gzip member of its own,
+back to back, and one stored member ``indexes/index.cdx`` with a line per record: page key, offset,
+length, payload digest. The reader finds both members through the central directory, with its ZIP64 fields, and
 reads index and records by their byte ranges; nothing is extracted.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from barloom.llm.storage import open_store, write_once
 from barloom.session import new_folder, written
 
-WARC_MEMBER, INDEX_MEMBER = "archive/data.warc", "indexes/index.cdx"
+WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdx"
 #: A package is closed after this many bytes of records.
 PACKAGE_BYTES = 64 << 20
 #: Bytes of records or index lines a reading task asks the store for at a time.
@@ -201,7 +202,8 @@ def write_archives(
                             refers = None if pd.isna(r.refers_to) else str(int(r.refers_to))
                             digest = payload_digest(r.payload)
                             line_url = (r.url or "").replace("\r", "").replace("\n", "")
-                            data = warc_record(key, line_url, r.payload, digest, int(r.size), refers)
+                            record = warc_record(key, line_url, r.payload, digest, int(r.size), refers)
+                            data = gzip.compress(record, 6, mtime=0)
                             member.write(data)
                             index.append(json.dumps({"page": key, "offset": at, "length": len(data), "digest": digest}))
                             at += len(data)
@@ -251,7 +253,7 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
                     data = f.read_at(int(sum(row.lengths)), int(row.at))
                 out, pos = [], 0
                 for n in row.lengths:
-                    out.append(_row(parse_record(data[pos : pos + n])))
+                    out.append(_row(parse_record(gzip.decompress(data[pos : pos + n]))))
                     pos += n
                 yield pd.DataFrame(out, columns=["page", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]).astype(
                     {"page": "Int64", "refers_to": "Int64"}
