@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.components import components
+from barloom.llm.storage import return_memory
 from barloom.session import written
 
 SHINGLE_WORDS = 5
@@ -144,6 +145,7 @@ def _forest(linked: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return_memory()
     for batch in batches:
         grams = [shingles(t) for t in batch["_text"]]
         yield pd.DataFrame(
@@ -197,6 +199,7 @@ def _compare(threshold: float, tolerance: float):
     looks = least_matches(threshold, tolerance)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return_memory()
         rows = (row for b in batches for row in b.itertuples(index=False, name=None))
         done: list[tuple] = []
         for _, group in groupby(rows, key=lambda r: r[:3]):

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.storage import worker_state
+from barloom.llm.storage import return_memory, worker_state
 
 #: The mark that stands for a blank in pieces.
 MARK = "▁"
@@ -314,6 +314,7 @@ def encode_documents(
     sent = df.sparkSession.sparkContext.broadcast(tuple(load_model(model_path)))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return_memory()
         encoder = _encoder(sent, model_path)
         for keys, texts in _chunks(batches):
             ids = encoder.encode(texts)
