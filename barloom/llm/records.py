@@ -14,6 +14,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.checksum import crc32c_many, masked
-from barloom.llm.storage import open_store, worker_state, write_once
+from barloom.llm.storage import open_store, return_memory, worker_state, write_once
 from barloom.session import new_folder, written
 
 _HEAD, _TAIL, _PREFIX = 12, 4, 12
@@ -36,34 +37,61 @@ READ_BYTES = 16 << 20
 _UNSAFE = re.compile(r"\s \s|\s \Z")
 
 
-def encode_texts(texts: list[str], tokenizer, remembered: dict[str, bytes], dtype: str) -> list[bytes]:
+class Tokens(NamedTuple):
+    """A worker's tokenizer, its memory of words, the type of an id, and every token's bytes."""
+
+    tokenizer: object
+    words: dict[str, bytes]
+    dtype: str
+    sizes: np.ndarray
+
+
+def encode_texts(texts: list[str], tokens: Tokens) -> list[bytes]:
     """Ids of every whole text as bytes.
 
     A blank after a non-blank always starts a new pre-token, so the words between such blanks are
     encoded on their own, each distinct one once per worker. Texts with runs of white space that
     such a cut would change go to the tokenizer whole.
     """
-    ids = lambda e: np.asarray(e.ids, dtype).tobytes()
-    out: list[bytes | None] = [None] * len(texts)
-    whole = [i for i, t in enumerate(texts) if _UNSAFE.search(t)]
-    for i, e in zip(whole, tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False)):
-        out[i] = ids(e)
-    cut = {i: texts[i].replace(" ", "\0 ").split("\0") for i, o in enumerate(out) if o is None and "\0" not in texts[i]}
-    for i, o in enumerate(out):
-        if o is None and i not in cut:  # a text with the mark itself
-            out[i] = ids(tokenizer.encode(texts[i], add_special_tokens=False))
-    new = list({w for words in cut.values() for w in words if w not in remembered})
-    if len(remembered) + len(new) > MAX_REMEMBERED:
-        remembered.clear()
-        new = list({w for words in cut.values() for w in words})
-    for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-        remembered[w] = ids(e)
-    for i, words in cut.items():
-        out[i] = b"".join([remembered[w] for w in words])
+    whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t) or "\0" in t}
+    cut = [[] if i in whole else t.replace(" ", "\0 ").split("\0") for i, t in enumerate(texts)]
+    if len(tokens.words) > MAX_REMEMBERED:
+        tokens.words.clear()
+    _remember(list(set().union(*cut) - tokens.words.keys()), tokens)
+    known = tokens.words.__getitem__
+    out = [b"".join(map(known, words)) for words in cut]
+    for i in whole:
+        out[i] = _ids(tokens, texts[i]).tobytes()
     return out
 
 
-def load_tokenizer(path: str):
+def _ids(tokens: Tokens, text: str) -> np.ndarray:
+    return np.asarray(tokens.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, tokens.dtype)
+
+
+def _remember(words: list[str], tokens: Tokens) -> None:
+    """Encodes new words: those that begin with a blank and hold no other white space at their
+    borders as one text, cut again by the bytes of its tokens; all others one by one."""
+    plain = [w for w in words if len(w) > 1 and w[0] == " " and not w[1].isspace() and not w[-1].isspace()]
+    for lo in range(0, len(plain), 4096):
+        group = plain[lo : lo + 4096]
+        ids = _ids(tokens, "".join(group))
+        ends = np.cumsum(tokens.sizes[ids])
+        want = np.cumsum([len(w.encode()) for w in group])
+        at = np.searchsorted(ends, want)
+        if not len(ends) or ends[-1] != want[-1] or not np.array_equal(ends[at], want):
+            continue  # its tokens are no bytes of the text: one by one
+        data, width = ids.tobytes(), ids.itemsize
+        last = 0
+        for w, end in zip(group, ((at + 1) * width).tolist()):
+            tokens.words[w] = data[last:end]
+            last = end
+    for w in words:
+        if w not in tokens.words:
+            tokens.words[w] = _ids(tokens, w).tobytes()
+
+
+def load_tokenizer(path: str) -> Tokens:
     """The tokenizer of a file, kept by the worker; special tokens in texts are ordinary text."""
     kept = worker_state("tokenizers")
     if path not in kept:
@@ -75,7 +103,9 @@ def load_tokenizer(path: str):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        kept[path] = (tokenizer, {}, width)
+        # A token of a byte-level vocabulary is written with one character per byte.
+        sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
+        kept[path] = Tokens(tokenizer, {}, width, sizes)
     return kept[path]
 
 
@@ -126,7 +156,9 @@ def write_records(
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        tokenizer, remembered, dtype = load_tokenizer(tokenizer_path)
+        return_memory()
+        tokens_of = load_tokenizer(tokenizer_path)
+        dtype = tokens_of.dtype
         end = np.asarray([end_id], dtype).tobytes()
         width = np.dtype(dtype).itemsize
         part = TaskContext.get().partitionId()
@@ -137,7 +169,7 @@ def write_records(
             for keys, texts in _chunks(batches):
                 payloads = [
                     struct.pack("<qBBH", 0 if k is None else k, k is None, width, 0) + e + end
-                    for k, e in zip(keys, encode_texts(texts, tokenizer, remembered, dtype))
+                    for k, e in zip(keys, encode_texts(texts, tokens_of))
                 ]
                 data, offsets = frame(payloads)
                 tokens = np.array([(len(p) - _PREFIX) // width for p in payloads], np.int64)
