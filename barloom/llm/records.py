@@ -29,7 +29,9 @@ _HEAD, _TAIL, _PREFIX = 12, 4, 12
 #: Texts are encoded and records framed in batches of about this many characters.
 BATCH_CHARS = 4_000_000
 #: Distinct words whose ids a worker remembers.
-MAX_REMEMBERED = 1_000_000
+MAX_REMEMBERED = 1_500_000
+#: New words encoded as one text; the tokenizer is slower per word on longer ones.
+JOINED_WORDS = 64
 #: Bytes a reading task asks the store for at a time.
 READ_BYTES = 16 << 20
 
@@ -73,8 +75,8 @@ def _remember(words: list[str], tokens: Tokens) -> None:
     """Encodes new words: those that begin with a blank and hold no other white space at their
     borders as one text, cut again by the bytes of its tokens; all others one by one."""
     plain = [w for w in words if len(w) > 1 and w[0] == " " and not w[1].isspace() and not w[-1].isspace()]
-    for lo in range(0, len(plain), 4096):
-        group = plain[lo : lo + 4096]
+    for lo in range(0, len(plain), JOINED_WORDS):
+        group = plain[lo : lo + JOINED_WORDS]
         ids = _ids(tokens, "".join(group))
         ends = np.cumsum(tokens.sizes[ids])
         want = np.cumsum([len(w.encode()) for w in group])
