@@ -387,7 +387,8 @@ def newest_first_until_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # A document is a file, its lines are rows of one cell.
 _PRINTS_SQL = """
 lines as (select doc_id, unnest(string_split(text, chr(10))) as line from documents),
-hashed as (select doc_id, md5(regexp_replace(line, '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g')) as h from lines),
+trimmed as (select doc_id, regexp_replace(line, '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g') as c from lines),
+hashed as (select doc_id, md5(length(c) || ':' || c) as h from trimmed),
 sums as (select doc_id, count(*) as n_rows,
            sum(cast('0x' || substr(h, 1, 8) as bigint)) as a, sum(cast('0x' || substr(h, 9, 8) as bigint)) as b,
            sum(cast('0x' || substr(h, 17, 8) as bigint)) as c, sum(cast('0x' || substr(h, 25, 8) as bigint)) as d

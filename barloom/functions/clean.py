@@ -36,7 +36,8 @@ HEADER_IDENTIFIERS = {
 
 def strip(c: Column) -> Column:
     """Remove white space of any kind at both ends; ``trim`` would remove spaces only."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    white = r"[\s\p{Z}\x1c-\x1f\x85]+"
+    return F.regexp_replace(c, f"^{white}|{white}$", "")
 
 
 def _lookup(c: Column, names: Mapping[str, tuple[str, ...]], otherwise: Column) -> Column:

@@ -103,7 +103,8 @@ def split_series(
         raise ValueError("a block must be longer than its halo")
     # Said once here, it is the same filter in every branch that reads the blocks, and the
     # branches can share one shuffle.
-    df = df.where(F.col(key).isNotNull())
+    # A row without a date has no place in a series, whether the series is split or not.
+    df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
     longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     if (longest or 0) <= rows:
         return Blocked(df, key, order, False)

@@ -14,8 +14,9 @@ then pruned from the rows that the later Window nodes copy.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import DataFrame
 
@@ -79,16 +80,62 @@ class Indicator:
 
 
 def _merged(parts: Sequence[Mapping[str, str]]) -> dict[str, str]:
-    # Equal names mean equal definitions: every helper name carries its parameters.
-    return {name: sql for part in parts for name, sql in part.items()}
+    """All columns of the parts; one name with two definitions would give a wrong result."""
+    out: dict[str, str] = {}
+    for part in parts:
+        for name, sql in part.items():
+            if out.setdefault(name, sql) != sql:
+                raise ValueError(f"two indicators define {name!r} differently; use renamed() on one of them")
+    return out
+
+
+def renamed(indicator: Indicator, suffix: str) -> Indicator:
+    """The indicator with ``suffix`` on its output names, and on helpers that go by no parameter.
+
+    So two instances whose columns would have the same names can be computed together.
+    """
+    own = [*indicator.outputs, *[n for n in _BARE_HELPERS if _mentions(indicator, n)]]
+    names = re.compile(rf"(?<![\w])({'|'.join(map(re.escape, sorted(own, key=len, reverse=True)))})(?![\w])")
+    # A lag of a renamed column carries the column's name in its own.
+    lags = re.compile(rf"(_lag\d+_)({'|'.join(map(re.escape, sorted(own, key=len, reverse=True)))})(?![\w])")
+
+    def text(sql: str) -> str:
+        return names.sub(rf"\1{suffix}", lags.sub(rf"\1\2{suffix}", sql))
+
+    def plain(part: Plain) -> Plain:
+        return {text(name): text(sql) for name, sql in part.items()}
+
+    def scan(s: Scan) -> Scan:
+        return replace(s, out=text(s.out), x=text(s.x))
+
+    changes = {}
+    for f in fields(indicator):
+        value = getattr(indicator, f.name)
+        if f.name in ("near", "far", "far2"):
+            changes[f.name] = lambda w, part=value: plain(part(w))
+        elif f.name in ("scans", "scans2"):
+            changes[f.name] = tuple(map(scan, value))
+        elif f.name == "outputs":
+            changes[f.name] = tuple(map(text, value))
+        elif f.name != "history":
+            changes[f.name] = plain(value)
+    return replace(indicator, **changes)
+
+
+#: Helper columns whose names carry no parameter although their definitions depend on one.
+_BARE_HELPERS = ("_dx",)
+
+
+def _mentions(indicator: Indicator, name: str) -> bool:
+    return name in indicator.derived2
 
 
 # -- shared columns -------------------------------------------------------------------
 
 
 def _nullable(column: str) -> bool:
-    # A series has a close on every row; other columns may have gaps.
-    return column != "close"
+    # Any column may have gaps: a close that is text or not a number is null after the cast.
+    return True
 
 
 def _nulls(column: str, otherwise: str = NEVER) -> str:
@@ -499,6 +546,7 @@ def compute(
     """One row per row of ``series`` (unique on key and order): the keys and all outputs."""
     scans = [s for i in indicators for s in i.scans]
     scans2 = [s for i in indicators for s in i.scans2]
+    _merged([{s.out: repr(s)} for s in scans + scans2])
     halo = max([i.history for i in indicators], default=0)
     blocked = split_series(series, halo, block_rows_for(scans + scans2, rows), key, order)
     w = blocked.window

@@ -21,7 +21,9 @@ def write_table_csv(
     named = rows.select(
         "date", *[F.col(f"`{c}`").alias((headers or {}).get(c, c)) for c in rows.columns if c != "date"]
     )
-    named.hint("rebalance", "date").write.mode(mode).partitionBy("date").option("header", True).csv(path)
+    named.hint("rebalance", "date").write.mode(mode).partitionBy("date").option("header", True).option(
+        "escape", '"'
+    ).csv(path)
 
 
 def to_json_document(records: DataFrame, source: str, at: datetime, record: str = "record") -> DataFrame:

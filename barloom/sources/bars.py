@@ -19,24 +19,9 @@ from barloom.functions.clean import (
 )
 from barloom.operators.dedupe import dedupe_bars
 from barloom.schema import INDEX_BARS, INDEX_HEADERS, STOCK_BARS, STOCK_HEADERS, align_to_schema
+from barloom.sources.csv_files import read_cells
 
 SERIES_MEASURES = ("open", "high", "low", "close", "ltp", "vol")
-MAX_CELLS = 40
-
-
-def read_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV rows as (file, cells), every cell a string, with the header rows still in place."""
-    schema = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
-    raw = (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("ignoreLeadingWhiteSpace", False)
-        .csv(path)
-    )
-    # File paths are URL-encoded in the metadata column.
-    file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    return raw.select(file.alias("file"), F.array(*[f"c{i}" for i in range(MAX_CELLS)]).alias("cells"))
 
 
 def _by_header(cells: DataFrame, marker: tuple[str, ...], names: Mapping[str, str]) -> DataFrame:
@@ -60,7 +45,7 @@ def _by_header(cells: DataFrame, marker: tuple[str, ...], names: Mapping[str, st
         .agg(*[F.max(position(c)).cast("int").alias(f"_p_{c}") for c in columns])
     )
     data = rows.where(~is_header).join(headers, "file")
-    cell = {c: F.expr(f"CASE WHEN _p_{c} IS NOT NULL THEN cells[_p_{c} - 1] END") for c in columns}
+    cell = {c: F.expr(f"CASE WHEN _p_{c} IS NOT NULL THEN get(cells, _p_{c} - 1) END") for c in columns}
     return data.select("file", *[v.alias(c) for c, v in cell.items()])
 
 

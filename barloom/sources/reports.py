@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.clean import parse_number, strip
-
-_MAX_CELLS = 16
+from barloom.sources.csv_files import read_cells
 
 
 def read_top10_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -16,15 +15,9 @@ def read_top10_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     The letterhead, the header row and blank filler columns vary between years, but a ranked
     row always starts with its number, followed by name, symbol and value.
     """
-    schema = ", ".join(f"c{i} string" for i in range(_MAX_CELLS))
-    raw = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.csv"
-    ).csv(path)
-    cells = F.filter(
-        F.array(*[strip(F.col(f"c{i}")) for i in range(_MAX_CELLS)]),
-        lambda c: c.isNotNull() & (c != ""),
-    )
-    rows = raw.select(F.col("_metadata.file_path").alias("file"), cells.alias("cells"))
+    trimmed = F.transform("cells", lambda c: strip(c))
+    filled = F.filter(trimmed, lambda c: c.isNotNull() & (c != ""))
+    rows = read_cells(spark, path).select("file", filled.alias("cells"))
     ranked = rows.where("size(cells) >= 4 AND cells[0] RLIKE '^[0-9]+$'")
     return ranked.select(
         "file",

@@ -15,28 +15,24 @@ from barloom.operators.blocks import BLOCK_ROWS
 from barloom.plans.incremental import compute_all_indicators
 from barloom.schema import INDICATORS, KEYS, STOCK_BARS
 from barloom.sinks.tables import read_table, write_new_dates, write_upsert
-from barloom.sources.bars import MAX_CELLS, load_series, stock_rows, stock_table
+from barloom.sources.bars import load_series, stock_rows, stock_table
+from barloom.sources.csv_files import cells_of, stream_files
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_ingest(spark: SparkSession, files: str, table: str, checkpoint: str) -> StreamingQuery:
+def stream_ingest(
+    spark: SparkSession, files: str, table: str, checkpoint: str, files_per_batch: int = 1000
+) -> StreamingQuery:
     """Load stock files that arrive below ``files`` into the bar table, each file once.
 
-    The stream's checkpoint remembers the files; dates the table holds are skipped.
+    The stream's checkpoint remembers the files; dates the table holds are skipped. A backlog is
+    taken in batches of ``files_per_batch``.
     """
-    schema = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
-    raw = (
-        spark.readStream.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(files)
-        .select("*", F.col("_metadata.file_path").alias("path"))
-    )
+    raw = stream_files(spark, files, files_per_batch)
 
     def load(batch: DataFrame, _: int) -> None:
-        cells = F.array(*[f"c{i}" for i in range(MAX_CELLS)]).alias("cells")
-        rows = stock_rows(batch.select(F.col("path").alias("file"), cells))
+        rows = stock_rows(cells_of(batch))
         write_new_dates(stock_table(rows), table, STOCK_BARS)
 
     return (

@@ -20,6 +20,11 @@ def frames(x: pd.Series, n: int) -> np.ndarray:
     return out
 
 
+def _spread(frame: np.ndarray) -> float:
+    """Mean distance from the mean: twice the excess over it, shared out."""
+    return 2 * np.maximum(frame - np.mean(frame), 0).sum() / frame.size
+
+
 def measures(bars: pd.DataFrame, callbacks: bool = False) -> pd.DataFrame:
     """``bars``: the rows of one symbol in date order.
 
@@ -31,7 +36,9 @@ def measures(bars: pd.DataFrame, callbacks: bool = False) -> pd.DataFrame:
     c, h, lo, v = (bars[k].astype(float) for k in ("close", "high", "low", "vol"))
     before = c.shift()
     move = c - before
-    reach = pd.DataFrame({0: h - lo, 1: (h - before).abs(), 2: (lo - before).abs()}).max(axis=1)
+    # The day's range, stretched to yesterday's close where there is one.
+    whole = h.notna() & lo.notna()
+    reach = (np.fmax(h, before) - np.fmin(lo, before)).where(whole, (h.fillna(lo) - before).abs())
     typical = (h + lo + c) / 3
     shift = typical - typical.shift()
 
@@ -52,7 +59,7 @@ def measures(bars: pd.DataFrame, callbacks: bool = False) -> pd.DataFrame:
     f = frames(typical, 20)
     off = np.abs(f - f.mean(axis=1, keepdims=True)).mean(axis=1)
     if callbacks:
-        off = typical.rolling(20).apply(lambda x: np.abs(x - x.mean()).mean(), raw=True).to_numpy(copy=True)
+        off = typical.rolling(20).apply(_spread, raw=True).to_numpy(copy=True)
     off[f.max(axis=1) == f.min(axis=1)] = np.nan
     o["cci_20"] = (typical - f.mean(axis=1)) / (0.015 * off)
     o["momentum_5"] = c / c.shift(5) - 1
@@ -81,11 +88,12 @@ def measures(bars: pd.DataFrame, callbacks: bool = False) -> pd.DataFrame:
     mean_reach = frames(reach, 22).mean(axis=1)
     o["chandelier_long"], o["chandelier_short"] = top[22] - 3 * mean_reach, low[22] + 3 * mean_reach
 
-    o["obv"] = (v * np.sign(move).fillna(0)).cumsum()
+    o["obv"] = pd.Series(np.select([move > 0, move < 0], [v, -v], 0.0)).where(v.notna()).cumsum()
     flow = typical * v
     gain, loss = (frames(flow.where(m, 0.0), 14).sum(axis=1) for m in (shift > 0, shift < 0))
     loss[loss == 0] = np.nan
     o["mfi_14"] = pd.Series(100 - 100 / (1 + gain / loss)).fillna(50)
-    force = v * np.where(shift > 0, 1, -1) * shift.abs()
+    # The size of a move carries its sign already; a first row has no move and no force.
+    force = v * shift
     o["kvo"] = smooth(force, 2 / 35) - smooth(force, 2 / 56)
     return o[["date", "symbol", *INDICATOR_COLUMNS]]

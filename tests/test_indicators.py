@@ -1,5 +1,7 @@
 """Indicators and the weighted mean against pandas, in one block and in many."""
 
+import datetime
+from pyspark.sql import functions as F
 import math
 import random
 from datetime import date, timedelta
@@ -149,3 +151,49 @@ def test_weighted_mean_with_gaps(spark, alpha, rows_per_block):
 def test_block_length_limit():
     assert block_rows_for([Ewm("y", "x", 0.9)], 4096) == 249
     assert block_rows_for([Ewm("y", "x", 0.001)], 4096) == 4096
+
+
+def _closes(spark, values, symbol="A"):
+    rows = [(symbol, datetime.date(2020, 1, 1) + datetime.timedelta(days=i), str(v)) for i, v in enumerate(values)]
+    names = "symbol string, date date, close string"
+    cols = [F.col("close").alias(c) for c in ("open", "high", "low", "ltp", "vol")]
+    return spark.createDataFrame(rows, names).select("*", *cols)
+
+
+def test_closes_that_are_no_numbers(spark):
+    closes = [100 + (i * 7) % 13 for i in range(60)]
+    for bad in ("NaN", "n/a"):
+        values = [bad if i == 20 else c for i, c in enumerate(closes)]
+        got = I.compute(load_series(_closes(spark, values)), [I.ema(9), I.sma(5)]).orderBy("date").toPandas()
+        want = pd.Series([np.nan if v == bad else v for v in values], dtype=float)
+        np.testing.assert_allclose(got["ema_9"], want.ewm(span=9, adjust=False).mean(), rtol=1e-9)
+        np.testing.assert_allclose(got["sma_5"].astype(float), want.rolling(5).mean(), rtol=1e-9)
+
+
+def test_two_instances_of_one_indicator(spark):
+    series = load_series(_closes(spark, [100 + (i * 7) % 13 for i in range(80)]))
+    pairs = [
+        (I.adx(14), I.adx(5)), (I.macd(), I.macd(5, 10, 4)), (I.bollinger(20), I.bollinger(10)), (I.sma(5), I.sma(5, "high")),
+    ]
+    for one, two in pairs:
+        with pytest.raises(ValueError):
+            I.compute(series, [one, two])
+        both = I.compute(series, [one, I.renamed(two, "_b")]).orderBy("date").toPandas()
+        alone = I.compute(series, [two]).orderBy("date").toPandas()
+        first = I.compute(series, [one]).orderBy("date").toPandas()
+        for name in two.outputs:
+            np.testing.assert_allclose(both[name + "_b"].astype(float), alone[name].astype(float))
+        for name in one.outputs:
+            np.testing.assert_allclose(both[name].astype(float), first[name].astype(float))
+
+
+def test_rows_without_a_date_leave_the_split_alone(spark):
+    series = load_series(_closes(spark, [100 + i % 9 for i in range(600)]))
+    stray = spark.createDataFrame([("A", None)] , "symbol string, date date").select(
+        "date", "symbol", *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "ltp", "vol")]
+    )
+    mixed = series.unionByName(stray)
+    whole = I.compute(mixed, [I.sma(5)]).orderBy("date").toPandas()
+    split = I.compute(mixed, [I.sma(5)], rows=200).orderBy("date").toPandas()
+    assert len(whole) == len(split) == 600
+    np.testing.assert_allclose(whole["sma_5"].astype(float), split["sma_5"].astype(float))

@@ -13,7 +13,8 @@ from barloom.operators import dedupe as D
 from barloom.plans.incremental import ingest_today, run_backfill, run_daily
 from barloom.schema import INDEX_BARS, INDICATORS, STOCK_BARS, align_to_schema
 from barloom.sinks import exports, tables
-from barloom.sources.bars import read_cells, read_index_bars, read_stock_bars, stock_table
+from barloom.sources.bars import read_index_bars, read_stock_bars, stock_table
+from barloom.sources.csv_files import read_cells
 from barloom.sources.files import file_hash
 from barloom.sources.pages import extract_records, extract_table, extract_tables_union
 from barloom.sources.reports import read_top10_report
@@ -76,19 +77,19 @@ def test_empty_days_share_a_fingerprint(spark, tmp_path):
 
 def test_index_files(spark, tmp_path):
     d = tmp_path / "index"
-    write(d, "2020_01_01.csv", "Index,Current,Point Change,% Change,Turnover", 'Main Index,"1,169.50",3.47,0.30,"372,988,301.00"')
+    write(d, "2020_01_01.csv", "Index,Current,Point Change,% Change,Turnover", 'Main Index,"2,500.25",12.5,0.75,"987,654.00"')
     write(d, "2020_01_02.csv", "index,current,point_change,pct_change,turnover", "Main Index,n/a,1,2,")
     one, two = read_index_bars(spark, str(d)).orderBy("date").collect()
-    assert (one["current"], one["turnover"], one["_corrupt"]) == (1169.5, 372988301.0, False)
+    assert (one["current"], one["turnover"], one["_corrupt"]) == (2500.25, 987654.0, False)
     assert (two["current"], two["point_change"], two["turnover"], two["_corrupt"]) == (None, 1, None, True)
 
 
 def test_top10_report(spark, tmp_path):
     d = tmp_path / "reports"
-    write(d, "a.csv", '.,"Exchange', 'City",,', ",,,", "S.N.,SECURITY_NAME,SYMBOL,AMOUNT", "1,First Ltd,FST,20441.97", "2,Second Ltd,SCD,15153.2")
-    write(d, "b.csv", "Unnamed,,Exchange,,,,", "S.N. ,Name ,,,Symbol,,Amount", "1,Third  Ltd,,,TRD,,65322.8")
+    write(d, "a.csv", '.,"Exchange', 'City",,', ",,,", "S.N.,SECURITY_NAME,SYMBOL,AMOUNT", "1,First Ltd,FST,9000.5", "2,Second Ltd,SCD,8000.25")
+    write(d, "b.csv", "Unnamed,,Exchange,,,,", "S.N. ,Name ,,,Symbol,,Amount", "1,Third  Ltd,,,TRD,,7000.75")
     got = [tuple(r)[1:] for r in read_top10_report(spark, str(d)).orderBy("file", "rank").collect()]
-    assert got == [(1, "First Ltd", "FST", 20441.97), (2, "Second Ltd", "SCD", 15153.2), (1, "Third  Ltd", "TRD", 65322.8)]
+    assert got == [(1, "First Ltd", "FST", 9000.5), (2, "Second Ltd", "SCD", 8000.25), (1, "Third  Ltd", "TRD", 7000.75)]
 
 
 def test_pages(spark):
@@ -219,3 +220,32 @@ def test_streams(spark, tmp_path):
         stream_indicators(spark, bars, out, str(tmp_path / "c2")).awaitTermination()
     # The second delivery of a date is skipped.
     assert stored(spark, out) == {("AAA", date(2024, 1, 2)): 10, ("AAA", date(2024, 1, 3)): pytest.approx(10.2)}
+
+
+def test_wide_and_quoted_files(spark, tmp_path):
+    d = tmp_path / "wide"
+    wide = [f"c{i}" for i in range(60)]
+    write(d, "a.csv", ",".join(wide), ",".join(["x"] * 59 + ["one"]))
+    write(d, "b.csv", ",".join(wide), ",".join(["x"] * 59 + ["two"]))
+    write(d, "c.csv", "Symbol,Close", "A,1")
+    write(d, "d.csv", "Symbol,Close,,", "A,1,,")
+    write(d, "e.csv", 'Symbol,Note', '"say ""hi"", x",7', '"two\nlines",8')
+    cells = read_cells(spark, str(d))
+    assert cells.selectExpr("max(size(cells)) AS n").first()["n"] == 60
+    assert D.content_fingerprint(cells).select("fingerprint").distinct().count() == 5
+    rows = {tuple(r["cells"]) for r in cells.where("file LIKE '%e.csv'").collect()}
+    assert rows == {("Symbol", "Note"), ('say "hi", x', "7"), ("two\nlines", "8")}
+
+
+def test_written_csv_reads_back(spark, tmp_path):
+    import csv
+    import datetime
+
+    from barloom.sinks.exports import write_table_csv
+
+    note = 'a "b", c'
+    df = spark.createDataFrame([(datetime.date(2024, 1, 2), note, 1)], "date date, note string, n int")
+    write_table_csv(df, str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").glob("*/*.csv")
+    with open(file, newline="") as f:
+        assert list(csv.reader(f)) == [["note", "n"], [note, "1"]]
