@@ -94,7 +94,7 @@ def zip_members(f) -> list[Member]:
     size = f.size()
     tail_at = max(0, size - (22 + 65535))
     tail = f.read_at(size - tail_at, tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    end = tail.rfind(b"PK\x05\x06", 0, max(len(tail) - 18, 0))
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:

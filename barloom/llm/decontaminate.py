@@ -55,7 +55,7 @@ def best_match(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
     plus, minus, distance = full, 0, m
-    best = None
+    best = (0, m) if m <= errors else None
     for j, c in enumerate(text):
         equal = masks.get(c, 0)
         vertical = equal | minus
