@@ -29,7 +29,7 @@ _HEAD, _TAIL, _PREFIX = 12, 4, 12
 #: Texts are encoded and records framed in batches of about this many characters.
 BATCH_CHARS = 4_000_000
 #: Distinct words whose ids a worker remembers.
-MAX_REMEMBERED = 1_500_000
+MAX_REMEMBERED = 2_000_000
 #: New words encoded as one text; the tokenizer is slower per word on longer ones.
 JOINED_WORDS = 64
 #: Bytes a reading task asks the store for at a time.
@@ -55,13 +55,18 @@ def encode_texts(texts: list[str], tokens: Tokens) -> list[bytes]:
     encoded on their own, each distinct one once per worker. Texts with runs of white space that
     such a cut would change go to the tokenizer whole.
     """
-    whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t) or "\0" in t}
-    cut = [[] if i in whole else t.replace(" ", "\0 ").split("\0") for i, t in enumerate(texts)]
+    whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t)}
+    cut = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
     if len(tokens.words) > MAX_REMEMBERED:
         tokens.words.clear()
-    _remember(list(set().union(*cut) - tokens.words.keys()), tokens)
+    # Words are remembered as they stand after a blank; a text's first word goes by a name that no
+    # word can have, with a blank before it.
+    firsts = [" " + words.pop(0) if words else "" for words in cut]
+    new = set().union(*cut)
+    new.update(firsts)
+    _remember(list(new - tokens.words.keys()), tokens)
     known = tokens.words.__getitem__
-    out = [b"".join(map(known, words)) for words in cut]
+    out = [known(f) + b"".join(map(known, words)) if f else b"" for f, words in zip(firsts, cut)]
     for i in whole:
         out[i] = _ids(tokens, texts[i]).tobytes()
     return out
@@ -72,9 +77,9 @@ def _ids(tokens: Tokens, text: str) -> np.ndarray:
 
 
 def _remember(words: list[str], tokens: Tokens) -> None:
-    """Encodes new words: those that begin with a blank and hold no other white space at their
-    borders as one text, cut again by the bytes of its tokens; all others one by one."""
-    plain = [w for w in words if len(w) > 1 and w[0] == " " and not w[1].isspace() and not w[-1].isspace()]
+    """Encodes new words: those without white space at their borders as one text with a blank before
+    each, cut again by the bytes of its tokens; all others one by one."""
+    plain = [" " + w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
     for lo in range(0, len(plain), JOINED_WORDS):
         group = plain[lo : lo + JOINED_WORDS]
         ids = _ids(tokens, "".join(group))
@@ -86,11 +91,12 @@ def _remember(words: list[str], tokens: Tokens) -> None:
         data, width = ids.tobytes(), ids.itemsize
         last = 0
         for w, end in zip(group, ((at + 1) * width).tolist()):
-            tokens.words[w] = data[last:end]
+            tokens.words[w[1:]] = data[last:end]
             last = end
     for w in words:
         if w not in tokens.words:
-            tokens.words[w] = _ids(tokens, w).tobytes()
+            first = w[:1] == " "
+            tokens.words[w] = _ids(tokens, w[1:] if first else " " + w).tobytes()
 
 
 def load_tokenizer(path: str) -> Tokens:
