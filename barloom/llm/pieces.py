@@ -26,7 +26,7 @@ MARK = "▁"
 #: Characters indexed at a time; a longer word is indexed alone.
 INDEX_CHARS = 1_000_000
 #: Characters of texts encoded together, and words a worker remembers.
-BATCH_CHARS, MAX_REMEMBERED = 4_000_000, 1_000_000
+BATCH_CHARS, MAX_REMEMBERED = 4_000_000, 1_500_000
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 _NEVER = np.int32(1 << 30)
 _BEGIN, _UNKNOWN = -1, -2
@@ -272,7 +272,7 @@ class Encoder:
         cut = [words_of(t) for t in texts]
         if len(self.words) > MAX_REMEMBERED:
             self.words.clear()
-        new = sorted({w for words in cut for w in words if w not in self.words})
+        new = set().union(*cut) - self.words.keys()
         group, size = [], 0
         for w in new:
             group.append(w)
@@ -282,8 +282,8 @@ class Encoder:
                 group, size = [], 0
         if group:
             self._encode_new(group)
-        known = self.words
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<i4") for words in cut]
+        known = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(known, words)), "<i4") for words in cut]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the blank put before it goes."""
