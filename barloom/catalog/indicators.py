@@ -14,9 +14,16 @@ from barloom.operators import indicators as I
 from barloom.operators.completeness import incomplete_dates, incomplete_dates_after_warm_up
 from barloom.operators.extension import apply_per_series
 from barloom.operators.recurrence import ANYWHERE, NEVER, Ewm, Total, ewm, span_alpha, wilder_alpha
-from barloom.plans.incremental import backfill_indicators, compute_all_indicators, daily_indicators
-from barloom.schema import INDICATOR_COLUMNS
-from barloom.session import written
+from barloom.plans.incremental import (
+    backfill_indicators,
+    compute_all_indicators,
+    daily_indicators,
+    run_backfill,
+    run_daily,
+)
+from barloom.schema import INDICATOR_COLUMNS, INDICATORS, STOCK_BARS
+from barloom.session import new_folder, written
+from barloom.sinks.tables import read_table, write_new_dates
 from barloom.sources.bars import load_series
 
 # Blocks short enough that the series of every test scale are split.
@@ -178,20 +185,20 @@ for _name, (_make, _digits) in _FAMILIES.items():
     QUERIES[_name] = _family(_name)
     ORACLES[_name] = f"{INDICATOR_SQL} select {rounded_sql(_OUTPUTS[_name], _digits)} from ind"
 
-# sma_200 and span B land on ties of the fifth digit; they are compared to 6 digits above.
-_UNTIED = [c for c in INDICATOR_COLUMNS if not c.startswith(("sma_", "ichimoku_"))]
-_UNTIED_SQL = f"{INDICATOR_SQL} select {rounded_sql(_UNTIED, 4)} from ind"
+# sma_200 and span B land on ties of the fifth digit, so their kind is compared to 6 digits.
+DIGITS = {c: 6 if c.startswith(("sma_", "ichimoku_")) else 4 for c in INDICATOR_COLUMNS}
+ALL_SQL = f"{INDICATOR_SQL} select {rounded_sql(INDICATOR_COLUMNS, DIGITS)} from ind"
 
 
-@query("all_indicators", _UNTIED_SQL)
+@query("all_indicators", ALL_SQL)
 def all_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(compute_all_indicators(_series(spark, sf_dir)), _UNTIED, 4)
+    return rounded(compute_all_indicators(_series(spark, sf_dir)), INDICATOR_COLUMNS, DIGITS)
 
 
-@query("all_indicators_in_blocks", _UNTIED_SQL)
+@query("all_indicators_in_blocks", ALL_SQL)
 def all_indicators_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same result with every series split into short blocks."""
-    return rounded(compute_all_indicators(_series(spark, sf_dir), SMALL_BLOCKS), _UNTIED, 4)
+    return rounded(compute_all_indicators(_series(spark, sf_dir), SMALL_BLOCKS), INDICATOR_COLUMNS, DIGITS)
 
 
 @query("sma_in_blocks", ORACLES["sma"])
@@ -284,9 +291,25 @@ def apply_per_series_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_per_series(_series(spark, sf_dir), spread, "symbol string, n bigint, spread double")
 
 
+@query(
+    "apply_per_series_in_blocks",
+    f"with {BARS_SQL.strip()}, s as (select *, row_number() over {W} - 1 as t from bars),"
+    f" e as (select *, {_mean('close', 5)} as mean from s) select {rounded_sql(['mean'], 4)} from e",
+)
+def apply_in_blocks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's function that looks four rows back, on series cut into short blocks."""
+
+    def mean(pdf):
+        return pdf[["date", "symbol"]].assign(mean=pdf["close"].rolling(5).mean())
+
+    schema = "date date, symbol string, mean double"
+    done = apply_per_series(_series(spark, sf_dir), mean, schema, lookback=4, rows=SMALL_BLOCKS)
+    return rounded(done, ["mean"], 4)
+
+
 # -- incremental ------------------------------------------------------------------------
 
-_CUT = date(2000, 1, 1)
+_CUT, _LATE = date(2000, 1, 1), date(2001, 10, 1)
 _PROBE_NULL = (
     "rsi_14 is null or stoch_k is null or cci_20 is null or williams_r is null or sma_200 is null"
     " or ema_9 is null or ema_200 is null"
@@ -325,23 +348,41 @@ def incomplete_dates_after_warm_up_query(spark: SparkSession, sf_dir: str) -> Da
     return dates.select(F.col("date").cast("string").alias("date"))
 
 
-_BACKFILL = ["rsi_14", "ema_200", "stoch_k", "adx_14"]
-
-
-@query("backfill_indicators", f"{INDICATOR_SQL} select {rounded_sql(_BACKFILL, 4)} from ind")
+@query("backfill_indicators", ALL_SQL)
 def backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table computed up to a date is completed after the later bars have arrived."""
     bar_table = bars(spark, sf_dir)
     early = load_series(bar_table.where(F.col("date") < F.lit(_CUT)))
     done = written(compute_all_indicators(early), "indicators")
-    return rounded(backfill_indicators(bar_table, done), _BACKFILL, 4)
+    return rounded(backfill_indicators(bar_table, done), INDICATOR_COLUMNS, DIGITS)
 
 
-@query(
-    "daily_indicators",
-    f"{INDICATOR_SQL} select {rounded_sql(_BACKFILL, 4)} from ind where date = date '{_CUT}'",
-)
+@query("run_backfill", f"{ALL_SQL} where date >= date '{_LATE}'")
+def run_backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job on stored tables, run before and after the last bars arrive; its latest rows."""
+    stored, path = new_folder(spark, "bars"), new_folder(spark, "indicators")
+    for part in (F.col("date") < F.lit(_LATE), F.col("date") >= F.lit(_LATE)):
+        write_new_dates(bars(spark, sf_dir).where(part), stored, STOCK_BARS)
+        run_backfill(spark, stored, path)
+    late = read_table(spark, path, INDICATORS).where(F.col("date") >= F.lit(_LATE))
+    return rounded(late, INDICATOR_COLUMNS, DIGITS)
+
+
+@query("daily_indicators", f"{ALL_SQL} where date = date '{_CUT}'")
 def daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a date that a filled table lacks; run again with them in it, there are none."""
     bar_table = bars(spark, sf_dir)
-    none = bar_table.select("date", "symbol").where("false")
-    return rounded(daily_indicators(bar_table, none, _CUT), _BACKFILL, 4)
+    done = written(compute_all_indicators(load_series(bar_table.where(F.col("date") < F.lit(_CUT)))), "indicators")
+    fresh = written(daily_indicators(bar_table, done, _CUT), "daily")
+    again = daily_indicators(bar_table, done.unionByName(fresh), _CUT)
+    return rounded(fresh.unionByName(again), INDICATOR_COLUMNS, DIGITS)
+
+
+@query("run_daily", f"{ALL_SQL} where date = date '{_CUT}'")
+def run_daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job on stored tables, run twice; the second run finds the date done."""
+    stored, path = new_folder(spark, "bars"), new_folder(spark, "indicators")
+    write_new_dates(bars(spark, sf_dir), stored, STOCK_BARS)
+    for _ in range(2):
+        run_daily(spark, stored, path, _CUT)
+    return rounded(read_table(spark, path, INDICATORS), INDICATOR_COLUMNS, DIGITS)

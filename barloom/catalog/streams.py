@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.catalog.indicators import _ewm, _mean
+from barloom.catalog.bars import BARS_SQL
+from barloom.catalog.indicators import ALL_SQL, DIGITS, _ewm
 from barloom.catalog.registry import query, rounded, rounded_sql
 from barloom.catalog.tables import _STOCK_OUT, _STOCK_SQL, _daily_stock, stock_cells
 from barloom.operators.recurrence import span_alpha
-from barloom.schema import INDICATORS, STOCK_BARS
+from barloom.schema import INDICATOR_COLUMNS, INDICATORS, STOCK_BARS
 from barloom.session import new_folder, written
 from barloom.sinks.exports import write_table_csv
 from barloom.sinks.tables import read_table, write_new_dates
@@ -39,12 +40,13 @@ def stream_ingest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _W = "(partition by symbol order by date)"
+_ALL_STREAM_SQL = ALL_SQL.replace(BARS_SQL.strip(), f"{_STOCK_SQL.strip()}, bars as (select * from stock)")
 _STREAM_SQL = f"""with {_STOCK_SQL.strip()},
 s as (select *, row_number() over {_W} - 1 as t from stock),
-ind as (select *, {_mean('close', 5)} as sma_5, {_ewm('close', '(2.0/10)', 't')} as ema_9 from s)"""
+ind as (select *, {_ewm('close', '(2.0/10)', 't')} as ema_9 from s)"""
 
 
-@query("stream_indicators", f"{_STREAM_SQL} select {rounded_sql(['sma_5', 'ema_9'], 4)} from ind")
+@query("stream_indicators", _ALL_STREAM_SQL)
 def stream_indicators_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "stream-indicators")
     for part in _halves(_numbers(spark, sf_dir)):
@@ -52,10 +54,10 @@ def stream_indicators_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream_indicators(
             spark, f"{root}/bars", f"{root}/indicators", f"{root}/checkpoint"
         ).awaitTermination()
-    return rounded(read_table(spark, f"{root}/indicators", INDICATORS), ["sma_5", "ema_9"], 4)
+    return rounded(read_table(spark, f"{root}/indicators", INDICATORS), INDICATOR_COLUMNS, DIGITS)
 
 
-@query("stream_ewm", f"{_STREAM_SQL} select {rounded_sql(['ema_9'], 4)} from ind")
+@query("stream_ewm", f"{_STREAM_SQL} select {rounded_sql(['ema_9'], 4)}, false as late from ind")
 def stream_ewm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state of each series is kept between the deliveries."""
     root = new_folder(spark, "stream-ewm")
@@ -75,5 +77,5 @@ def stream_ewm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             .start()
             .awaitTermination()
         )
-    out = spark.read.parquet(f"{root}/out").where("NOT late").withColumnRenamed("ewm", "ema_9")
-    return rounded(out, ["ema_9"], 4)
+    out = spark.read.parquet(f"{root}/out").withColumnRenamed("ewm", "ema_9")
+    return rounded(out, ["ema_9"], 4, ["symbol", "late"])

@@ -14,7 +14,7 @@ from barloom.functions import clean as P
 from barloom.operators import completeness as G
 from barloom.operators import dedupe as D
 from barloom.operators.reports import fiscal_year, top_k_report
-from barloom.plans.incremental import ingest_today
+from barloom.plans.incremental import ingest_history, ingest_today
 from barloom.schema import INDEX_BARS, INDEX_HEADERS, STOCK_BARS, STOCK_HEADERS, align_to_schema
 from barloom.session import new_folder, written
 from barloom.sinks import exports, tables
@@ -444,10 +444,21 @@ def dedupe_bars_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(D.dedupe_bars(raw, "file"), "date")
 
 
-@query("file_hash")
+@query(
+    "file_hash",
+    """select c_nationkey as nation, sum(length(l) + 1) as bytes, md5(string_agg(l || chr(10), '' order by c_custkey)) as md5
+    from (select *, c_custkey || '|' || c_name as l from customer) group by 1""",
+)
 def file_hash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The MD5 of the table files themselves."""
-    return file_hash(spark, sf_dir, "*.parquet").orderBy("file")
+    """The MD5 of text files that list the customers of a nation by key, one file per nation."""
+    path = new_folder(spark, "lists")
+    lines = table(spark, sf_dir, "customer").select(
+        "c_nationkey", "c_custkey", F.concat_ws("|", "c_custkey", "c_name").alias("line")
+    )
+    ordered = lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.drop("c_custkey").write.partitionBy("c_nationkey").text(path)
+    nation = F.regexp_extract("file", "c_nationkey=([0-9]+)/", 1).cast("bigint").alias("nation")
+    return file_hash(spark, path, "*.txt").select(nation, "bytes", "md5")
 
 
 # -- sinks ------------------------------------------------------------------------------
@@ -689,6 +700,33 @@ def ingest_today_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(loaded.unionAll(indexes), "date")
 
 
+_FIRST, _LAST = "DATE '2024-01-05'", "DATE '2024-01-20'"
+
+
+@query(
+    "ingest_history",
+    f"""with {_STOCK_SQL.strip()}
+    select {rounded_sql(_PRICES, 4)} from stock where date > {_FIRST}
+      and (date <> {_LAST} or symbol >= 'U5') and date <> date '2024-01-15'
+    union all
+    select cast(date as varchar) as date, symbol, round(open, 4) + 0.0 as open, round(high, 4) + 0.0 as high,
+           round(low, 4) + 0.0 as low, 1.0 as close from stock where date = date '2024-01-15'""",
+)
+def ingest_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with dates up to the cutoff, a date that is loaded already, a second file of one
+    date, which counts instead of the first, and a copy of a file under a later date."""
+    root = new_folder(spark, "history")
+    daily = written(_daily_stock(spark, sf_dir), "stock")
+    copied = daily.where(f"date = {_LAST} - 4").withColumn("date", F.expr("DATE '2024-03-01'"))
+    again = daily.where(f"date = {_LAST} AND symbol >= 'U5'")
+    exports.write_table_csv(daily, f"{root}/files/a", stock_cells())
+    exports.write_table_csv(again.unionByName(copied), f"{root}/files/b", stock_cells())
+    held = daily.where("date = DATE '2024-01-15'").withColumn("close", F.lit(1.0)).drop("vol", "turnover")
+    tables.write_new_dates(held, f"{root}/table", STOCK_BARS)
+    ingest_history(spark, f"{root}/files", f"{root}/table", cutoff=date(2024, 1, 5))
+    return rounded(tables.read_table(spark, f"{root}/table", STOCK_BARS), _PRICES, 4)
+
+
 # -- reports ----------------------------------------------------------------------------
 
 
@@ -775,20 +813,42 @@ def read_top10_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_top10_report(spark, path).select("security_name", "symbol", "rank", "value")
 
 
-_RECORD_SQL = """'{"Name":"' || n_name || '","Region":"' || r_name || '"}'"""
+_LISTING_SQL = """
+r as (select '{"Name":"' || c_name || '","Nation":"' || n_name || '"}' as json
+      from customer join nation on c_nationkey = n_nationkey),
+lines as (
+  select 0 as part, '{"scraping_info":{"source_url":"https://example.org/listing","scraped_at":"2024-01-01T00:00:00",'
+         || '"total_companies":' || count(*) || '}},"companies":[' as line from r
+  union all select 1, case when row_number() over (order by json) = 1 then '' else ',' end || json from r
+  union all select 2, ']}'
+)""".replace("}},", "},")
 
 
-@query(
-    "to_json_document",
-    f"""select '{{"scraping_info":{{"source_url":"https://example.org/listing",'
-        || '"scraped_at":"2024-01-01T00:00:00","total_companies":' || count(*) || '}},"companies":['
-        || string_agg({_RECORD_SQL}, ',' order by {_RECORD_SQL}) || ']}}' as document
-    from nation join region on n_regionkey = r_regionkey""",
-)
+@query("to_json_document", f"with {_LISTING_SQL.strip()} select part, line from lines")
 def to_json_document_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing of all nations as one document."""
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    """Listing of all customers as the lines of one document."""
+    lines = exports.to_json_document(_listing(spark, sf_dir), "https://example.org/listing", datetime(2024, 1, 1))
+    return lines.select("part", "line")
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    records = nations.select(F.create_map(F.lit("Name"), "n_name", F.lit("Region"), "r_name").alias("record"))
-    return exports.to_json_document(records, "https://example.org/listing", datetime(2024, 1, 1))
+    return named.select(F.create_map(F.lit("Name"), "c_name", F.lit("Nation"), "n_name").alias("record"))
+
+
+@query("write_json_document", f"with {_LISTING_SQL.strip()} select line from lines")
+def write_json_document_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same document written to files and read again."""
+    path = new_folder(spark, "listing")
+    exports.write_json_document(_listing(spark, sf_dir), path, "https://example.org/listing", datetime(2024, 1, 1))
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("write_json_lines", "select c_name as name, n_name as nation from customer join nation on c_nationkey = n_nationkey")
+def write_json_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "json-lines")
+    exports.write_json_lines(_listing(spark, sf_dir), path)
+    back = spark.read.schema("record map<string,string>").json(path)
+    return back.select(F.col("record")["Name"].alias("name"), F.col("record")["Nation"].alias("nation"))

@@ -58,6 +58,8 @@ def incomplete_dates_after_warm_up(
 ) -> DataFrame:
     """As ``incomplete_dates``, but a null counts only after the measure's warm-up rows.
 
+    A probe without an entry in ``WARM_UP`` has no warm-up: each of its nulls counts.
+
     The date on which a series leaves a warm-up is its n-th date. Only rows with a null are
     ranked against that date, which comes from the earliest rows of each series; the row
     limit per series is applied before the shuffle as well as after it.
@@ -65,16 +67,17 @@ def incomplete_dates_after_warm_up(
     present = [p for p in probes if p in indicators.columns]
     if not present:
         return existing_dates(indicators).where("false")
-    longest = max(WARM_UP[p] for p in present) + 1
+    warm_up = {p: WARM_UP.get(p, 0) for p in present}
+    longest = max(warm_up.values()) + 1
     rank = F.row_number().over(Window.partitionBy(key).orderBy("date"))
     early = indicators.select(key, "date", rank.alias("_t")).where(F.col("_t") <= longest)
     ready = early.groupBy(key).agg(
         *[
             F.max(F.when(F.col("_t") == n + 1, F.col("date"))).alias(f"_ready_{n}")
-            for n in sorted({WARM_UP[p] for p in present})
+            for n in sorted(set(warm_up.values()))
         ]
     )
-    test = " OR ".join(f"(`{p}` IS NULL AND date >= _ready_{WARM_UP[p]})" for p in present)
+    test = " OR ".join(f"(`{p}` IS NULL AND date >= _ready_{warm_up[p]})" for p in present)
     nulls = " OR ".join(f"`{p}` IS NULL" for p in present)
     gaps = indicators.where(nulls).select(key, "date", *present)
     return gaps.join(ready, key).where(test).select("date").distinct()

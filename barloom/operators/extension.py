@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SERIES_ROWS = 1_000_000
+from barloom.operators.blocks import BLOCK, BLOCK_ROWS, HALO, split_series
 
 
 def apply_per_series(
@@ -18,17 +17,26 @@ def apply_per_series(
     schema: T.StructType | str,
     key: str = "symbol",
     order: str = "date",
+    lookback: int | None = None,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply ``fn`` to the pandas frame of every series, its rows in order.
 
-    For functions that no column expression can state. A series is handed over whole, so its
-    length is checked first; the built-in indicators have no such limit.
+    For functions that no column expression can state. With ``lookback``, the number of earlier
+    rows that a row's result depends on, ``fn`` returns one row per row it gets: a long series is
+    then handed over in blocks of about ``rows`` rows, each after that many earlier rows, and no
+    task holds more. Such a table is unique on (key, order), a date. Without it ``fn`` may return
+    any rows, and a series goes to it whole, as a function of unknown reach needs it.
     """
-    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if longest > MAX_SERIES_ROWS:
-        raise ValueError(f"a series of {longest} rows is too long for one pandas frame")
+    if lookback is None:
+        return df.groupBy(key).applyInPandas(lambda pdf: fn(pdf.sort_values(order, ignore_index=True)), schema)
+    blocked = split_series(df, lookback, rows, key, order)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf.sort_values(order, ignore_index=True))
+        pdf = pdf.sort_values(order, ignore_index=True)
+        if HALO not in pdf:
+            return fn(pdf)
+        own = ~pdf[HALO].to_numpy()
+        return fn(pdf.drop(columns=[BLOCK, HALO]))[own]
 
-    return df.groupBy(key).applyInPandas(one, schema)
+    return blocked.df.groupBy(*blocked.window.keys).applyInPandas(one, schema)

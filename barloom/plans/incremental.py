@@ -7,19 +7,25 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.functions.clean import date_from_filename
 from barloom.operators.blocks import BLOCK_ROWS
-from barloom.operators.completeness import dates_to_compute, existing_dates
+from barloom.operators.completeness import dates_to_compute, existing_dates, newest_first_until, not_yet_loaded
+from barloom.operators.dedupe import content_fingerprint, find_duplicates, one_file_per_date
 from barloom.operators.indicators import compute, default_indicators
 from barloom.schema import INDEX_BARS, INDICATOR_COLUMNS, INDICATORS, KEYS, STOCK_BARS
+from barloom.session import written
 from barloom.sinks.tables import read_table, upsert, write_new_dates, write_upsert
 from barloom.sources.bars import (
     bars_for_date,
+    index_rows,
     index_table,
     load_series,
     read_index_bars,
     read_stock_bars,
+    stock_rows,
     stock_table,
 )
+from barloom.sources.csv_files import read_cells
 
 
 def compute_all_indicators(series: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -31,28 +37,29 @@ def rows_to_backfill(
     bars: DataFrame,
     indicators: DataFrame,
     recompute_after_late: bool = True,
-    after_warm_up: bool = False,
+    after_warm_up: bool = True,
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Freshly computed indicator rows that are missing or incomplete in ``indicators``.
 
+    Nulls of a warm-up never fill, so by default they do not make a date incomplete.
+
     With ``recompute_after_late`` a bar that arrives late also refreshes the later rows of its
-    series, which depend on it. Every row is computed from the whole history.
+    series, which depend on it. Every row is computed from the whole history of its series; series
+    without such a row are not computed.
     """
     series = load_series(bars)
-    computed = compute_all_indicators(series, rows)
-    targets = dates_to_compute(series, indicators, after_warm_up).withColumn("_due", F.lit(True))
-    due = computed.join(F.broadcast(targets), "date", "left")
-    if not recompute_after_late:
-        return due.where("_due").drop("_due")
-    late = (
-        series.select(*KEYS)
-        .join(indicators.select(*KEYS), list(KEYS), "left_anti")
-        .groupBy("symbol")
-        .agg(F.min("date").alias("_since"))
-    )
-    due = due.join(late, "symbol", "left").where("_due OR date >= _since")
-    return due.select(*KEYS, *INDICATOR_COLUMNS)
+    keys = series.select(*KEYS)
+    targets = written(dates_to_compute(series, indicators, after_warm_up), "due-dates")
+    due = keys.join(F.broadcast(targets), "date", "left_semi").groupBy("symbol").agg(F.lit(None).cast("date").alias("_since"))
+    if recompute_after_late:
+        late = keys.join(indicators.select(*KEYS), list(KEYS), "left_anti")
+        due = due.unionByName(late.select("symbol", F.col("date").alias("_since")))
+    # One row per series to compute; a null ``_since``: none of its bars is late.
+    due = written(due.groupBy("symbol").agg(F.min("_since").alias("_since")), "due-series")
+    computed = compute_all_indicators(series.join(due, "symbol", "left_semi"), rows)
+    marked = computed.join(F.broadcast(targets.withColumn("_due", F.lit(True))), "date", "left").join(due, "symbol")
+    return marked.where("_due OR date >= _since").select(*KEYS, *INDICATOR_COLUMNS)
 
 
 def backfill_indicators(bars: DataFrame, indicators: DataFrame, **options) -> DataFrame:
@@ -101,3 +108,32 @@ def ingest_today(
     if index_files:
         rows = bars_for_date(read_index_bars(spark, index_files), run_date)
         write_new_dates(index_table(rows), index_path, INDEX_BARS)
+
+
+def ingest_history(
+    spark: SparkSession,
+    files: str | list[str],
+    path: str,
+    kind: str = "stock",
+    cutoff: date | None = date(2020, 1, 1),
+    skip_copies: bool = True,
+) -> None:
+    """Load a folder of daily files of one ``kind`` ("stock" or "index") into the table at ``path``.
+
+    Files without a date are left out and, with ``skip_copies``, those that repeat the content of a
+    file with a smaller name. Of the others one file counts per date, the last by name; dates up to
+    ``cutoff`` and dates that the table holds are skipped. All choices are made on one row per file.
+    """
+    to_rows, to_table, schema = {
+        "stock": (stock_rows, stock_table, STOCK_BARS),
+        "index": (index_rows, index_table, INDEX_BARS),
+    }[kind]
+    cells = read_cells(spark, files)
+    names = cells.select("file").distinct()
+    if skip_copies:
+        prints = written(content_fingerprint(cells), "fingerprints")
+        names = prints.select("file").join(find_duplicates(prints), "file", "left_anti")
+    dated = names.withColumn("date", date_from_filename(F.col("file")))
+    wanted = newest_first_until(one_file_per_date(dated), cutoff)
+    chosen = written(not_yet_loaded(wanted, read_table(spark, path, schema)), "files")
+    write_new_dates(to_table(to_rows(cells.join(chosen, "file", "left_semi"))), path, schema)

@@ -8,9 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DOCUMENT_RECORDS = 100_000
-
-
 def write_table_csv(
     rows: DataFrame, path: str, headers: Mapping[str, str] | None = None, mode: str = "append"
 ) -> None:
@@ -27,29 +24,44 @@ def write_table_csv(
 
 
 def to_json_document(records: DataFrame, source: str, at: datetime, record: str = "record") -> DataFrame:
-    """One row, one column ``document``: a listing with its source, time, size and records.
+    """The lines of one JSON document: a listing with its source, time, size and records, in order.
 
-    A document is a single value, so the number of records is checked first; larger listings
-    go to ``write_json_lines``.
+    (part, json, i, line), to be read in the order of the first three: part 0 opens the document,
+    part 1 has a line per record, sorted by its JSON text, and part 2 closes it. Only equal records are grouped, with map-side combine,
+    and their copies are dealt out again as rows; no step holds the listing in one row.
     """
-    n = records.count()
-    if n > MAX_DOCUMENT_RECORDS:
-        raise ValueError(f"{n} records are too many for one document")
-    # The records are already few; sorting makes the document independent of partitions.
-    listing = records.agg(F.sort_array(F.collect_list(F.to_json(record))).alias("r"))
-    companies = F.concat(F.lit("["), F.array_join("r", ","), F.lit("]"))
+    texts = records.groupBy(F.to_json(record).alias("json")).agg(F.count(F.lit(1)).alias("n"))
+    total = texts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     info = F.to_json(
         F.struct(
             F.lit(source).alias("source_url"),
             F.lit(at.isoformat()).alias("scraped_at"),
-            F.size("r").alias("total_companies"),
-        )
-    )
-    return listing.select(
-        F.concat(F.lit('{"scraping_info":'), info, F.lit(',"companies":'), companies, F.lit("}")).alias(
-            "document"
+            F.col("total").alias("total_companies"),
         )
     )
+    opening = F.concat(F.lit('{"scraping_info":'), info, F.lit(',"companies":['))
+    frame = total.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).alias("part"), opening.alias("line")),
+                F.struct(F.lit(2).alias("part"), F.lit("]}").alias("line")),
+            )
+        ).alias("e")
+    ).select("e.part", F.lit("").alias("json"), F.lit(0).cast("bigint").alias("i"), "e.line")
+    each = texts.withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+    # Every record but the first of all has a comma before it.
+    first = (F.col("json") == texts.agg(F.min("json")).scalar()) & (F.col("i") == 1)
+    comma = F.when(first, "").otherwise(",")
+    body = each.select(F.lit(1).alias("part"), "json", "i", F.concat(comma, "json").alias("line"))
+    return frame.unionByName(body)
+
+
+def write_json_document(
+    records: DataFrame, path: str, source: str, at: datetime, record: str = "record", mode: str = "error"
+) -> None:
+    """The document of ``to_json_document`` as text files that, read in name order, make it up."""
+    lines = to_json_document(records, source, at, record)
+    lines.orderBy("part", "json", "i").select("line").write.mode(mode).text(path)
 
 
 def write_json_lines(records: DataFrame, path: str, mode: str = "append") -> None:

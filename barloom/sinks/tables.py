@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from barloom.operators.completeness import existing_dates, not_yet_loaded, restrict_to_dates, rows_per_date
 from barloom.schema import KEYS, align_to_schema
+from barloom.session import written
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -68,7 +69,11 @@ def upsert(new: DataFrame, target: DataFrame, keys: tuple[str, ...] = KEYS) -> D
 def write_upsert(
     new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...] = KEYS
 ) -> None:
-    """Upsert into the table at ``path``. Only partitions of dates in ``new`` are read and rewritten."""
+    """Upsert into the table at ``path``. Only partitions of dates in ``new`` are read and rewritten.
+
+    ``new`` is needed for the dates, the keys and the rows; it is computed once and written first.
+    """
+    new = written(new, "upsert")
     target = read_table(new.sparkSession, path, schema)
     touched = target.join(F.broadcast(existing_dates(new)), "date", "left_semi")
     _write(upsert(align_to_schema(new, schema), touched, keys).select(*schema.fieldNames()), path, "overwrite")

@@ -72,12 +72,17 @@ def stock_rows(cells: DataFrame) -> DataFrame:
 
 
 def read_index_bars(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Typed index bars of a folder of daily files; headers may be in title or snake case.
+    """Typed index bars of a folder of daily files; headers may be in title or snake case."""
+    return index_rows(read_cells(spark, path))
+
+
+def index_rows(cells: DataFrame) -> DataFrame:
+    """Typed index bars from raw (file, cells) rows.
 
     ``_corrupt`` marks rows with a measure that is text; such a measure is null.
     """
     names = INDEX_HEADERS | {n: n for n in INDEX_HEADERS.values()}
-    rows = _by_header(read_cells(spark, path), ("Index", "index"), names)
+    rows = _by_header(cells, ("Index", "index"), names)
     measures = [c for c in INDEX_HEADERS.values() if c != "index"]
     corrupt = F.lit(False)
     for c in measures:

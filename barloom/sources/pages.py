@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.clean import keep_wellformed_rows
 
-_ROW = "struct<row_no: int, section: string, n_data: int, cells: array<string>, tight: array<string>>"
+_ROW = "struct<row_no: int, section: string, n_data: int, cells: array<string>, is_data: array<boolean>>"
 _SCHEMA = f"page_id bigint, tables array<array<{_ROW}>>"
 _ARROW_ROW = pa.struct(
     [
@@ -23,104 +23,120 @@ _ARROW_ROW = pa.struct(
         ("section", pa.string()),
         ("n_data", pa.int32()),
         ("cells", pa.list_(pa.string())),
-        ("tight", pa.list_(pa.string())),
+        ("is_data", pa.list_(pa.bool_())),
     ]
 )
+#: The td cells of a row ``r``.
+_DATA = "filter(r.cells, (c, i) -> get(r.is_data, i))"
 _NONE = "no data found|no record found"
 
 
+class _Table:
+    """An open table: its rows, and the section, row and cell that are open in it."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[str, list]] = []
+        self.section = ""
+        self.row: list[tuple[list[str], bool]] | None = None
+        self.cell: list[str] | None = None
+
+
 class _Tables(HTMLParser):
     """Collects the tables of a page as lists of rows.
 
-    A row has its number in the table, its section (thead, tbody, tfoot or none), the number
-    of its td cells and the cell texts in two forms: stripped as a whole, and with every text
-    node stripped (tight). Cells of a table inside another table are rows of the inner table.
+    A row has its number in the table, its section (thead, tbody, tfoot or none), the number of its
+    td cells, its cell texts, and which of the cells are td. A table inside a cell is a table of its
+    own, and its rows, cells and texts belong to the outer table, row and cell as well.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tables: list[list[dict]] = []
-        self.open: list[list] = []  # per open table: its rows, the current section
-        self.row: dict | None = None
-        self.text: list[str] | None = None
+        self.tables: list[_Table] = []
+        self.open: list[_Table] = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self._close_row()
-            self.tables.append([])
-            self.open.append([self.tables[-1], ""])
+            self.open.append(_Table())
+            self.tables.append(self.open[-1])
         elif not self.open:
             return
         elif tag in ("thead", "tbody", "tfoot"):
-            self._close_row()
-            self.open[-1][1] = tag
+            self._end_row()
+            self.open[-1].section = tag
         elif tag == "tr":
-            self._close_row()
-            rows, section = self.open[-1]
-            self.row = {
-                "row_no": len(rows) + 1, "section": section, "n_data": 0, "cells": [], "tight": []
-            }
-        elif tag in ("td", "th") and self.row is not None:
-            self._close_cell()
-            self.text = []
-            self.row["n_data"] += tag == "td"
+            self._end_row()
+            self.open[-1].row = row = []
+            for table in self.open:
+                table.rows.append((table.section, row))
+        elif tag in ("td", "th") and self.open[-1].row is not None:
+            self.open[-1].cell = cell = []
+            for table in self.open:
+                if table.row is not None:
+                    table.row.append((cell, tag == "td"))
 
     def handle_endtag(self, tag):
         if not self.open:
             return
         if tag in ("td", "th"):
-            self._close_cell()
+            self.open[-1].cell = None
         elif tag == "tr":
-            self._close_row()
+            self._end_row()
         elif tag in ("thead", "tbody", "tfoot"):
-            self._close_row()
-            self.open[-1][1] = ""
+            self._end_row()
+            self.open[-1].section = ""
         elif tag == "table":
-            self._close_row()
             self.open.pop()
 
     def handle_data(self, data):
-        if self.text is not None:
-            self.text.append(data)
-
-    def close(self):
-        super().close()
-        if self.open:
-            self._close_row()
-
-    def _close_cell(self):
-        if self.text is not None:
-            self.row["cells"].append("".join(self.text).strip())
-            self.row["tight"].append("".join(t.strip() for t in self.text))
-            self.text = None
-
-    def _close_row(self):
-        self._close_cell()
-        if self.row is not None:
-            self.open[-1][0].append(self.row)
-            self.row = None
-
-
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = []
-        for html in batch.column("html").to_pylist():
-            parser = _Tables()
-            parser.feed(html or "")
-            parser.close()
-            found.append(parser.tables)
-        tables = pa.array(found, type=pa.list_(pa.list_(_ARROW_ROW)))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), tables], ["page_id", "tables"])
-
-
-def page_tables(pages: DataFrame) -> DataFrame:
+        for table in self.open:
+            if table.cell is not None:
+                table.cell.append(data)
+
+    def _end_row(self):
+        self.open[-1].row = self.open[-1].cell = None
+
+    def found(self, tight: bool) -> list[list[dict]]:
+        text = (lambda c: "".join(t.strip() for t in c)) if tight else (lambda c: "".join(c).strip())
+        return [
+            [
+                {
+                    "row_no": i,
+                    "section": section,
+                    "n_data": sum(data for _, data in row),
+                    "cells": [text(cell) for cell, _ in row],
+                    "is_data": [data for _, data in row],
+                }
+                for i, (section, row) in enumerate(table.rows, 1)
+            ]
+            for table in self.tables
+        ]
+
+
+def _parser(tight: bool):
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for html in batch.column("html").to_pylist():
+                parser = _Tables()
+                parser.feed(html or "")
+                parser.close()
+                found.append(parser.found(tight))
+            tables = pa.array(found, type=pa.list_(pa.list_(_ARROW_ROW)))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), tables], ["page_id", "tables"])
+
+    return parse
+
+
+def page_tables(pages: DataFrame, tight: bool = False) -> DataFrame:
     """The tables of each page that has any: (page_id, tables), each table an array of rows.
 
+    Cell texts are stripped as a whole or, if ``tight``, text node by text node.
+
     A page is one value already, so its tables stay together: everything that needs a whole
     page is an array expression, and no step shuffles.
     """
     with_table = pages.where(F.col("html").rlike("(?i)<table")).select("page_id", "html")
-    return with_table.mapInArrow(_parse, _SCHEMA).where("size(tables) > 0")
+    return with_table.mapInArrow(_parser(tight), _SCHEMA).where("size(tables) > 0")
 
 
 def extract_table(pages: DataFrame) -> DataFrame:
@@ -144,12 +160,14 @@ def extract_table(pages: DataFrame) -> DataFrame:
 def extract_tables_union(pages: DataFrame) -> DataFrame:
     """Body rows of all tables of a page that share the page's first header.
 
-    (page_id, table_no, row_no, header, cells); rows with another number of cells are left
-    out, and so are tables with another header, without a head or without a body.
+    (page_id, table_no, row_no, header, cells): a body row's cells are its td cells. Rows with
+    another number of them are left out, and so are tables with another header, without a head or
+    without a body.
     """
     # The head cells of a table are the th cells of all its head rows.
-    head = "flatten(transform(filter(t, r -> r.section = 'thead'), r -> r.tight))"
-    headed = page_tables(pages).selectExpr(
+    named = "filter(r.cells, (c, i) -> NOT get(r.is_data, i))"
+    head = f"flatten(transform(filter(t, r -> r.section = 'thead'), r -> {named}))"
+    headed = page_tables(pages, tight=True).selectExpr(
         "page_id",
         f"transform(tables, (t, i) -> struct(i AS table_no, {head} AS head, t AS rows)) AS tables",
     )
@@ -157,8 +175,8 @@ def extract_tables_union(pages: DataFrame) -> DataFrame:
         "page_id", "tables", "get(filter(tables, t -> size(t.head) > 0), 0).head AS header"
     ).where("header IS NOT NULL")
     fitting = (
-        "transform(filter(t.rows, r -> r.section = 'tbody' AND r.n_data = size(header)"
-        " AND size(r.tight) = size(header)), r -> struct(t.table_no, r.row_no, r.tight AS cells))"
+        "transform(filter(t.rows, r -> r.section = 'tbody' AND r.n_data = size(header)),"
+        f" r -> struct(t.table_no, r.row_no, {_DATA} AS cells))"
     )
     body = named.selectExpr(
         "page_id",
@@ -171,7 +189,7 @@ def extract_tables_union(pages: DataFrame) -> DataFrame:
 
 
 def extract_records(pages: DataFrame) -> DataFrame:
-    """Data rows of the first table as maps from header to cell: (page_id, row_no, record).
+    """Data rows of the first table as maps from header to td cell: (page_id, row_no, record).
 
     Rows with fewer cells than the header are left out and extra cells are cut off; of equal
     headers the last one wins.
@@ -179,9 +197,10 @@ def extract_records(pages: DataFrame) -> DataFrame:
     rows = page_tables(pages).selectExpr(
         "page_id",
         "get(get(tables, 0), 0).cells AS header",
-        "inline(slice(get(tables, 0), 2, size(get(tables, 0))))",
+        "inline(transform(slice(get(tables, 0), 2, size(get(tables, 0))),"
+        f" r -> struct(r.row_no, {_DATA} AS cells)))",
     )
-    data = keep_wellformed_rows(rows.where("n_data = size(cells) AND size(header) > 0"), at_least=True)
+    data = keep_wellformed_rows(rows.where("size(cells) > 0 AND size(header) > 0"), at_least=True)
     last = F.filter(
         F.transform("header", lambda h, i: F.struct(h.alias("key"), i.alias("at"))),
         lambda e: ~F.array_contains(F.slice("header", e["at"] + 2, F.size("header")), e["key"]),

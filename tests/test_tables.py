@@ -10,7 +10,7 @@ from barloom.functions import calendar as C
 from barloom.functions import clean as P
 from barloom.operators import completeness as G
 from barloom.operators import dedupe as D
-from barloom.plans.incremental import ingest_today, run_backfill, run_daily
+from barloom.plans.incremental import ingest_today, rows_to_backfill, run_backfill, run_daily
 from barloom.schema import INDEX_BARS, INDICATORS, STOCK_BARS, align_to_schema
 from barloom.sinks import exports, tables
 from barloom.sources.bars import read_index_bars, read_stock_bars, stock_table
@@ -157,7 +157,8 @@ def test_schema_growth_and_upsert(spark, tmp_path):
 
 def test_json_document(spark):
     records = spark.sql("SELECT map('Name', n) AS record FROM VALUES ('b'), ('a') AS t(n)")
-    doc = json.loads(exports.to_json_document(records, "src", datetime(2024, 1, 1)).first()[0])
+    lines = exports.to_json_document(records, "src", datetime(2024, 1, 1)).orderBy("part", "json", "i")
+    doc = json.loads("".join(r["line"] for r in lines.collect()))
     assert doc["scraping_info"]["total_companies"] == 2
     assert doc["companies"] == [{"Name": "a"}, {"Name": "b"}]
 
@@ -249,3 +250,42 @@ def test_written_csv_reads_back(spark, tmp_path):
     (file,) = (tmp_path / "out").glob("*/*.csv")
     with open(file, newline="") as f:
         assert list(csv.reader(f)) == [["note", "n"], [note, "1"]]
+
+
+def test_nested_tables_belong_to_the_outer_cells(spark):
+    inner = "<table><tr><td>x</td></tr></table>"
+    html = f"<table><tr><th>h</th></tr><tr><td>a</td><td>p{inner}</td><td> b </td></tr></table>"
+    rows = extract_table(spark.createDataFrame([(1, html)], "page_id bigint, html string"))
+    assert [r["cells"] for r in rows.orderBy("row_no").collect()] == [["h"], ["a", "px", "x", "b"], ["x"]]
+
+
+def test_body_rows_with_a_head_cell(spark):
+    html = (
+        "<table><thead><tr><th>A</th><th>B</th></tr></thead>"
+        "<tbody><tr><th>1</th><td>u</td><td>v</td></tr><tr><td>w</td><td>x</td></tr></tbody></table>"
+    )
+    pages = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    assert [r["cells"] for r in extract_tables_union(pages).orderBy("row_no").collect()] == [["u", "v"], ["w", "x"]]
+    assert [r["record"] for r in extract_records(pages).orderBy("row_no").collect()] == [
+        {"A": "u", "B": "v"}, {"A": "w", "B": "x"},
+    ]
+
+
+def test_probe_without_a_warm_up(spark):
+    rows = [(date(2024, 1, d), "A", None if d == 2 else 1.0) for d in (1, 2, 3)]
+    done = spark.createDataFrame(rows, "date date, symbol string, obv double")
+    assert [r[0].day for r in G.incomplete_dates_after_warm_up(done, ("obv",)).collect()] == [2]
+
+
+def test_backfill_converges(spark):
+    close = [10.0 + d % 3 for d in range(30)]
+    rows = [
+        (date(2024, 1, d), s, close[d], close[d] + 1, close[d] - 1, close[d], close[d], 5.0) for d in range(1, 30) for s in "AB"
+    ]
+    bars = bars_frame(spark, rows)
+    done = rows_to_backfill(bars, spark.createDataFrame([], INDICATORS))
+    done = spark.createDataFrame(done.collect(), done.schema)
+    assert done.count() == 58 and rows_to_backfill(bars, done).count() == 0
+    some = done.where("NOT (symbol = 'B' AND date = DATE '2024-01-20')")
+    fresh = rows_to_backfill(bars, some).select("symbol", "date").collect()
+    assert {r["symbol"] for r in fresh} == {"B"} and sorted(r["date"].day for r in fresh) == list(range(20, 30))
