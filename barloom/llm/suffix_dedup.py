@@ -78,14 +78,14 @@ class Hasher:
 
     def anchors(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         """Runs of windows with one anchor: ``pos``, ``n`` (windows), ``off`` (of the anchor), ``key``,
-        ``joint``, ``doc``.
+        ``joint``, ``zones``, ``doc``.
 
-        ``joint`` holds 10 bits for the bytes that the windows of each zone share around the anchor
-        (0: no window there) and 16 for all bytes of the windows. ``offsets`` are the texts' bounds in
-        ``data``; no window crosses them.
+        ``joint`` is a hash of all bytes of the windows. ``zones`` holds 10 bits for the bytes that the
+        windows of each zone share around the anchor (0: no window there). ``offsets`` are the texts'
+        bounds in ``data``; no window crosses them.
         """
         size, gram = self.size, self.gram
-        out: dict[str, list[np.ndarray]] = {k: [] for k in ("pos", "n", "off", "key", "joint", "doc")}
+        out: dict[str, list[np.ndarray]] = {k: [] for k in ("pos", "n", "off", "key", "joint", "zones", "doc")}
         for begin in range(0, max(len(data) - size + 1, 0), BLOCK):
             part = data[begin : begin + BLOCK + size - 1]
             sums = self.sums(part)
@@ -109,18 +109,19 @@ class Hasher:
             anchor = at[pos]
             off = anchor - pos
             joint = self.of(sums, pos, pos + n - 1 + size)
-            joint = _mix(joint + (n * 64 + off).astype(np.uint64)) >> np.uint64(48)
+            joint = _mix(joint + (n * 64 + off).astype(np.uint64))
+            zones = np.zeros(len(joint), np.uint64)
             for z, (least_off, most_off, left, right) in enumerate(_ZONES):
                 has = (off >= least_off) & (off - n + 1 < most_off)
                 a = np.where(has, anchor - left, 0)
                 zone = self.of(sums, a, np.where(has, anchor + gram + right, 1)) >> np.uint64(54) | np.uint64(1)
-                joint |= np.where(has, zone, np.uint64(0)) << np.uint64(16 + 10 * z)
+                zones |= np.where(has, zone, np.uint64(0)) << np.uint64(10 * z)
             # Least hashes crowd at the low end; mixed once more, they deal out evenly.
             key = _mix(grams[anchor] + np.uint64(_BASE))
-            found = {"pos": pos + begin, "n": n, "off": off, "key": key, "joint": joint, "doc": doc[pos]}
+            found = {"pos": pos + begin, "n": n, "off": off, "key": key, "joint": joint, "zones": zones, "doc": doc[pos]}
             for k, v in found.items():
                 out[k].append(v.astype(np.int32) if k in ("n", "off", "doc") else v)
-        return {k: np.concatenate(v) if v else np.zeros(0, np.uint64 if k in ("key", "joint") else np.int64) for k, v in out.items()}
+        return {k: np.concatenate(v) if v else np.zeros(0, np.uint64 if k in ("key", "joint", "zones") else np.int64) for k, v in out.items()}
 
 
 def pack(columns: dict[str, np.ndarray]) -> bytes:
@@ -218,18 +219,20 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
                 doc = keys[found["doc"]]
                 order = np.lexsort((doc, found["joint"], found["key"]))
                 key, joint, doc = found["key"][order], found["joint"][order], doc[order]
-                pos, n, off = found["pos"][order], found["n"][order], found["off"][order]
+                pos, n, off, zones = (found[k][order] for k in ("pos", "n", "off", "zones"))
                 del found, order
                 least = _least(_starts(key, joint), doc)
                 rows = []
                 if (late := doc > least).any():
                     rows.append((file % buckets, file, group, _FLAG, _flags(pos[late], n[late], size)))
-                key, joint, doc, pos, n, off = (x[~late] for x in (key, joint, doc, pos, n, off))
+                key, joint, zones, doc, pos, n, off = (x[~late] for x in (key, joint, zones, doc, pos, n, off))
                 bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(cuts)):
                     s = slice(cuts[b], cuts[b + 1])
-                    blob = pack({"key": key[s], "joint": joint[s], "doc": doc[s], "pos": pos[s], "shape": n[s] * 64 + off[s]})
+                    blob = pack(
+                        {"key": key[s], "joint": joint[s], "zones": zones[s], "doc": doc[s], "pos": pos[s], "shape": n[s] * 64 + off[s]}
+                    )
                     rows.append((int(b), file, group, _ENTRY, blob))
                 yield pd.DataFrame(rows, columns=["bucket", "file", "grp", "kind", "data"])
 
@@ -239,7 +242,7 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
 def _settle(size: int):
     """Step 1, per bucket: flags windows with equal joint bytes in a smaller document, and leaves
     open the zones that share the anchor and the bytes around it with another document."""
-    names = ["key", "joint", "doc", "pos", "shape"]
+    names = ["key", "joint", "zones", "doc", "pos", "shape"]
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         return_memory()
@@ -249,10 +252,11 @@ def _settle(size: int):
         if not parts:
             return pd.DataFrame(out, columns=["file", "grp", "kind", "data"])
         run = np.repeat(np.arange(len(runs), dtype=np.int32), [len(p["key"]) for p in parts])
-        key, joint, doc, pos, shape = (np.concatenate([p.pop(k) for p in parts]) for k in names)
+        key, joint, zones, doc, pos, shape = (np.concatenate([p.pop(k) for p in parts]) for k in names)
         doc = doc.astype(np.int64)
         order = np.lexsort((doc, joint, key))
-        key, joint, doc, pos, shape, run = (x[order] for x in (key, joint, doc, pos.astype(np.int64), shape.astype(np.int32), run))
+        key, joint, zones, doc = (x[order] for x in (key, joint, zones, doc))
+        pos, shape, run = (x[order] for x in (pos.astype(np.int64), shape.astype(np.int32), run))
         new_key, new = _starts(key), _starts(key, joint)
         least = _least(new, doc)
         late = doc > least
@@ -275,7 +279,7 @@ def _settle(size: int):
         still = np.flatnonzero(several[np.cumsum(new_key) - 1] & ~late)
         # ... and so do the bytes that the windows of a zone share.
         for z, (least_off, most_off, _, _) in enumerate(_ZONES):
-            zone = joint[still] >> np.uint64(16 + 10 * z) & np.uint64(1023)
+            zone = zones[still] >> np.uint64(10 * z) & np.uint64(1023)
             at, zone = still[zone > 0], zone[zone > 0]
             if not len(at):
                 continue

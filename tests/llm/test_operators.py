@@ -340,6 +340,19 @@ def test_suffix_dedup(spark, documents):
     assert suffix_dedup.remove_repeats(documents([])).count() == 0
 
 
+def test_equal_hashes_mean_equal_bytes():
+    """50,000 texts of one window around one anchor, a string of a very small hash, are told apart."""
+    rng, hasher = np.random.default_rng(3), suffix_dedup.Hasher()
+    many = rng.integers(97, 123, 200_000).astype(np.uint8)
+    starts = np.arange(len(many) - 20)
+    least = int(hasher.of(hasher.sums(many), starts, starts + 20).argmin())
+    texts = rng.integers(97, 123, (50_000, 50)).astype(np.uint8)
+    texts[:, 15:35] = many[least : least + 20]
+    found = hasher.anchors(texts.ravel(), np.arange(0, texts.size + 1, 50))
+    assert len(found["pos"]) == len(texts) and (found["key"] == found["key"][0]).mean() > 0.99
+    assert len({(k, j) for k, j in zip(found["key"].tolist(), found["joint"].tolist())}) == len(texts)
+
+
 def test_loser_tree():
     rng = np.random.default_rng(2)
     for k in (1, 2, 3, 7):
