@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Frees a query's shuffle files when the query ends.
+_FREE_SHUFFLES_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cpus: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -43,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="barloom-")
     if not spark.sparkContext.getCheckpointDir():
@@ -60,9 +62,15 @@ def written(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] =
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a file read and not a recomputation,
-    and lets later scans prune columns.
+    and lets later scans prune columns. Once the table is written nothing reads the shuffle files
+    behind it, so they are freed at once and do not add up over the steps of a job.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES_KEY, None)
+    spark.conf.set(_FREE_SHUFFLES_KEY, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES_KEY, before) if before else spark.conf.unset(_FREE_SHUFFLES_KEY)
     return spark.read.schema(df.schema).parquet(path)
