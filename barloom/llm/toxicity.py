@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -85,16 +85,18 @@ class _Sparse(NamedTuple):
         return np.bincount(self.cols, self.vals * r[self.rows], minlength=size)
 
 
-def _sparse(counted: Sequence[Counter], index: dict[str, int]) -> _Sparse:
+def _sparse(counted: Iterable[Counter], index: dict[str, int]) -> _Sparse:
     rows, cols, vals = [], [], []
+    n = 0
     for i, counts in enumerate(counted):
+        n = i + 1
         for f, c in counts.items():
             j = index.get(f)
             if j is not None:
                 rows.append(i)
                 cols.append(j)
                 vals.append(c)
-    return _Sparse(np.array(rows, int), np.array(cols, int), np.log1p(np.array(vals, float)), len(counted))
+    return _Sparse(np.array(rows, int), np.array(cols, int), np.log1p(np.array(vals, float)), n)
 
 
 def _select(words: Sequence[Counter], y: np.ndarray, s: Settings) -> list[str]:
@@ -136,10 +138,10 @@ def train(
     words = [word_counts(t) for t in texts]
     names = _select(words, y, settings)
     index = {f: i for i, f in enumerate(names)}
-    x = _sparse([feature_counts(c) for c in words], index)
+    x = _sparse((feature_counts(c) for c in words), index)
     twins = [(i, t) for i, t in enumerate(swapped(c, terms) for c in words) if t]
-    here = _sparse([feature_counts(words[i]) for i, _ in twins], index)
-    there = _sparse([feature_counts(t) for _, t in twins], index)
+    here = _sparse((feature_counts(words[i]) for i, _ in twins), index)
+    there = _sparse((feature_counts(t) for _, t in twins), index)
     pair = weight[[i for i, _ in twins]] if twins else np.zeros(0)
     size = len(names)
     # The step is the inverse of a bound on the curvature, feature by feature.
