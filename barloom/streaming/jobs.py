@@ -18,6 +18,7 @@ from barloom.sinks.tables import read_table, write_new_dates, write_upsert
 from barloom.sources.bars import load_series, stock_rows, stock_table
 from barloom.sources.csv_files import cells_of, stream_files
 
+_STAGED = T.StructType([*STOCK_BARS.fields, T.StructField("file", T.StringType())])
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -26,21 +27,35 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Load stock files that arrive below ``files`` into the bar table, each file once.
 
-    The stream's checkpoint remembers the files; dates the table holds are skipped. A backlog is
-    taken in batches of ``files_per_batch``.
+    The stream's checkpoint remembers the files; dates the table held before are skipped. A backlog
+    is parsed in batches of ``files_per_batch`` files, whose rows are staged below the checkpoint;
+    once all are taken, whole dates are loaded from there, so the borders of the batches do not
+    matter. Rows staged by a run that failed are loaded by the next one. Returns the query when it
+    has ended and the table is written.
     """
     raw = stream_files(spark, files, files_per_batch)
+    staged = f"{checkpoint}/staged"
 
-    def load(batch: DataFrame, _: int) -> None:
-        rows = stock_rows(cells_of(batch))
-        write_new_dates(stock_table(rows), table, STOCK_BARS)
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        # A batch that runs again after a failure replaces its rows.
+        _stage(stock_rows(cells_of(batch)).withColumn("batch", F.lit(batch_id)), staged, "dynamic")
 
-    return (
-        raw.writeStream.foreachBatch(load)
+    query = (
+        raw.writeStream.foreachBatch(stage)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    rows = read_table(spark, staged, _STAGED)
+    write_new_dates(stock_table(rows), table, STOCK_BARS)
+    _stage(spark.createDataFrame([], _STAGED).withColumn("batch", F.lit(0)), staged, "static")
+    return query
+
+
+def _stage(rows: DataFrame, path: str, replace: str) -> None:
+    """Write rows by batch; "dynamic" replaces their batches, "static" all that is staged."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", replace).partitionBy("batch").parquet(path)
 
 
 def stream_indicators(

@@ -1,6 +1,7 @@
 """Files, pages, tables and jobs on small fixtures written by the tests."""
 
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -18,6 +19,7 @@ from barloom.sources.csv_files import read_cells
 from barloom.sources.files import file_hash
 from barloom.sources.pages import extract_records, extract_table, extract_tables_union
 from barloom.sources.reports import read_top10_report
+from barloom.streaming import jobs
 from barloom.streaming.jobs import stream_ingest, stream_indicators
 from test_indicators import walk
 
@@ -289,3 +291,38 @@ def test_backfill_converges(spark):
     some = done.where("NOT (symbol = 'B' AND date = DATE '2024-01-20')")
     fresh = rows_to_backfill(bars, some).select("symbol", "date").collect()
     assert {r["symbol"] for r in fresh} == {"B"} and sorted(r["date"].day for r in fresh) == list(range(20, 30))
+
+
+def test_stream_batches_cut_through_a_date(spark, tmp_path):
+    files, bars, checkpoint = (str(tmp_path / n) for n in ("files", "bars", "checkpoint"))
+    (tmp_path / "files").mkdir()
+    write(tmp_path / "files" / "b", "2024_01_02.csv", HEADER, line("AAA", 10), line("BBB", 11))
+    write(tmp_path / "files" / "a", "2024_01_02.csv", HEADER, line("AAA", 20), line("CCC", 21))
+    # The file whose name sorts last comes first.
+    os.utime(tmp_path / "files" / "b" / "2024_01_02.csv", (1_700_000_000, 1_700_000_000))
+    query = stream_ingest(spark, files, bars, checkpoint, files_per_batch=1)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 2
+
+    def closes():
+        return {r["symbol"]: r["close"] for r in tables.read_table(spark, bars, STOCK_BARS).collect()}
+
+    assert closes() == {"AAA": 10, "BBB": 11, "CCC": 21}
+    # A date that an earlier run loaded is skipped, and nothing stays staged.
+    write(tmp_path / "files" / "c", "2024_01_02.csv", HEADER, line("DDD", 30))
+    for _ in range(2):
+        stream_ingest(spark, files, bars, checkpoint, files_per_batch=1).awaitTermination()
+        assert closes() == {"AAA": 10, "BBB": 11, "CCC": 21}
+    assert not list((tmp_path / "checkpoint" / "staged").rglob("*.parquet"))
+
+
+def test_stream_run_that_failed_is_completed(spark, tmp_path, monkeypatch):
+    files, bars, checkpoint = (str(tmp_path / n) for n in ("files", "bars", "checkpoint"))
+    write(tmp_path / "files", "2024_01_02.csv", HEADER, line("AAA", 10))
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_new_dates", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stream_ingest(spark, files, bars, checkpoint)
+    write(tmp_path / "files", "2024-01-02.csv", HEADER, line("BBB", 11))
+    stream_ingest(spark, files, bars, checkpoint).awaitTermination()
+    assert {r["symbol"] for r in tables.read_table(spark, bars, STOCK_BARS).collect()} == {"AAA", "BBB"}
