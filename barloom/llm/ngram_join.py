@@ -214,10 +214,19 @@ def _compare(threshold: float, tolerance: float):
 
 
 def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    tolerance: float = TOLERANCE,
+    digests: bool = False,
 ) -> DataFrame:
     """One row per input row: ``key``, ``class_id``, ``n_links``, ``n_copies``.
 
+    With ``digests`` also ``digest``, the MD5 of the row's text (a null one counts as empty), and
+    ``class_digest``: ``class_id`` and ``class_digest`` together name one text of the class, also
+    where a key has several texts.
+
     Two rows are linked if the Jaccard similarity of their texts' 5-word n-grams is ``threshold``
     or more. ``class_id`` is the least key of a row's connected component, ``n_links`` the number of
     other rows it is linked to, copies of its own text included; ``n_copies`` counts those alone.
@@ -281,8 +290,14 @@ def near_duplicates(
         .join(part_of, F.col("rep") == F.col("node"), "left")
         .withColumn("component", F.coalesce("component", "rep"))
     )
-    least = grouped.groupBy("component").agg(F.min("first_key").alias("class_id"))
-    per_text = grouped.join(least, "component").select("digest", "copies", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
+    least = grouped.groupBy("component").agg(F.min(F.struct("first_key", "digest")).alias("least"))
+    per_text = grouped.join(least, "component").select(
+        "digest",
+        "copies",
+        F.col("least.first_key").alias("class_id"),
+        F.col("least.digest").alias("class_digest"),
+        F.coalesce("links", F.lit(0)).alias("links"),
+    )
     # A text that a third of all rows copy is one row here; its join partition is split at run time.
     found = light.join(per_text, "digest", "left")
     linked = F.col("copies").isNotNull() & real
@@ -291,4 +306,5 @@ def near_duplicates(
         F.when(linked, F.col("class_id")).otherwise(F.col("key")).alias("class_id"),
         F.when(linked, F.col("links") + F.col("copies") - 1).otherwise(F.lit(0)).cast("bigint").alias("n_links"),
         F.when(linked, F.col("copies") - 1).otherwise(F.lit(0)).cast("bigint").alias("n_copies"),
+        *([F.col("digest"), F.when(linked, F.col("class_digest")).otherwise(F.col("digest")).alias("class_digest")] if digests else []),
     )

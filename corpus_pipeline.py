@@ -24,18 +24,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of linked documents the one with the least id; rows without an id stay."""
-    classes = ngram_join.near_duplicates(docs)
-    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias("_first")).distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return (
-        docs.select(*COLUMNS)
-        .join(first, F.col("doc_id") == F.col("_first"), "left")
-        .where("_first IS NOT NULL OR doc_id IS NULL")
-        .withColumn("_nth", nth)
-        .where("_nth = 1 OR doc_id IS NULL")
-        .select(*COLUMNS)
+    """Of every class of linked documents one text, that of the least id; rows without an id stay.
+
+    Texts are told apart by id and text, so different texts with one id each count for
+    themselves; of rows equal in both, the one least in its other columns stays.
+    """
+    classes = ngram_join.near_duplicates(docs, digests=True)
+    # Not made distinct: grouped by digest, all copies of one text would go to one task.
+    first = classes.where("doc_id = class_id AND digest = class_digest").select("doc_id", F.col("digest").alias("_digest"))
+    rows = docs.select(*COLUMNS)
+    # A null text has the digest of an empty one, but is not equal to it.
+    same = Window.partitionBy("doc_id", "_digest", F.col("text").isNull()).orderBy("lang", "source", "n_chars")
+    named = (
+        rows.where("doc_id IS NOT NULL")
+        .withColumn("_digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+        .join(first, ["doc_id", "_digest"], "left_semi")
+        .withColumn("_nth", F.row_number().over(same))
+        .where("_nth = 1")
     )
+    return named.select(*COLUMNS).unionByName(rows.where("doc_id IS NULL"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,3 +32,22 @@ def test_stages(spark, documents, tmp_path):
     out = pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in out} == set(kept)
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "decontamination", "secret_scan", "sentencepiece"]
+
+
+def test_texts_that_share_an_id_count_for_themselves(spark, documents, tmp_path):
+    a, b, c = (prose(60, s) for s in (1, 2, 3))
+    rows = [
+        (5, a), (5, b), (7, b), (8, b + " more"), (9, a), (9, c), (9, c), (5, a + " more"),
+        (4, None), (4, ""), (4, None), (None, a), (None, a),
+    ]
+    docs = documents(rows).repartition(5)
+    kept = pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=repr)
+    of_a = next(t for k, t in got if k == 5 and t.startswith(a))
+    assert got == sorted([(5, of_a), (5, b), (9, c), (4, None), (4, ""), (None, a), (None, a)], key=repr)
+
+
+def test_equal_rows_keep_the_least(spark, documents, tmp_path):
+    rows = [(1, prose(30, 1), s) for s in ("b", "a", "c")]
+    kept = pipeline.drop_near_duplicates(spark, documents(rows).repartition(3), str(tmp_path)).collect()
+    assert [r["source"] for r in kept] == ["a"]
