@@ -17,9 +17,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the given labels, does not call toxic."""
+    """Documents that the classifier, trained on the given labels, does not call toxic.
+
+    If no feature can be learned from them (no labels, none that match a document outside the
+    held-out fold, or a single class), the classifier tells no documents apart and all are kept.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
+    if not model.keys() - {""}:
+        return docs.select(*COLUMNS)
     return toxicity.score(docs.select(*COLUMNS), model, out="_score").where("_score < 0.5").drop("_score")
 
 

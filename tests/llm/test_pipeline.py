@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline as pipeline
 
 from test_operators import prose
@@ -51,3 +53,11 @@ def test_equal_rows_keep_the_least(spark, documents, tmp_path):
     rows = [(1, prose(30, 1), s) for s in ("b", "a", "c")]
     kept = pipeline.drop_near_duplicates(spark, documents(rows).repartition(3), str(tmp_path)).collect()
     assert [r["source"] for r in kept] == ["a"]
+
+
+@pytest.mark.parametrize("labels", [[], [(1, None), (2, None)], [(1_000_000 + k, k % 2) for k in range(50)], [(k, 1) for k in range(40)]])
+def test_labels_without_a_model_reject_nothing(spark, documents, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(k, prose(20, k)) for k in range(40)] + [(None, "x"), (41, None)]
+    kept = pipeline.drop_toxic(spark, documents(rows), str(tmp_path))
+    assert kept.columns == pipeline.COLUMNS and kept.count() == len(rows)
