@@ -111,6 +111,16 @@ def date_from_filename(path: Column) -> Column:
     return F.coalesce(date_from_name(file_stem(path)), date_from_name(folder))
 
 
+def is_part_file(path: Column) -> Column:
+    """True for one of the files that a Spark job writes into a folder."""
+    return path.rlike("(^|/)part-[0-9]+[^/]*$")
+
+
+def delivery(path: Column) -> Column:
+    """What a file was delivered as: one name for all part files of a folder, else the file's own."""
+    return F.regexp_replace(path, "(^|/)part-[0-9]+[^/]*$", "$1part-")
+
+
 def drop_placeholder_rows(df: DataFrame, column: str = "symbol") -> DataFrame:
     """Drop rows without a symbol and the row that stands for an empty day."""
     c = F.col(column)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.clean import strip
@@ -15,25 +15,31 @@ def one_file_per_date(files: DataFrame, date: str = "date", name: str = "file")
     return files.where(F.col(date).isNotNull()).groupBy(date).agg(F.max(name).alias(name))
 
 
-def content_fingerprint(rows: DataFrame, file: str = "file", cells: str = "cells") -> DataFrame:
+def content_fingerprint(
+    rows: DataFrame, file: str = "file", cells: str = "cells", once: Column | None = None
+) -> DataFrame:
     """MD5 per file over its trimmed rows, whatever their order: (file, n_rows, fingerprint).
 
     The MD5 of each row is cut into four numbers, and a file is the row count and the sums of
     those numbers. Sums do not depend on the order and combine map-side, so a huge file needs
-    neither a sort nor a list of its rows.
+    neither a sort nor a list of its rows. Rows marked by ``once``, such as the header that every
+    part of a file repeats, count as one row per file.
     """
     trimmed = F.transform(cells, lambda c: strip(F.coalesce(c, F.lit(""))))
     # Every cell goes in with its length, so no text in a cell looks like a border between cells.
     sized = F.transform(trimmed, lambda c: F.concat(F.length(c).cast("string"), F.lit(":"), c))
     row = F.md5(F.array_join(sized, ""))
-    hashed = rows.select(file, row.alias("h"))
+    hashed = rows.select(file, row.alias("h"), (F.lit(False) if once is None else once).alias("once"))
+
+    def total(c: Column) -> Column:
+        each = F.coalesce(F.sum(F.when(~F.col("once"), c)), F.lit(0))
+        return each + F.coalesce(F.max(F.when(F.col("once"), c)), F.lit(0))
+
     words = [
-        F.sum(
-            F.conv(F.substring("h", 1 + _WORD * i, _WORD), 16, 10).cast("decimal(20,0)")
-        ).alias(f"w{i}")
+        total(F.conv(F.substring("h", 1 + _WORD * i, _WORD), 16, 10).cast("decimal(20,0)")).alias(f"w{i}")
         for i in range(4)
     ]
-    sums = hashed.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"), *words)
+    sums = hashed.groupBy(file).agg(total(F.lit(1).cast("bigint")).alias("n_rows"), *words)
     digest = F.md5(F.concat_ws(",", "n_rows", *[F.col(f"w{i}").cast("string") for i in range(4)]))
     return sums.select(file, "n_rows", digest.alias("fingerprint"))
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.clean import date_from_filename
+from barloom.functions.clean import date_from_filename, delivery, is_part_file
 from barloom.operators.blocks import BLOCK_ROWS
 from barloom.operators.completeness import dates_to_compute, existing_dates, newest_first_until, not_yet_loaded
 from barloom.operators.dedupe import content_fingerprint, find_duplicates, one_file_per_date
@@ -16,9 +16,12 @@ from barloom.schema import INDEX_BARS, INDICATOR_COLUMNS, INDICATORS, KEYS, STOC
 from barloom.session import written
 from barloom.sinks.tables import read_table, upsert, write_new_dates, write_upsert
 from barloom.sources.bars import (
+    INDEX_MARKER,
+    STOCK_MARKER,
     bars_for_date,
     index_rows,
     index_table,
+    is_header,
     load_series,
     read_index_bars,
     read_stock_bars,
@@ -120,20 +123,25 @@ def ingest_history(
 ) -> None:
     """Load a folder of daily files of one ``kind`` ("stock" or "index") into the table at ``path``.
 
-    Files without a date are left out and, with ``skip_copies``, those that repeat the content of a
-    file with a smaller name. Of the others one file counts per date, the last by name; dates up to
-    ``cutoff`` and dates that the table holds are skipped. All choices are made on one row per file.
+    A delivery is a file, or all part files that Spark left in a folder. Those without a date are
+    left out and, with ``skip_copies``, those that repeat the content of one with a smaller name. Of
+    the others one delivery counts per date, the last by name, with all its parts; dates up to
+    ``cutoff`` and dates that the table holds are skipped. All choices are made on one row per
+    delivery.
     """
-    to_rows, to_table, schema = {
-        "stock": (stock_rows, stock_table, STOCK_BARS),
-        "index": (index_rows, index_table, INDEX_BARS),
+    to_rows, to_table, schema, marker = {
+        "stock": (stock_rows, stock_table, STOCK_BARS, STOCK_MARKER),
+        "index": (index_rows, index_table, INDEX_BARS, INDEX_MARKER),
     }[kind]
-    cells = read_cells(spark, files)
-    names = cells.select("file").distinct()
+    cells = read_cells(spark, files).withColumn("delivery", delivery(F.col("file")))
+    names = cells.select("delivery").distinct()
     if skip_copies:
-        prints = written(content_fingerprint(cells), "fingerprints")
-        names = prints.select("file").join(find_duplicates(prints), "file", "left_anti")
-    dated = names.withColumn("date", date_from_filename(F.col("file")))
-    wanted = newest_first_until(one_file_per_date(dated), cutoff)
-    chosen = written(not_yet_loaded(wanted, read_table(spark, path, schema)), "files")
-    write_new_dates(to_table(to_rows(cells.join(chosen, "file", "left_semi"))), path, schema)
+        # Every part has the header; it counts once, however many parts there are.
+        repeated = is_part_file(F.col("file")) & is_header(cells, marker)
+        prints = written(content_fingerprint(cells, "delivery", once=repeated), "fingerprints")
+        names = prints.select("delivery").join(find_duplicates(prints, "delivery"), "delivery", "left_anti")
+    dated = names.withColumn("date", date_from_filename(F.col("delivery")))
+    wanted = newest_first_until(one_file_per_date(dated, name="delivery"), cutoff)
+    chosen = written(not_yet_loaded(wanted, read_table(spark, path, schema)), "deliveries")
+    rows = cells.join(chosen, "delivery", "left_semi").select("file", "cells")
+    write_new_dates(to_table(to_rows(rows)), path, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.clean import (
@@ -21,9 +21,17 @@ from barloom.operators.dedupe import dedupe_bars
 from barloom.schema import INDEX_BARS, INDEX_HEADERS, STOCK_BARS, STOCK_HEADERS, align_to_schema
 from barloom.sources.csv_files import read_cells
 
+# Cells that only a header row has.
+STOCK_MARKER, INDEX_MARKER = ("Symbol",), ("Index", "index")
 SERIES_MEASURES = ("open", "high", "low", "close", "ltp", "vol")
 
 
+def is_header(cells: DataFrame, marker: tuple[str, ...]) -> Column:
+    """True for the rows with a ``marker`` cell."""
+    trimmed = F.transform(cells["cells"], lambda c: strip(F.coalesce(c, F.lit(""))))
+    return F.arrays_overlap(trimmed, F.array(*[F.lit(m) for m in marker]))
+
+
 def _by_header(cells: DataFrame, marker: tuple[str, ...], names: Mapping[str, str]) -> DataFrame:
     """Columns found by header name, file by file, so files may order their columns freely.
 
@@ -60,7 +68,7 @@ def stock_rows(cells: DataFrame) -> DataFrame:
     Files without a date in their name are skipped, as are rows without a symbol and the
     row that says that a day has no record.
     """
-    rows = drop_placeholder_rows(_by_header(cells, ("Symbol",), STOCK_HEADERS))
+    rows = drop_placeholder_rows(_by_header(cells, STOCK_MARKER, STOCK_HEADERS))
     measures = [c for c in STOCK_HEADERS.values() if c != "symbol"]
     typed = rows.select(
         date_from_filename(F.col("file")).alias("date"),
@@ -82,7 +90,7 @@ def index_rows(cells: DataFrame) -> DataFrame:
     ``_corrupt`` marks rows with a measure that is text; such a measure is null.
     """
     names = INDEX_HEADERS | {n: n for n in INDEX_HEADERS.values()}
-    rows = _by_header(cells, ("Index", "index"), names)
+    rows = _by_header(cells, INDEX_MARKER, names)
     measures = [c for c in INDEX_HEADERS.values() if c != "index"]
     corrupt = F.lit(False)
     for c in measures:

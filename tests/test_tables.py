@@ -11,7 +11,7 @@ from barloom.functions import calendar as C
 from barloom.functions import clean as P
 from barloom.operators import completeness as G
 from barloom.operators import dedupe as D
-from barloom.plans.incremental import ingest_today, rows_to_backfill, run_backfill, run_daily
+from barloom.plans.incremental import ingest_history, ingest_today, rows_to_backfill, run_backfill, run_daily
 from barloom.schema import INDEX_BARS, INDICATORS, STOCK_BARS, align_to_schema
 from barloom.sinks import exports, tables
 from barloom.sources.bars import read_index_bars, read_stock_bars, stock_table
@@ -326,3 +326,30 @@ def test_stream_run_that_failed_is_completed(spark, tmp_path, monkeypatch):
     write(tmp_path / "files", "2024-01-02.csv", HEADER, line("BBB", 11))
     stream_ingest(spark, files, bars, checkpoint).awaitTermination()
     assert {r["symbol"] for r in tables.read_table(spark, bars, STOCK_BARS).collect()} == {"AAA", "BBB"}
+
+
+def test_history_loads_all_parts_of_a_day(spark, tmp_path):
+    d = tmp_path / "files"
+    a, b, c = (line(s, i) for i, s in enumerate(("AAA", "BBB", "CCC"), 1))
+    for folder in ("a/date=2024-01-02", "b/date=2024-01-02", "b/date=2024-01-03", "b/date=2024-01-04"):
+        (d / folder).mkdir(parents=True)
+    # The last delivery of the 2nd has two parts; the copy of it on the 3rd is cut otherwise.
+    write(d / "a/date=2024-01-02", "part-00000-x.c000.csv", HEADER, line("OLD", 9))
+    write(d / "b/date=2024-01-02", "part-00000-y.c000.csv", HEADER, a, b)
+    write(d / "b/date=2024-01-02", "part-00001-y.c000.csv", HEADER, c)
+    write(d / "b/date=2024-01-03", "part-00000-z.c000.csv", HEADER, a, b, c)
+    # One part equals a part of the 2nd, but the day is no copy.
+    write(d / "b/date=2024-01-04", "part-00000-y.c000.csv", HEADER, c)
+    write(d / "b/date=2024-01-04", "part-00001-y.c000.csv", HEADER, line("DDD", 4))
+    # Files named by their date stay deliveries of their own.
+    write(d, "2024_01_05.csv", HEADER, line("EEE", 5))
+    write(d, "2024-01-05.csv", HEADER, line("FFF", 6))
+
+    def loaded(**options):
+        path = str(tmp_path / f"t{len(options)}")
+        ingest_history(spark, str(d), path, **options)
+        return sorted((r["date"].day, r["symbol"]) for r in tables.read_table(spark, path, STOCK_BARS).collect())
+
+    want = [(2, "AAA"), (2, "BBB"), (2, "CCC"), (4, "CCC"), (4, "DDD"), (5, "EEE")]
+    assert loaded() == want
+    assert loaded(skip_copies=False) == sorted(want + [(3, "AAA"), (3, "BBB"), (3, "CCC")])
