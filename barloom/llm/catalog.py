@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import archive, decontaminate, hilbert, ngram_join, pieces, quality, records, secrets, suffix_dedup, toxicity
+from barloom.llm import archive, decontaminate, hilbert, ngram_join, periodic, pieces, quality, records, secrets, spelling, suffix_dedup, toxicity, url_filter
+from barloom.llm.expressions import let
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -244,3 +245,112 @@ from base left join kept using (doc_id)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+URL_RULES = [
+    url_filter.rule("allow", "org/"),
+    url_filter.rule("block", "example.org/es/"),
+    url_filter.rule("block", "example.org/en/1"),
+    url_filter.rule("allow", "com/fr/"),
+    url_filter.rule("block", "com/de/"),
+]
+_RULE_ROWS = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+_URL_SQL = f"""
+with rules(h, p, v) as (values {_RULE_ROWS}),
+parts as (
+  select page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['host', 'path']) as x from pages
+), named as (
+  select page_id, translate(x.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, x.path as path from parts
+), fitting as (
+  select page_id, host, path, h || p as rule, v
+  from named left join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+  qualify row_number() over (partition by page_id order by length(h) desc nulls last, length(p) desc nulls last) = 1
+)
+select page_id, host, path, rule, coalesce(v, 'allow') as verdict from fitting
+"""
+
+
+@query("op11_url_filter", _URL_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_SPELLING_SQL = """
+with recursive steps as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), runs as (
+  select doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as r
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as r from documents)
+), counted as (
+  select doc_id, r, count(*) as k, hex(encode(coalesce(doc_id::varchar, '') || ':' || r)) as x from runs group by doc_id, r
+), hashed as (
+  select r, k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, length(x), 2), lambda i: ('0x' || substr(x, i + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h
+  from counted, steps
+), words as materialized (
+  select word, sum(k)::bigint as n
+  from (select k, case when h % 31 = 0 then substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) else r end as word from hashed)
+  where length(word) >= 7 group by word having sum(k) >= 2
+), gaps as materialized (
+  select word, n, i, substr(word, 1, i) || substr(word, i + 2) as g from words, unnest(range(length(word))) as u(i)
+), near as (
+  select a.word, b.word as other, b.n as m from gaps a join gaps b on a.i = b.i and a.g = b.g and a.word <> b.word
+  union select gaps.word, words.word, words.n from gaps join words on gaps.g = words.word
+  union select words.word, gaps.word, gaps.n from gaps join words on gaps.g = words.word
+), best as (
+  select word, count(*) as n_near, max(m) as m, arg_min(other, other) filter (m = top) as form
+  from (select *, max(m) over (partition by word) as top from near) group by word
+), forms as materialized (
+  select words.word, n, coalesce(n_near, 0) as n_near, case when m >= 10 * n then form end as form, case when m >= 10 * n then m end as form_n
+  from words left join best using (word)
+), chain(word, form, step) as (
+  select word, form, 1 from forms where form is not null
+  union all select chain.word, forms.form, step + 1 from chain join forms on forms.word = chain.form where forms.form is not null
+), roots as (select word, arg_max(form, step) as root from chain group by word)
+select word, form, coalesce(root, word) as root, n, n_near, form_n from forms left join roots using (word)
+"""
+
+
+@query("op12_spelling_groups", _SPELLING_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"))
+    return spelling.group_spellings(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def with_planted_period(df: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; of a tenth of the texts the end repeats a stretch of its own.
+
+    With h the crc32 of the decimal doc_id and g = h div 10, a text with h % 10 = 0 and n > 0 words is
+    periodic from word a = g % n on, with period 1 + (n - a) div (3 + g % 8). Others stay as they are, also
+    those without a doc_id.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = ((h - h % 10) / 10).cast("bigint")
+
+    def changed(words):
+        n = F.greatest(F.size(words), F.lit(1))
+        a = (g % n).cast("int")
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("int")
+        place = lambda i, x: F.when(i < x["a"], i).otherwise(x["a"] + (i - x["a"]) % x["p"])
+        turned = lambda x: F.transform(words, lambda _, i: F.get(words, place(i, x)))
+        return F.array_join(let(F.struct(a.alias("a"), p.alias("p")), turned), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return df.select("doc_id", F.when(h % 10 == 0, let(words, changed)).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_period(table(spark, sf_dir, "documents")))
+    # Runs come by start, then period, so of equal exponents the first one stays.
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    better = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.reduce("runs", none, lambda best, r: F.when(better(best, r), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256",
+    )
