@@ -8,6 +8,7 @@ group is larger than a block. Series that fit into one block are left as they ar
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,12 +27,16 @@ BLOCK, HALO = "_blk", "_halo"
 
 @dataclass(frozen=True)
 class Blocked:
-    """Rows with their block; ``split`` is false when every series is a single block."""
+    """Rows with their block; ``split`` is false when every series is a single block.
+
+    ``full`` holds the columns that were found to hold no null.
+    """
 
     df: DataFrame
     key: str
     order: str
     split: bool
+    full: frozenset[str] = frozenset()
 
     @property
     def window(self) -> SeriesWindow:
@@ -91,9 +96,12 @@ def split_series(
     rows: int = BLOCK_ROWS,
     key: str = "symbol",
     order: str = "date",
+    look_for_nulls: Collection[str] = (),
 ) -> Blocked:
     """Assign blocks to a table that is unique on (key, order), ``order`` being a date.
 
+    The count of rows also tells which columns of ``look_for_nulls`` hold no null.
+
     The sizes are computed first (a scan of one or two columns) because they decide the
     plan: no series above ``rows`` means no split at all, a block table of proven small size
     is broadcast, and any other is joined with a shuffle, where adaptive execution splits a
@@ -105,14 +113,17 @@ def split_series(
     # branches can share one shuffle.
     # A row without a date has no place in a series, whether the series is split or not.
     df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    columns = [c for c in look_for_nulls if c in df.columns]
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"_n_{c}") for c in columns])
+    sizes = counts.agg(F.max("n"), *[F.sum(F.col("n") - F.col(f"_n_{c}")) for c in columns]).first()
+    longest, full = sizes[0], frozenset(c for c, nulls in zip(columns, sizes[1:]) if not nulls)
     if (longest or 0) <= rows:
-        return Blocked(df, key, order, False)
+        return Blocked(df, key, order, False, full)
     shared_dir(df.sparkSession)
     bounds = block_bounds(df, rows, halo, key, order).checkpoint()
     entries = bounds.agg(F.sum(F.size("_blocks"))).first()[0]
     if not entries:
-        return Blocked(df, key, order, False)
+        return Blocked(df, key, order, False, full)
     if entries <= BROADCAST_BLOCKS:
         bounds = F.broadcast(bounds)
     cell = _cell(order)
@@ -130,4 +141,4 @@ def split_series(
         .withColumns({BLOCK: F.col("_at.blk"), HALO: F.col("_at.halo")})
         .drop("_blocks", "_at")
     )
-    return Blocked(marked, key, order, True)
+    return Blocked(marked, key, order, True, full)

@@ -19,6 +19,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barloom.functions.series import (
     TYPICAL_PRICE,
@@ -27,7 +28,7 @@ from barloom.functions.series import (
     ratio,
     true_range,
 )
-from barloom.operators.blocks import BLOCK_ROWS, HALO, split_series
+from barloom.operators.blocks import BLOCK, BLOCK_ROWS, HALO, Blocked, split_series
 from barloom.operators.recurrence import (
     ANYWHERE,
     LEADING,
@@ -133,15 +134,6 @@ def _mentions(indicator: Indicator, name: str) -> bool:
 # -- shared columns -------------------------------------------------------------------
 
 
-def _nullable(column: str) -> bool:
-    # Any column may have gaps: a close that is text or not a number is null after the cast.
-    return True
-
-
-def _nulls(column: str, otherwise: str = NEVER) -> str:
-    return ANYWHERE if _nullable(column) else otherwise
-
-
 def _both(*parts: Windowed) -> Windowed:
     return lambda w: {name: sql for part in parts for name, sql in part(w).items()}
 
@@ -152,6 +144,7 @@ def _lagged(column: str, n: int = 1) -> Windowed:
 
 _PREV_CLOSE = _lagged("close")
 _TR = {"_tr": true_range("_lag1_close")}
+_TR_GAPS = {"made_of": ("high", "low"), "otherwise": NEVER}
 _TP = {"_tp": TYPICAL_PRICE}
 _TP_MOVE = {"_tp_move": "_tp - _lag1__tp"}
 
@@ -222,9 +215,11 @@ def rsi(period: int = 14, column: str = "close") -> Indicator:
     """Relative strength from Wilder means of gains and losses; null while losses are zero."""
     out, move = f"rsi_{period}", f"(`{column}` - _lag1_{column})"
     gain, loss = f"_gain_{column}", f"_loss_{column}"
-    a, nulls = wilder_alpha(period), _nulls(column, LEADING)
-    up = Ewm(f"_mean{period}{gain}", gain, a, period, nulls)
-    down = Ewm(f"_mean{period}{loss}", loss, a, period, nulls)
+    # Any column may have gaps: a close that is text or not a number is null after the cast. Where
+    # there are none, only the first row has no move.
+    a, gaps = wilder_alpha(period), {"made_of": (column,), "otherwise": LEADING}
+    up = Ewm(f"_mean{period}{gain}", gain, a, period, **gaps)
+    down = Ewm(f"_mean{period}{loss}", loss, a, period, **gaps)
     return Indicator(
         (out,),
         history=1,
@@ -240,7 +235,7 @@ def rsi(period: int = 14, column: str = "close") -> Indicator:
 
 def _ema_scan(period: int, column: str) -> Ewm:
     out = f"ema_{period}" if column == "close" else f"ema_{period}_{column}"
-    return Ewm(out, column, span_alpha(period), nulls=_nulls(column))
+    return Ewm(out, column, span_alpha(period), made_of=(column,), otherwise=NEVER)
 
 
 def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close") -> Indicator:
@@ -250,7 +245,7 @@ def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close")
         ("macd_line", "macd_signal", "macd_hist"),
         scans=(quick, slower),
         derived2={"macd_line": f"{quick.out} - {slower.out}"},
-        scans2=(Ewm("macd_signal", "macd_line", span_alpha(signal), nulls=_nulls(column)),),
+        scans2=(Ewm("macd_signal", "macd_line", span_alpha(signal), made_of=(column,), otherwise=NEVER),),
         final={"macd_hist": "macd_line - macd_signal"},
     )
 
@@ -318,13 +313,12 @@ def sma(period: int = 5, column: str = "close") -> Indicator:
     if n <= SUMMED_FRAME:
         mean = f"{_sum(_values(column, n))} / {n}"
         return Indicator((out,), history=n, near=_lags(column, n), derived={out: mean})
-    nullable = _nullable(column)
-    mean = full(f"({total} - coalesce(_lag{n}_{total}, 0D)) / {n}", column, n, nullable)
+    mean = full(f"({total} - coalesce(_lag{n}_{total}, 0D)) / {n}", column, n)
     return Indicator(
         (out,),
         history=n,
         near=lambda w: {
-            **w.marks(column, n, nullable=nullable),
+            **w.marks(column, n),
             total: f"sum(`{column}`) {w.running}",
         },
         far=_lagged(total, n),
@@ -341,7 +335,7 @@ def adx(window: int = 14) -> Indicator:
     """Directional movement: +DI, -DI and the Wilder mean of their relative distance."""
     a, n = wilder_alpha(window), window
     up, down = "(high - _lag1_high)", "(_lag1_low - low)"
-    tr = Ewm(f"_mean{n}_tr", "_tr", a, n)
+    tr = Ewm(f"_mean{n}_tr", "_tr", a, n, **_TR_GAPS)
     plus_dm = Ewm(f"_mean{n}_plus_dm", "_plus_dm", a, n, NEVER)
     minus_dm = Ewm(f"_mean{n}_minus_dm", "_minus_dm", a, n, NEVER)
     plus, minus = (f"100 * {ratio(dm.out, tr.out)}" for dm in (plus_dm, minus_dm))
@@ -396,7 +390,7 @@ def acceleration(window: int = 12, smooth: int = 3, column: str = "close") -> In
 
 
 def atr(period: int = 14) -> Indicator:
-    scan = Ewm(f"_mean{period}_tr", "_tr", wilder_alpha(period), period)
+    scan = Ewm(f"_mean{period}_tr", "_tr", wilder_alpha(period), period, **_TR_GAPS)
     return Indicator(
         (f"atr_{period}",),
         history=1,
@@ -496,8 +490,9 @@ def mfi(period: int = 14) -> Indicator:
 def kvo(fast: int = 34, slow: int = 55) -> Indicator:
     """Difference of two exponential means of volume signed and scaled by the price move."""
     move = f"({_TP_MOVE['_tp_move']})"
-    quick = Ewm(f"_mean{fast}_vf", "_vf", span_alpha(fast))
-    slower = Ewm(f"_mean{slow}_vf", "_vf", span_alpha(slow))
+    gaps = {"made_of": ("high", "low", "close", "vol"), "otherwise": LEADING}
+    quick = Ewm(f"_mean{fast}_vf", "_vf", span_alpha(fast), **gaps)
+    slower = Ewm(f"_mean{slow}_vf", "_vf", span_alpha(slow), **gaps)
     return Indicator(
         ("kvo",),
         history=1,
@@ -536,6 +531,15 @@ def default_indicators() -> list[Indicator]:
 # -- evaluation -----------------------------------------------------------------------
 
 
+def look_back(indicators: Sequence[Indicator]) -> int:
+    """Earlier rows of a series that window columns need besides the states of the scans."""
+    return max([i.history for i in indicators], default=0)
+
+
+def _block_rows(indicators: Sequence[Indicator], rows: int) -> int:
+    return block_rows_for([s for i in indicators for s in (*i.scans, *i.scans2)], rows)
+
+
 def compute(
     series: DataFrame,
     indicators: Sequence[Indicator],
@@ -544,13 +548,51 @@ def compute(
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per row of ``series`` (unique on key and order): the keys and all outputs."""
-    scans = [s for i in indicators for s in i.scans]
-    scans2 = [s for i in indicators for s in i.scans2]
+    scans = [s for i in indicators for s in (*i.scans, *i.scans2)]
+    inputs = {c for s in scans if isinstance(s, Ewm) for c in s.made_of}
+    blocked = split_series(series, look_back(indicators), _block_rows(indicators, rows), key, order, inputs)
+    return _evaluate(blocked, indicators)
+
+
+def resume(
+    series: DataFrame,
+    entering: DataFrame,
+    indicators: Sequence[Indicator],
+    earlier: str,
+    keep: str,
+    key: str = "symbol",
+    order: str = "date",
+    rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``compute`` for series that go on behind stored rows.
+
+    ``series`` holds, besides the new rows, the last ``look_back(indicators)`` rows before them (or all
+    there are), marked by the boolean column ``earlier``; ``entering`` (key, scans) the states behind
+    the last of these. Gives a row per new row: keys, outputs, and in ``scans`` the states behind
+    the row where the column ``keep`` says so, else null. A series without a state starts anew.
+    """
+    blocked = split_series(series, look_back(indicators), _block_rows(indicators, rows), key, order)
+    df = blocked.df
+    if not blocked.split:
+        df = df.selectExpr("*", f"0L AS {BLOCK}", f"false AS {HALO}")
+    # An earlier row is no row of its block, wherever it stands.
+    df = df.withColumn(HALO, F.col(HALO) | F.col(earlier))
+    return _evaluate(Blocked(df, key, order, True), indicators, entering, keep).withColumnRenamed("_states", "scans")
+
+
+def _evaluate(
+    blocked: Blocked, indicators: Sequence[Indicator], entering: DataFrame | None = None, keep: str | None = None
+) -> DataFrame:
+    """Keys and outputs of the blocks' own rows; with ``keep`` also ``_states``."""
+
+    def scans_of(part: str) -> list[Scan]:
+        scans = [s for i in indicators for s in getattr(i, part)]
+        return [s.given(blocked.full) if isinstance(s, Ewm) else s for s in scans]
+
+    scans, scans2 = scans_of("scans"), scans_of("scans2")
     _merged([{s.out: repr(s)} for s in scans + scans2])
-    halo = max([i.history for i in indicators], default=0)
-    blocked = split_series(series, halo, block_rows_for(scans + scans2, rows), key, order)
     w = blocked.window
-    one, two = BlockScan(blocked, scans, "s1"), BlockScan(blocked, scans2, "s2")
+    one, two = (BlockScan(blocked, of, level, entering) for of, level in ((scans, "s1"), (scans2, "s2")))
 
     def plain(part: str) -> dict[str, str]:
         return _merged([getattr(i, part) for i in indicators])
@@ -576,8 +618,12 @@ def compute(
     stages.add(two.sums())
     stages = two.finish(stages)
     stages.add(plain("final"))
+    outputs = list(dict.fromkeys(o for i in indicators for o in i.outputs))
+    if keep:
+        states = ", ".join(one.states() + two.states())
+        stages.add({"_states": f"CASE WHEN `{keep}` THEN array({states}) END"})
+        outputs.append("_states")
     df = stages.df
     if blocked.split:
         df = df.where(f"NOT {HALO}")
-    outputs = dict.fromkeys(o for i in indicators for o in i.outputs)
-    return df.select(order, key, *outputs)
+    return df.select(blocked.order, blocked.key, *outputs)

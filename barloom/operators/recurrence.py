@@ -10,8 +10,8 @@ corrects the block's rows: ``y = y_local + q * delta``.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Collection, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from barloom.functions.series import add_columns
 from barloom.operators.blocks import BLOCK, BLOCK_ROWS, Blocked, split_series
 from barloom.operators.stages import Stages
+from barloom.session import written
 
 # Where nulls can occur in a scanned column: nowhere, only before its first value, or anywhere.
 NEVER, LEADING, ANYWHERE = "never", "leading", "anywhere"
@@ -41,11 +42,19 @@ class Ewm:
     alpha: float
     min_periods: int = 1
     nulls: str = ANYWHERE
+    # Where nulls can occur if the columns of ``made_of`` hold none.
+    made_of: tuple[str, ...] = ()
+    otherwise: str = ANYWHERE
 
     def __post_init__(self) -> None:
         if not 0 < self.alpha <= 1:
             raise ValueError("alpha must be in (0, 1]")
 
+    def given(self, full: Collection[str]) -> Ewm:
+        """The scan for a table in which the columns ``full`` hold no null."""
+        known = self.made_of and set(self.made_of) <= set(full)
+        return replace(self, nulls=self.otherwise) if known else self
+
 
 @dataclass(frozen=True)
 class Total:
@@ -77,8 +86,10 @@ class BlockScan:
     put into the same projections as its own window columns.
     """
 
-    def __init__(self, blocked: Blocked, scans: Sequence[Scan], level: str):
-        self.b, self.level, self.w = blocked, level, blocked.window
+    def __init__(
+        self, blocked: Blocked, scans: Sequence[Scan], level: str, entering: DataFrame | None = None
+    ):
+        self.b, self.level, self.w, self.entering = blocked, level, blocked.window, entering
         self.scans = list({s.out: s for s in scans}.values())
         self.means = [s for s in self.scans if isinstance(s, Ewm)]
 
@@ -186,6 +197,21 @@ class BlockScan:
             .selectExpr(key, BLOCK, f"{self._row} AS rows", f"inline(array({', '.join(entries)}))")
         )
 
+    def _before(self, summaries: DataFrame) -> DataFrame:
+        """The stored states (key, scans: those of ``states``) as summaries of a block before all others."""
+        names = ", ".join(f"'{s.out}'" for s in self.scans)
+        alphas = ", ".join(_num(s.alpha) if isinstance(s, Ewm) else "NULL" for s in self.scans)
+        own = self.entering.selectExpr(self.b.key, "inline(scans)").selectExpr(
+            self.b.key, "y", "gap", "seen", f"array_position(array({names}), scan) - 1 AS i"
+        )
+        # A block of ``gap`` rows without a value behind its only one leaves just this state.
+        values = {
+            self.b.key: self.b.key, BLOCK: "-1", "rows": "gap", "scan": "i", "y": "y", "first": "0", "at": "0",
+            "alpha": f"get(array({alphas}), CAST(i AS INT))", "x1": "y", "q": "0", "seen": "seen",
+        }
+        fields = [f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in summaries.schema]
+        return own.where("i >= 0").selectExpr(*fields)
+
     def carries(self, local: DataFrame) -> DataFrame:
         """The state entering each block, one row per (series, block).
 
@@ -193,7 +219,7 @@ class BlockScan:
         decades that is some ten entries, and the calendar limits it in any case.
         """
         start = """named_struct(
-            'out', CAST(array() AS ARRAY<STRUCT<blk: BIGINT, delta: DOUBLE, y: DOUBLE, seen: BIGINT>>),
+            'out', CAST(array() AS ARRAY<STRUCT<blk: BIGINT, delta: DOUBLE, y: DOUBLE, gap: BIGINT, seen: BIGINT>>),
             'y', CAST(NULL AS DOUBLE), 'gap', 0L, 'seen', 0L)"""
         pull = (
             "pow(1D - e.alpha, a.gap + e.first) / (pow(1D - e.alpha, a.gap + e.first) + e.alpha)"
@@ -202,32 +228,39 @@ class BlockScan:
         delta = f"CASE WHEN e.alpha IS NULL THEN a.y ELSE coalesce({pull}, 0D) END"
         step = f"""(a, e) -> named_struct(
             'out', concat(a.out, array(named_struct(
-                'blk', e.{BLOCK}, 'delta', {delta}, 'y', a.y, 'seen', a.seen))),
+                'blk', e.{BLOCK}, 'delta', {delta}, 'y', a.y, 'gap', a.gap, 'seen', a.seen))),
             'y', CASE WHEN e.alpha IS NULL THEN coalesce(a.y + e.y, a.y, e.y)
                       WHEN e.seen > 0 THEN e.y + e.q * ({delta}) ELSE a.y END,
             'gap', CASE WHEN e.seen > 0 THEN e.rows - e.at ELSE a.gap + e.rows END,
             'seen', a.seen + coalesce(e.seen, 0L))"""
         entry = f"struct({BLOCK}, rows, scan, y, alpha, at, first, q, seen, x1)"
+        summaries = self.summaries(local)
+        if self.entering is not None:
+            summaries = summaries.unionByName(self._before(summaries))
         states = (
-            self.summaries(local)
-            .groupBy(self.b.key, "scan")
+            summaries.groupBy(self.b.key, "scan")
             .agg(F.expr(f"sort_array(collect_list({entry}))").alias("es"))
             .selectExpr(self.b.key, "scan", f"explode(aggregate(es, {start}, {step}).out) AS c")
         )
         picks = [
             F.expr(f"max(CASE WHEN scan = {i} THEN c.{part} END)").alias(self._n(s, f"in_{part}"))
             for i, s in enumerate(self.scans)
-            for part in ("delta", "y", "seen")
+            for part in ("delta", "y", "gap", "seen")
         ]
         return states.groupBy(self.b.key, F.col("c.blk").alias(BLOCK)).agg(*picks)
 
     def finish(self, stages: Stages) -> Stages:
-        """Add the scans' output columns to stages that end with the three layers."""
+        """Add the scans' output columns to stages that end with the three layers.
+
+        The carries are written: they are small, one row per block, and a later level that reads
+        this one would otherwise work them out once more.
+        """
         if not self.scans:
             return stages
         if self.b.split:
             local = stages.df
-            stages = Stages(local.join(self.carries(local), [self.b.key, BLOCK], "left"))
+            carries = written(self.carries(local), "carries")
+            stages = Stages(local.join(carries, [self.b.key, BLOCK], "left"))
         out: dict[str, str] = {}
         for s in self.scans:
             y = self._n(s, "y")
@@ -246,6 +279,27 @@ class BlockScan:
         stages.add(out)
         return stages
 
+    def states(self) -> list[str]:
+        """SQL of the state behind a row, one struct (scan, y, gap, seen) per scan, after ``finish``.
+
+        y is the mean whether or not it counts yet, gap the rows since its last value.
+        """
+        if not self.b.split:
+            raise ValueError("states are kept for split series only")
+        out = []
+        for s in self.scans:
+            y, gap, seen = f"CAST(`{s.out}` AS DOUBLE)", "0L", "0L"
+            if isinstance(s, Ewm):
+                here = f"coalesce({self._m(s, 'seen')}, 0L)"
+                q = self._n(s, "q") if s.alpha < 1 else "0D"
+                local = self._n(s, "y")
+                y = f"CAST(coalesce({local} + {q} * {self._n(s, 'in_delta')}, {self._n(s, 'in_y')}) AS DOUBLE)"
+                since = f"{self._row} - {self._m(s, 'at')}"
+                gap = f"CASE WHEN {here} > 0 THEN {since} ELSE {self._n(s, 'in_gap')} + {self._row} END"
+                seen = f"{here} + {self._n(s, 'in_seen')}"
+            out.append(f"named_struct('scan', '{s.out}', 'y', {y}, 'gap', {gap}, 'seen', {seen})")
+        return out
+
 
 def ewm(
     df: DataFrame,
