@@ -19,7 +19,6 @@ from barloom.schema import INDEX_BARS, INDEX_HEADERS, STOCK_BARS, STOCK_HEADERS,
 from barloom.session import new_folder, written
 from barloom.sinks import exports, tables
 from barloom.sources.bars import (
-    bars_for_date,
     files_for_date,
     read_index_bars,
     read_stock_bars,
@@ -621,8 +620,8 @@ def read_stock_bars_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"with {_STOCK_SQL.strip()} select {rounded_sql(_STOCK_OUT, 4)} from stock where date = date '2024-01-15'",
 )
 def bars_for_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_stock_bars(spark, _stock_files(spark, sf_dir))
-    return rounded(bars_for_date(rows, date(2024, 1, 15)), _STOCK_OUT, 4)
+    rows = read_stock_bars(spark, _stock_files(spark, sf_dir), date(2024, 1, 15))
+    return rounded(stock_table(rows), _STOCK_OUT, 4)
 
 
 @query(
@@ -700,27 +699,30 @@ def ingest_today_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(loaded.unionAll(indexes), "date")
 
 
-_FIRST, _LAST = "DATE '2024-01-05'", "DATE '2024-01-20'"
+_FIRST, _LAST, _FIXED = "DATE '2024-01-05'", "DATE '2024-01-20'", "DATE '2024-01-12'"
 
 
 @query(
     "ingest_history",
     f"""with {_STOCK_SQL.strip()}
-    select {rounded_sql(_PRICES, 4)} from stock where date > {_FIRST}
-      and (date <> {_LAST} or symbol >= 'U5') and date <> date '2024-01-15'
+    select {rounded_sql(_PRICES, 4)} from (select * replace (case when date = {_FIXED} then close + 1 else close end as close) from stock)
+    where date > {_FIRST} and (date <> {_LAST} or symbol >= 'U5') and date <> date '2024-01-15'
     union all
     select cast(date as varchar) as date, symbol, round(open, 4) + 0.0 as open, round(high, 4) + 0.0 as high,
            round(low, 4) + 0.0 as low, 1.0 as close from stock where date = date '2024-01-15'""",
 )
 def ingest_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder with dates up to the cutoff, a date that is loaded already, a second file of one
-    date, which counts instead of the first, and a copy of a file under a later date."""
+    date, which counts instead of the first, a copy of a file under a later date, and a date delivered
+    into the same folder once more, corrected."""
     root = new_folder(spark, "history")
     daily = written(_daily_stock(spark, sf_dir), "stock")
     copied = daily.where(f"date = {_LAST} - 4").withColumn("date", F.expr("DATE '2024-03-01'"))
     again = daily.where(f"date = {_LAST} AND symbol >= 'U5'")
     exports.write_table_csv(daily, f"{root}/files/a", stock_cells())
     exports.write_table_csv(again.unionByName(copied), f"{root}/files/b", stock_cells())
+    corrected = daily.where(f"date = {_FIXED}").withColumn("close", F.col("close") + 1)
+    exports.write_table_csv(corrected, f"{root}/files/a", stock_cells())
     held = daily.where("date = DATE '2024-01-15'").withColumn("close", F.lit(1.0)).drop("vol", "turnover")
     tables.write_new_dates(held, f"{root}/table", STOCK_BARS)
     ingest_history(spark, f"{root}/files", f"{root}/table", cutoff=date(2024, 1, 5))

@@ -116,11 +116,18 @@ def is_part_file(path: Column) -> Column:
     return path.rlike("(^|/)part-[0-9]+[^/]*$")
 
 
-def delivery(path: Column) -> Column:
-    """What a file was delivered as: one name for all part files of a folder, else the file's own."""
+def delivery_place(path: Column) -> Column:
+    """Where a file was delivered: one name for all part files of a folder, else the file's own."""
     return F.regexp_replace(path, "(^|/)part-[0-9]+[^/]*$", "$1part-")
 
 
+def delivery(path: Column) -> Column:
+    """What a file was delivered with: one name for the part files that one job left in a folder (by
+    the job's id in their names), else the file's own."""
+    job = F.regexp_extract(path, "(?:^|/)part-[0-9]+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$", 1)
+    return F.concat(delivery_place(path), job)
+
+
 def drop_placeholder_rows(df: DataFrame, column: str = "symbol") -> DataFrame:
     """Drop rows without a symbol and the row that stands for an empty day."""
     c = F.col(column)
