@@ -10,7 +10,7 @@ from barloom.catalog.indicators import ALL_SQL, DIGITS, _ewm
 from barloom.catalog.registry import query, rounded, rounded_sql
 from barloom.catalog.tables import _STOCK_OUT, _STOCK_SQL, _daily_stock, stock_cells
 from barloom.operators.recurrence import span_alpha
-from barloom.schema import INDICATOR_COLUMNS, INDICATORS, STOCK_BARS
+from barloom.schema import INDICATOR_COLUMNS, INDICATORS, STOCK_BARS, align_to_schema
 from barloom.session import new_folder, written
 from barloom.sinks.exports import write_table_csv
 from barloom.sinks.tables import read_table, write_new_dates
@@ -57,19 +57,31 @@ def stream_indicators_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_table(spark, f"{root}/indicators", INDICATORS), INDICATOR_COLUMNS, DIGITS)
 
 
-@query("stream_ewm", f"{_STREAM_SQL} select {rounded_sql(['ema_9'], 4)}, false as late from ind")
-def stream_ewm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state of each series is kept between the deliveries."""
-    root = new_folder(spark, "stream-ewm")
+@query("stream_indicators_late", _ALL_STREAM_SQL)
+def stream_indicators_late_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table if bars of early days come with a third delivery, into folders that exist."""
+    root = new_folder(spark, "stream-late")
+    numbers = written(_numbers(spark, sf_dir), "stock")
+    late = "crc32(encode(symbol, 'UTF-8')) % 3 = 0 AND day(date) % 5 = 2"
+    for part in (f"NOT ({late}) AND {_HALVES[0]}", f"NOT ({late}) AND {_HALVES[1]}", late):
+        rows = align_to_schema(numbers.where(part), STOCK_BARS)
+        rows.write.mode("append").partitionBy("date").parquet(f"{root}/bars")
+        stream_indicators(spark, f"{root}/bars", f"{root}/indicators", f"{root}/checkpoint").awaitTermination()
+    return rounded(read_table(spark, f"{root}/indicators", INDICATORS), INDICATOR_COLUMNS, DIGITS)
+
+
+def _ewm_stream(root: str, parts: list[DataFrame], delay_days: int | None = None) -> DataFrame:
+    """Runs the stream anew for each part and gives all that it put out."""
+    spark = parts[0].sparkSession
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     own.conf.set("spark.sql.shuffle.partitions", "4")
     schema = "symbol string, date date, x double"
-    for part in _halves(_numbers(spark, sf_dir).selectExpr("symbol", "date", "close AS x")):
+    for part in parts:
         part.write.mode("append").parquet(f"{root}/rows")
         stream = own.readStream.schema(schema).parquet(f"{root}/rows")
         (
-            stream_ewm(stream, span_alpha(9))
+            stream_ewm(stream, span_alpha(9), delay_days=delay_days)
             .writeStream.format("parquet")
             .option("path", f"{root}/out")
             .option("checkpointLocation", f"{root}/checkpoint")
@@ -77,5 +89,33 @@ def stream_ewm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             .start()
             .awaitTermination()
         )
-    out = spark.read.parquet(f"{root}/out").withColumnRenamed("ewm", "ema_9")
+    return spark.read.parquet(f"{root}/out").withColumnRenamed("ewm", "ema_9")
+
+
+@query("stream_ewm", f"{_STREAM_SQL} select {rounded_sql(['ema_9'], 4)}, false as late from ind")
+def stream_ewm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of each series is kept between the deliveries."""
+    numbers = _numbers(spark, sf_dir).selectExpr("symbol", "date", "close AS x")
+    out = _ewm_stream(new_folder(spark, "stream-ewm"), _halves(numbers))
+    return rounded(out, ["ema_9"], 4, ["symbol", "late"])
+
+
+@query(
+    "stream_ewm_reordered",
+    f"""{_STREAM_SQL} select {rounded_sql(['ema_9'], 4)}, false as late from ind
+    where date <= (select max(date) - 3 from stock)
+    union all select cast(date as varchar) as date, symbol, null as ema_9, true as late from ind
+    where date = date '2024-01-02'""",
+)
+def stream_ewm_reordered_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: even ones of the last days of the first half come with the second one and are in
+    time; the third repeats an early day, too late to count. The newest days still wait."""
+    numbers = written(_numbers(spark, sf_dir).selectExpr("symbol", "date", "close AS x"), "stock")
+    days = [r[0] for r in numbers.select("date").distinct().orderBy("date").collect()]
+    middle = days[len(days) // 2]
+    held = (F.col("date") < F.lit(middle)) & (F.col("date") >= F.date_sub(F.lit(middle), 3)) & (F.day("date") % 2 == 0)
+    first = numbers.where((F.col("date") < F.lit(middle)) & ~held)
+    rest = numbers.where((F.col("date") >= F.lit(middle)) | held)
+    again = numbers.where("date = DATE '2024-01-02'")
+    out = _ewm_stream(new_folder(spark, "stream-reordered"), [first, rest, again], 3)
     return rounded(out, ["ema_9"], 4, ["symbol", "late"])

@@ -7,11 +7,18 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.clean import date_from_filename, delivery, is_part_file
+from barloom.functions.clean import date_from_filename, delivery, delivery_place, is_part_file
 from barloom.operators.blocks import BLOCK_ROWS
-from barloom.operators.completeness import dates_to_compute, existing_dates, newest_first_until, not_yet_loaded
+from barloom.operators.completeness import (
+    dates_to_compute,
+    existing_dates,
+    newest_first_until,
+    not_yet_loaded,
+    restrict_to_dates,
+)
 from barloom.operators.dedupe import content_fingerprint, find_duplicates, one_file_per_date
 from barloom.operators.indicators import compute, default_indicators
+from barloom.plans.state import advance
 from barloom.schema import INDEX_BARS, INDICATOR_COLUMNS, INDICATORS, KEYS, STOCK_BARS
 from barloom.session import written
 from barloom.sinks.tables import read_table, upsert, write_new_dates, write_upsert
@@ -90,10 +97,45 @@ def daily_indicators(
     return bars_for_date(compute_all_indicators(history, rows), run_date)
 
 
-def run_daily(spark: SparkSession, bars_path: str, indicators_path: str, run_date: date) -> None:
+def run_daily(
+    spark: SparkSession, bars_path: str, indicators_path: str, run_date: date, state_path: str | None = None
+) -> None:
+    """Compute and store the indicator rows of one date, unless they exist.
+
+    With ``state_path`` the series go on from their stored states (see ``plans.state``), so that only the
+    date's bars are read, and bars of earlier dates that the states lack. If one of these is late,
+    rows of dates that the table holds are brought up to date, too. The first run builds the states.
+    """
     bars = read_table(spark, bars_path, STOCK_BARS)
     done = read_table(spark, indicators_path, INDICATORS)
-    write_upsert(daily_indicators(bars, done, run_date), indicators_path, INDICATORS)
+    if state_path is None:
+        write_upsert(daily_indicators(bars, done, run_date), indicators_path, INDICATORS)
+        return
+    change = advance(spark, bars_path, state_path, upto=run_date)
+    present = existing_dates(done).where(F.col("date") != F.lit(run_date))
+    held = bars_for_date(change.rows, run_date).unionByName(restrict_to_dates(change.rows, present))
+    # Rows that the states include and the table lacks, as after a loss, take the whole history.
+    today = bars_for_date(load_series(bars), run_date).select(*KEYS)
+    lost = today.join(bars_for_date(done, run_date), list(KEYS), "left_anti").join(change.rows, list(KEYS), "left_anti")
+    if not lost.isEmpty():
+        whole = daily_indicators(bars.join(lost.select("symbol"), "symbol", "left_semi"), done.limit(0), run_date)
+        held = held.unionByName(whole)
+    write_upsert(held, indicators_path, INDICATORS)
+    change.commit()
+
+
+def run_refresh(spark: SparkSession, bars_path: str, indicators_path: str, state_path: str) -> int:
+    """Store the indicator rows of all bars that the states at ``state_path`` lack.
+
+    A bar that arrived late refreshes the later rows of its series, replayed from the newest state
+    before it; history before that is not read. The first run computes everything and builds the
+    states. Gives the number of series with late bars. A table that lost rows is mended by
+    ``run_backfill``.
+    """
+    change = advance(spark, bars_path, state_path)
+    write_upsert(change.rows, indicators_path, INDICATORS, stored=True)
+    change.commit()
+    return change.late
 
 
 def ingest_today(
@@ -106,10 +148,10 @@ def ingest_today(
 ) -> None:
     """Load the stock and the index files of one date, each if given, unless the date is loaded."""
     if stock_files:
-        rows = bars_for_date(read_stock_bars(spark, stock_files), run_date)
+        rows = read_stock_bars(spark, stock_files, run_date)
         write_new_dates(stock_table(rows), stock_path, STOCK_BARS)
     if index_files:
-        rows = bars_for_date(read_index_bars(spark, index_files), run_date)
+        rows = read_index_bars(spark, index_files, run_date)
         write_new_dates(index_table(rows), index_path, INDEX_BARS)
 
 
@@ -123,25 +165,32 @@ def ingest_history(
 ) -> None:
     """Load a folder of daily files of one ``kind`` ("stock" or "index") into the table at ``path``.
 
-    A delivery is a file, or all part files that Spark left in a folder. Those without a date are
-    left out and, with ``skip_copies``, those that repeat the content of one with a smaller name. Of
-    the others one delivery counts per date, the last by name, with all its parts; dates up to
-    ``cutoff`` and dates that the table holds are skipped. All choices are made on one row per
-    delivery.
+    A delivery is a file, or all part files that one Spark job left in a folder. Of several jobs' into
+    one folder the newest counts (by the time of its newest file, then by name). Deliveries without
+    a date are left out and, with ``skip_copies``, those that repeat the content of one with a
+    smaller name. Of the others one delivery counts per date, the last by name, with all its parts;
+    dates up to ``cutoff`` and dates that the table holds are skipped. Files are parsed once and their
+    cells written; all choices are made on one row per delivery.
     """
     to_rows, to_table, schema, marker = {
         "stock": (stock_rows, stock_table, STOCK_BARS, STOCK_MARKER),
         "index": (index_rows, index_table, INDEX_BARS, INDEX_MARKER),
     }[kind]
-    cells = read_cells(spark, files).withColumn("delivery", delivery(F.col("file")))
-    names = cells.select("delivery").distinct()
+    file = F.col("file")
+    cells = read_cells(spark, files).withColumns({"delivery": delivery(file), "place": delivery_place(file)})
+    cells = written(cells, "cells")
+    jobs = cells.groupBy("place", "delivery").agg(F.max("modified").alias("modified"))
+    newest = jobs.groupBy("place").agg(F.max_by("delivery", F.struct("modified", "delivery")).alias("delivery"))
+    newest = written(newest, "deliveries")
+    names = newest.select("place")
     if skip_copies:
         # Every part has the header; it counts once, however many parts there are.
-        repeated = is_part_file(F.col("file")) & is_header(cells, marker)
-        prints = written(content_fingerprint(cells, "delivery", once=repeated), "fingerprints")
-        names = prints.select("delivery").join(find_duplicates(prints, "delivery"), "delivery", "left_anti")
-    dated = names.withColumn("date", date_from_filename(F.col("delivery")))
-    wanted = newest_first_until(one_file_per_date(dated, name="delivery"), cutoff)
-    chosen = written(not_yet_loaded(wanted, read_table(spark, path, schema)), "deliveries")
-    rows = cells.join(chosen, "delivery", "left_semi").select("file", "cells")
+        current = cells.join(newest, ["place", "delivery"], "left_semi")
+        repeated = is_part_file(file) & is_header(current, marker)
+        prints = written(content_fingerprint(current, "place", once=repeated), "fingerprints")
+        names = prints.select("place").join(find_duplicates(prints, "place"), "place", "left_anti")
+    dated = names.withColumn("date", date_from_filename(F.col("place")))
+    wanted = newest_first_until(one_file_per_date(dated, name="place"), cutoff)
+    chosen = not_yet_loaded(wanted, read_table(spark, path, schema)).join(newest, "place")
+    rows = cells.join(written(chosen, "chosen"), ["place", "delivery"], "left_semi").select("file", "modified", "cells")
     write_new_dates(to_table(to_rows(rows)), path, schema)

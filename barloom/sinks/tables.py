@@ -67,13 +67,14 @@ def upsert(new: DataFrame, target: DataFrame, keys: tuple[str, ...] = KEYS) -> D
 
 
 def write_upsert(
-    new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...] = KEYS
+    new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...] = KEYS, stored: bool = False
 ) -> None:
     """Upsert into the table at ``path``. Only partitions of dates in ``new`` are read and rewritten.
 
-    ``new`` is needed for the dates, the keys and the rows; it is computed once and written first.
+    ``new`` is needed for the dates, the keys and the rows; it is computed once and written first,
+    unless it is ``stored`` already.
     """
-    new = written(new, "upsert")
+    new = new if stored else written(new, "upsert")
     target = read_table(new.sparkSession, path, schema)
     touched = target.join(F.broadcast(existing_dates(new)), "date", "left_semi")
     _write(upsert(align_to_schema(new, schema), touched, keys).select(*schema.fieldNames()), path, "overwrite")

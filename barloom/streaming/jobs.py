@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import date
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +14,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from barloom.functions.clean import coerce_numeric
 from barloom.operators.blocks import BLOCK_ROWS
-from barloom.plans.incremental import compute_all_indicators
+from barloom.plans.state import advance
 from barloom.schema import INDICATORS, KEYS, STOCK_BARS
 from barloom.sinks.tables import read_table, write_new_dates, write_upsert
-from barloom.sources.bars import load_series, stock_rows, stock_table
-from barloom.sources.csv_files import cells_of, stream_files
+from barloom.sources.bars import stock_rows_of, stock_table
+from barloom.sources.csv_files import stream_files
 
-_STAGED = T.StructType([*STOCK_BARS.fields, T.StructField("file", T.StringType())])
+_STAGED = T.StructType(
+    [*STOCK_BARS.fields, T.StructField("file", T.StringType()), T.StructField("modified", T.LongType())]
+)
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,7 +42,7 @@ def stream_ingest(
 
     def stage(batch: DataFrame, batch_id: int) -> None:
         # A batch that runs again after a failure replaces its rows.
-        _stage(stock_rows(cells_of(batch)).withColumn("batch", F.lit(batch_id)), staged, "dynamic")
+        _stage(stock_rows_of(batch).withColumn("batch", F.lit(batch_id)), staged, "dynamic")
 
     query = (
         raw.writeStream.foreachBatch(stage)
@@ -63,17 +67,18 @@ def stream_indicators(
 ) -> StreamingQuery:
     """Keep the indicator table current as rows are appended to the bar table.
 
-    A batch recomputes the series it touches from their whole history, and writes their rows
-    from the first new date on, so a late bar refreshes what depends on it.
+    The states of the series lie beside the stream's checkpoint (see ``plans.state``). A batch goes on
+    from them, so it reads the dates of its own rows, not their history; a series with a late bar is
+    replayed from the newest state before that, and all its later rows are written anew. A batch
+    that runs again after a failure gives the same table.
     """
     new_bars = spark.readStream.schema(STOCK_BARS).parquet(bars)
 
     def refresh(batch: DataFrame, _: int) -> None:
-        since = batch.where("close IS NOT NULL").groupBy("symbol").agg(F.min("date").alias("_since"))
-        history = load_series(read_table(batch.sparkSession, bars, STOCK_BARS))
-        touched = history.join(since.select("symbol"), "symbol", "left_semi")
-        fresh = compute_all_indicators(touched, rows).join(since, "symbol").where("date >= _since")
-        write_upsert(fresh.drop("_since"), indicators, INDICATORS, KEYS)
+        keys = batch.where("close IS NOT NULL").select(*KEYS)
+        change = advance(batch.sparkSession, bars, f"{checkpoint}/series", keys=keys, rows=rows)
+        write_upsert(change.rows, indicators, INDICATORS, KEYS, stored=True)
+        change.commit()
 
     return (
         new_bars.writeStream.foreachBatch(refresh)
@@ -83,55 +88,118 @@ def stream_indicators(
     )
 
 
+class _Ewm(NamedTuple):
+    """The mean, the rows since its last value, the number of values, and the last day of a series."""
+
+    y: float | None = None
+    gap: int = 0
+    seen: int = 0
+    last: date | None = None
+
+
 class _EwmState(StatefulProcessor):
-    """Carries the mean, the rows since its last value and the number of values per series."""
+    """Carries an ``_Ewm`` per series; with ``reorder`` rows wait until the watermark has passed them."""
 
-    def __init__(self, alpha: float, min_periods: int):
-        self.alpha, self.min_periods = alpha, min_periods
+    def __init__(self, alpha: float, min_periods: int, reorder: bool):
+        self.alpha, self.min_periods, self.reorder = alpha, min_periods, reorder
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "ewm", "y double, gap long, seen long, last date"
-        )
+        self.handle = handle
+        self.state = handle.getValueState("ewm", "y double, gap long, seen long, last date")
+        if self.reorder:
+            self.waiting = handle.getListState("waiting", "day date, x double")
+
+    def _state(self) -> _Ewm:
+        return _Ewm(*self.state.get()) if self.state.exists() else _Ewm()
+
+    def _advance(self, state: _Ewm, day: date, x: float | None) -> _Ewm:
+        y, gap, seen, _ = state
+        gap += 1
+        if x is not None and not pd.isna(x):
+            weight = (1 - self.alpha) ** gap
+            y = x if y is None else (weight * y + self.alpha * x) / (weight + self.alpha)
+            gap, seen = 0, seen + 1
+        return _Ewm(y, gap, seen, day)
+
+    def _means(self, key, rows: list[tuple[date | None, float | None]]) -> pd.DataFrame:
+        """Takes rows in the order of their days into the mean; those it is past come out as late."""
+        state, means, lates = self._state(), [], []
+        for day, x in rows:
+            late = day is None or (state.last is not None and day <= state.last)
+            lates.append(late)
+            if not late:
+                state = self._advance(state, day, x)
+            means.append(None if late or state.seen < self.min_periods else state.y)
+        self.state.update(tuple(state))
+        days, values = [r[0] for r in rows], [r[1] for r in rows]
+        return pd.DataFrame({"symbol": key[0], "date": days, "x": values, "ewm": means, "late": lates})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        y, gap, seen, last = self.state.get() if self.state.exists() else (None, 0, 0, None)
         # A batch holds the new rows of the series only; they are put in order before use.
-        new = pd.concat(list(rows), ignore_index=True).sort_values("date", ignore_index=True)
-        means, lates = [], []
-        for day, x in zip(new["date"], new["x"]):
-            late = last is not None and day <= last
-            lates.append(late)
-            if late:
-                means.append(None)
-                continue
-            last, gap = day, gap + 1
-            if x is not None and not pd.isna(x):
-                weight = (1 - self.alpha) ** gap
-                y = x if y is None else (weight * y + self.alpha * x) / (weight + self.alpha)
-                gap, seen = 0, seen + 1
-            means.append(y if seen >= self.min_periods else None)
-        self.state.update((y, gap, seen, last))
-        yield pd.DataFrame(
-            {"symbol": key[0], "date": new["date"], "x": new["x"], "ewm": means, "late": lates}
-        )
+        new = pd.concat(list(rows), ignore_index=True)
+        pairs = [(None if pd.isna(d) else d, None if pd.isna(x) else x) for d, x in zip(new["date"], new["x"])]
+        pairs.sort(key=lambda r: (r[0] is None, r[0] or date.min, r[1] is None, r[1] or 0.0))
+        if not self.reorder:
+            yield self._means(key, pairs)
+            return
+        passed = self._state().last
+        late = [r for r in pairs if r[0] is None or (passed is not None and r[0] <= passed)]
+        wait = [r for r in pairs if not (r[0] is None or (passed is not None and r[0] <= passed))]
+        if wait:
+            self.waiting.appendList(wait)
+            self.handle.registerTimer(_milliseconds(wait[0][0]))
+        if late:
+            yield self._means(key, late)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is None, r[1] or 0.0))
+        due = [tuple(r) for r in rows if _milliseconds(r[0]) <= now]
+        rest = [tuple(r) for r in rows if _milliseconds(r[0]) > now]
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_milliseconds(rest[0][0]))
+        else:
+            self.waiting.clear()
+        if due:
+            yield self._means(key, due)
 
     def close(self) -> None:
         pass
 
 
-def stream_ewm(series: DataFrame, alpha: float, min_periods: int = 1) -> DataFrame:
-    """Weighted mean of a stream (symbol, date, x) of rows that arrive in date order.
+def _milliseconds(day: date) -> int:
+    return (day - date(1970, 1, 1)).days * 86_400_000
+
+
+#: Days by which event times run ahead of the dates they stand for. Spark drops rows behind the
+#: watermark; so far ahead none is, while timers, which are set for the dates, follow the watermark.
+_AHEAD = 100 * 365
+
+
+def stream_ewm(series: DataFrame, alpha: float, min_periods: int = 1, delay_days: int | None = None) -> DataFrame:
+    """Weighted mean of a stream (symbol, date, x) of rows.
+
+    Output: symbol, date, x, ewm, late. Without ``delay_days`` rows are used as they come, each
+    batch in date order. With it a row waits until the newest date of the stream is that many days
+    ahead of its own; rows that come up to then enter the mean in date order, whatever the order in
+    which they came. State and waiting rows survive a restart.
 
-    Output: symbol, date, x, ewm, late. A row that is not after the last one of its series
-    cannot enter the running mean; it is passed on with ``late`` set, to be recomputed by
-    ``stream_indicators`` or a backfill. Needs the RocksDB state store.
+    A row that is not after the last one used of its series cannot enter the mean; it is passed on at
+    once with ``late`` set, to be recomputed by ``stream_indicators`` or a backfill. So is a row without
+    a date and all but one of several rows of one day (the one of least x counts). A row waits in the
+    state of its series, at most one per day of the delay. Needs the RocksDB state store; with
+    ``delay_days`` the stream must have no watermark of its own.
     """
     schema = T.StructType.fromDDL("symbol string, date date, x double, ewm double, late boolean")
     rows = series.select("symbol", "date", coerce_numeric(F.col("x")).alias("x"))
+    reorder = delay_days is not None
+    if reorder:
+        ahead = F.date_add("date", _AHEAD).cast("timestamp")
+        rows = rows.withColumn("_clock", ahead).withWatermark("_clock", f"{_AHEAD + delay_days} days")
     return rows.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=_EwmState(alpha, min_periods),
+        statefulProcessor=_EwmState(alpha, min_periods, reorder),
         outputStructType=schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime" if reorder else "None",
     )
