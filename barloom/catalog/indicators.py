@@ -214,6 +214,27 @@ def ichimoku_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(done, _OUTPUTS["ichimoku"], 6)
 
 
+_LONG_OUT = ["cci_200", "slope_500", "stoch_k", "williams_r", "bb_upper"]
+_LONG_SQL = f"""
+with {BARS_SQL.strip()}, s as (select *, (high + low + close) / 3 as tp, row_number() over {W} - 1 as t from bars),
+w as (select *, avg(tp) {_rows(200)} as m, list(tp) {_rows(200)} as tps, max(high) {_rows(250)} as hh, min(low) {_rows(250)} as ll,
+  regr_slope(close, t) {_rows(500)} as slope, avg(close) {_rows(150)} as mid, stddev_pop(close) {_rows(150)} as dev from s),
+e as (select date, symbol,
+  case when t >= 199 then (tp - m) / nullif(0.015 * list_avg(list_transform(tps, lambda x: abs(x - m))), 0) end as cci_200,
+  case when t >= 499 then slope end as slope_500,
+  case when t >= 249 then 100 * (close - ll) / nullif(hh - ll, 0) end as stoch_k,
+  case when t >= 249 then -100 * (hh - close) / nullif(hh - ll, 0) end as williams_r,
+  case when t >= 149 then mid + 2 * dev end as bb_upper from w)
+select {rounded_sql(_LONG_OUT, 4)} from e"""
+
+
+@query("long_periods", _LONG_SQL)
+def long_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicators whose frames hold hundreds of rows."""
+    wanted = [I.cci(200), I.slope(500), I.stochastic(250), I.williams_r(250), I.bollinger(150)]
+    return rounded(I.compute(_series(spark, sf_dir), wanted), _LONG_OUT, 4)
+
+
 _EWM_OUT = ["ema_200", "wilder", "volume"]
 _EWM_SQL = f"""
 with {BARS_SQL.strip()}, s as (select *, row_number() over {W} - 1 as t from bars),

@@ -4,7 +4,7 @@ An ``Indicator`` lists its columns by stage. ``compute`` merges the stages of an
 indicators, so columns that several of them need (true range, the 14-row high and low, the
 exponential means of MACD) are built once and all of them share one shuffle and one sort:
 
-    base -> near -> derived -> far + scans -> derived2 -> far2 + scans2 -> final
+    base -> runs -> near -> derived -> far + scans -> derived2 -> far2 + scans2 -> final
 
 ``near``, ``far`` and ``far2`` hold window columns, one Window node each; the other stages
 are plain projections, with ``middle`` between ``far`` and the sums of ``scans``. A column
@@ -48,9 +48,12 @@ Windowed = Callable[[SeriesWindow], Mapping[str, str]]
 
 # Spark evaluates a sliding frame afresh on every row, while lags by the same distance share
 # one pass. So frames are sums, extremes and so on over lagged columns; longer extremes join
-# several frames of SHORT_FRAME rows and longer means are differences of running sums.
+# several frames of SHORT_FRAME rows and longer means are differences of running sums. So that a
+# plan does not grow with its periods, extremes of more than LONG_FRAME rows are those of two
+# runs of rows, and what needs every value of a long frame is folded over an array of them.
 SHORT_FRAME = 13
 SUMMED_FRAME = 40
+LONG_FRAME = 64
 
 
 def _none(_: SeriesWindow) -> Mapping[str, str]:
@@ -68,6 +71,8 @@ class Indicator:
     outputs: tuple[str, ...]
     history: int = 0
     base: Plain = field(default_factory=dict)
+    #: Lengths for which the running extremes of runs of so many rows are needed; see ``_run_extremes``.
+    runs: tuple[int, ...] = ()
     near: Windowed = _none
     derived: Plain = field(default_factory=dict)
     derived_more: Plain = field(default_factory=dict)
@@ -118,7 +123,7 @@ def renamed(indicator: Indicator, suffix: str) -> Indicator:
             changes[f.name] = tuple(map(scan, value))
         elif f.name == "outputs":
             changes[f.name] = tuple(map(text, value))
-        elif f.name != "history":
+        elif f.name not in ("history", "runs"):
             changes[f.name] = plain(value)
     return replace(indicator, **changes)
 
@@ -168,14 +173,47 @@ def _of(function: str, args: Sequence[str]) -> str:
     return f"{function}({', '.join(args)})" if len(args) > 1 else args[0]
 
 
+def _frame(column: str, n: int) -> Windowed:
+    """An array of the values of a frame of n rows, nulls left out."""
+    frame = f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+    return lambda w: {f"_frame{n}_{column}": f"collect_list(`{column}`) {w.over(frame)}"}
+
+
+def _fold(column: str, n: int, term: str) -> str:
+    """Sum of ``term``, in which v is a value, over the frame."""
+    return f"aggregate(_frame{n}_{column}, 0D, (a, v) -> a + {term})"
+
+
+def _run_extremes(n: int, w: SeriesWindow) -> list[dict[str, str]]:
+    """Stages of the extremes from the begin of a row's run up to it, and from it to the run's end.
+
+    Rows are cut into runs of n. The last n rows of any row are the end of one run and the begin of
+    the next, or one run, so two values give their extreme, whatever n is.
+    """
+    run = replace(w, keys=(*w.keys, f"_run_{n}"))
+    back = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in run.keys)} ORDER BY `{w.order}` DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return [
+        {"_seq": f"row_number() {w.over()}"},
+        {f"_run_{n}": f"(_seq - 1) DIV {n}"},
+        {f"_high_to_{n}": f"max(high) {run.running}", f"_low_to_{n}": f"min(low) {run.running}"},
+        {f"_high_from_{n}": f"max(high) {back}", f"_low_from_{n}": f"min(low) {back}"},
+    ]
+
+
 class _HighLow:
     """Highest high and lowest low of n rows."""
 
     def __init__(self, n: int):
-        self.n, self.short = n, min(n, SHORT_FRAME)
+        self.n, self.short, self.long = n, min(n, SHORT_FRAME), n > LONG_FRAME
         self.hh, self.ll = (full(f"_{c}_{n}", c, n) for c in ("high", "low"))
 
+    @property
+    def runs(self) -> tuple[int, ...]:
+        return (self.n,) if self.long else ()
+
     def near(self, w: SeriesWindow) -> dict[str, str]:
+        if self.long:
+            return {**w.marks("high", self.n), **w.marks("low", self.n)}
         return {
             **_lags("high", self.short)(w),
             **_lags("low", self.short)(w),
@@ -185,6 +223,8 @@ class _HighLow:
 
     @property
     def derived(self) -> dict[str, str]:
+        if self.long:
+            return {}
         return {
             f"_high_{self.short}": _of("greatest", _values("high", self.short)),
             f"_low_{self.short}": _of("least", _values("low", self.short)),
@@ -195,6 +235,12 @@ class _HighLow:
         return _of(function, [column, *[w.lag(column, b) for b in backs]])
 
     def far(self, w: SeriesWindow) -> dict[str, str]:
+        n = self.n
+        if self.long:
+            return {
+                f"_high_{n}": f"greatest(_high_to_{n}, {w.lag(f'_high_from_{n}', n - 1)})",
+                f"_low_{n}": f"least(_low_to_{n}, {w.lag(f'_low_from_{n}', n - 1)})",
+            }
         if self.n == self.short:
             return {}
         return {
@@ -255,6 +301,7 @@ def stochastic(k_period: int = 14, d_period: int = 3) -> Indicator:
     return Indicator(
         ("stoch_k", "stoch_d"),
         history=k_period + d_period,
+        runs=r.runs,
         near=r.near,
         derived=r.derived,
         far=r.far,
@@ -268,6 +315,19 @@ def cci(period: int = 20) -> Indicator:
     """Distance of the typical price from its mean, in units of 0.015 mean deviations."""
     out, n, tps = f"cci_{period}", period, _values("_tp", period)
     mean, moved = f"_mean{n}__tp", f"_moved{n}__tp"
+    if n > SUMMED_FRAME:
+        frame, dev = f"_frame{n}__tp", f"{_fold('_tp', n, f'abs(v - {mean})')} / {n}"
+        return Indicator(
+            (out,),
+            history=n,
+            base=_TP,
+            near=_both(_frame("_tp", n), lambda w: w.marks("_tp", n)),
+            derived={
+                mean: full(f"{_fold('_tp', n, 'v')} / {n}", "_tp", n),
+                moved: f"array_max({frame}) > array_min({frame})",
+            },
+            derived_more={out: f"CASE WHEN {moved} THEN (_tp - {mean}) / nullif(0.015D * {dev}, 0D) END"},
+        )
     dev = f"{_sum([f'abs({v} - {mean})' for v in tps])} / {n}"
     return Indicator(
         (out,),
@@ -288,6 +348,7 @@ def williams_r(period: int = 14) -> Indicator:
     return Indicator(
         ("williams_r",),
         history=period,
+        runs=r.runs,
         near=r.near,
         derived=r.derived,
         far=r.far,
@@ -361,6 +422,8 @@ def adx(window: int = 14) -> Indicator:
 def slope(window: int = 20, column: str = "close") -> Indicator:
     """Least-squares slope of the last ``window`` values against their positions."""
     out, n = f"slope_{window}", window
+    if n > SUMMED_FRAME:
+        return _long_slope(out, n, column)
     newest, *earlier = _values(column, n)
     # Positions centred on the window; the newest value's own term is zero.
     terms = [f"{(n - 1) / 2 - k!r}D * ({v} - {newest})" for k, v in enumerate(earlier, 1)]
@@ -373,6 +436,34 @@ def slope(window: int = 20, column: str = "close") -> Indicator:
     )
 
 
+def _long_slope(out: str, n: int, column: str) -> Indicator:
+    """The slope from running sums of the values and of the values times their positions.
+
+    Values are taken from the first one of the block, so that the sums stay small against the
+    slope they are the difference of.
+    """
+    c, p = f"_off_{column}", f"_offpos_{column}"
+    total, moment = f"_sum_{c}", f"_sum_{p}"
+    window_sum = f"({total} - coalesce(_lag{n}_{total}, 0D))"
+    window_moment = f"({moment} - coalesce(_lag{n}_{moment}, 0D))"
+    middle = f"(_at - {(n - 1) / 2!r}D)"
+    slope = f"({window_moment} - {middle} * {window_sum}) / {n * (n * n - 1) / 12!r}D"
+    return Indicator(
+        (out,),
+        history=n,
+        near=lambda w: {
+            **w.marks(column, n),
+            "_at": f"row_number() {w.over()}",
+            f"_first_{column}": f"first(`{column}`, true) {w.running}",
+        },
+        derived={c: f"`{column}` - _first_{column}"},
+        derived_more={p: f"{c} * _at"},
+        far=lambda w: {total: f"sum({c}) {w.running}", moment: f"sum({p}) {w.running}"},
+        far2=_both(_lagged(total, n), _lagged(moment, n)),
+        final={out: full(slope, column, n)},
+    )
+
+
 def acceleration(window: int = 12, smooth: int = 3, column: str = "close") -> Indicator:
     """Change over ``smooth`` rows of the percent change over ``window`` rows."""
     roc = f"_roc{window}_{column}"
@@ -405,6 +496,15 @@ def bollinger(period: int = 20, stddev: float = 2.0, column: str = "close") -> I
     """Mean plus and minus a multiple of the population standard deviation."""
     n, values = period, _values(column, period)
     mean = f"_mean{n}_{column}"
+    if n > SUMMED_FRAME:
+        spread = f"{float(stddev)!r}D * sqrt({_fold(column, n, f'pow(v - {mean}, 2)')} / {n})"
+        return Indicator(
+            ("bb_upper", "bb_lower"),
+            history=n,
+            near=_both(_frame(column, n), lambda w: w.marks(column, n)),
+            derived={mean: full(f"{_fold(column, n, 'v')} / {n}", column, n)},
+            derived_more={"bb_upper": f"{mean} + {spread}", "bb_lower": f"{mean} - {spread}"},
+        )
     dev = f"sqrt({_sum([f'pow({v} - {mean}, 2)' for v in values])} / {n})"
     return Indicator(
         ("bb_upper", "bb_lower"),
@@ -425,6 +525,7 @@ def ichimoku(conversion: int = 9, base: int = 26, span_b: int = 52) -> Indicator
     return Indicator(
         ("ichimoku_conversion", "ichimoku_base", "ichimoku_span_a", "ichimoku_span_b"),
         history=max(base, span_b) + base,
+        runs=tuple(n for r in ranges for n in r.runs),
         near=_both(*[r.near for r in ranges]),
         derived=_merged([r.derived for r in ranges]),
         far=_both(*[r.far for r in ranges]),
@@ -443,6 +544,19 @@ def ichimoku(conversion: int = 9, base: int = 26, span_b: int = 52) -> Indicator
 
 def chandelier_exit(period: int = 22, multiplier: float = 3.0) -> Indicator:
     r = _HighLow(period)
+    if r.long:
+        total = f"_sum__tr - coalesce(_lag{period}__sum__tr, 0D)"
+        width = full(f"{float(multiplier)!r}D * ({total}) / {period}", "_tr", period)
+        return Indicator(
+            ("chandelier_long", "chandelier_short"),
+            history=period + 1,
+            runs=r.runs,
+            near=_both(r.near, _PREV_CLOSE),
+            derived=_TR,
+            far=lambda w: {**r.far(w), **w.marks("_tr", period), "_sum__tr": f"sum(_tr) {w.running}"},
+            far2=_lagged("_sum__tr", period),
+            final={"chandelier_long": f"{r.hh} - {width}", "chandelier_short": f"{r.ll} + {width}"},
+        )
     width = f"{float(multiplier)!r}D * {_sum(_values('_tr', period))} / {period}"
     return Indicator(
         ("chandelier_long", "chandelier_short"),
@@ -472,7 +586,14 @@ def obv() -> Indicator:
 def mfi(period: int = 14) -> Indicator:
     """Money flow index; 50 where it is undefined."""
     n, move = period, _TP_MOVE["_tp_move"]
-    up, down = (_sum(_values(c, n)) for c in ("_flow_up", "_flow_down"))
+    flows = ("_flow_up", "_flow_down")
+    if n > SUMMED_FRAME:
+        # A flow is null only where the volume is and the price moved.
+        up, down = (f"CASE WHEN size(_frame{n}_{c}) = {n} THEN {_fold(c, n, 'v')} END" for c in flows)
+        far = _both(*[_frame(c, n) for c in flows])
+    else:
+        up, down = (_sum(_values(c, n)) for c in flows)
+        far = _both(*[_lags(c, n) for c in flows])
     return Indicator(
         (f"mfi_{n}",),
         history=n + 1,
@@ -482,7 +603,7 @@ def mfi(period: int = 14) -> Indicator:
             "_flow_up": f"CASE WHEN {move} > 0 THEN _tp * vol ELSE 0D END",
             "_flow_down": f"CASE WHEN {move} < 0 THEN _tp * vol ELSE 0D END",
         },
-        far=_both(_lags("_flow_up", n), _lags("_flow_down", n)),
+        far=far,
         middle={f"mfi_{n}": f"coalesce({_bounded_index(up, down)}, 50D)"},
     )
 
@@ -602,6 +723,9 @@ def _evaluate(
 
     stages = Stages(blocked.df)
     stages.add(plain("base"))
+    for n in sorted({n for i in indicators for n in i.runs}):
+        for columns in _run_extremes(n, w):
+            stages.add(columns)
     stages.add(windows("near") | one.start() | two.start())
     stages.add(plain("derived"))
     stages.add(plain("derived_more"))
