@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,13 +24,15 @@ from barloom.llm.storage import return_memory, worker_state
 
 #: The mark that stands for a blank in pieces.
 MARK = "▁"
-#: Characters indexed at a time; a longer word is indexed alone.
-INDEX_CHARS = 1_000_000
-#: Characters of texts encoded together, and words a worker remembers.
-BATCH_CHARS, MAX_REMEMBERED = 4_000_000, 1_000_000
+#: Characters indexed at a time, and characters of texts encoded together.
+INDEX_CHARS, BATCH_CHARS = 250_000, 1_000_000
+#: Bytes of words after which a worker starts a new memory; it keeps the one before, too.
+REMEMBERED_BYTES = 24 << 20
+#: A longer word is never remembered and is cut into stretches that overlap.
+STRETCH, OVERLAP = 4096, 256
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 _NEVER = np.int32(1 << 30)
-_BEGIN, _UNKNOWN = -1, -2
+_BEGIN, _UNKNOWN, _NONE = -1, -2, -3
 
 
 class Model(NamedTuple):
@@ -58,11 +61,54 @@ def _last_merge(piece: str, rank: dict[str, int]) -> tuple[str, str] | None:
     return (parts[0], parts[1]) if len(parts) == 2 and all(p in rank for p in parts) else None
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """The fields of a serialized message: numbers as such, all else as bytes."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+
+    while at < len(data):
+        tag = number()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, number()
+        else:
+            size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+            yield tag >> 3, data[at : at + size]
+            at += size
+
+
+def _refuse_other_models(serialized: bytes) -> None:
+    """Raises unless the model merges pairs, changes no text but blanks and puts one before it."""
+    parts = dict(f for f in _fields(serialized) if f[0] in (2, 3))
+    trainer, normalizer = (dict(_fields(parts.get(n, b""))) for n in (2, 3))
+    # Fields of the model format. Type 2 merges pairs; the flags are on where absent.
+    if trainer.get(3, 1) != 2:
+        raise ValueError("only models that merge pairs can be encoded")
+    if normalizer.get(1, b"") not in (b"", b"identity") or normalizer.get(2, b""):
+        raise ValueError("the model normalizes texts in other ways than marking blanks")
+    if not normalizer.get(3, 1) or normalizer.get(4, 1) or not normalizer.get(5, 1):
+        raise ValueError("the model must mark blanks, keep all of them and put one before a text")
+
+
 def load_model(path: str) -> Model:
-    """Reads the vocabulary and scores of a merge model; the merge order is that of the scores."""
+    """Reads the vocabulary and scores of a merge model; the merge order is that of the scores.
+
+    Raises ValueError for a model of another kind or with a normalization of its own.
+    """
     import sentencepiece
 
     reader = sentencepiece.SentencePieceProcessor(model_file=path)
+    _refuse_other_models(reader.serialized_model_proto())
     every = range(reader.get_piece_size())
     plain = [i for i in every if not (reader.is_byte(i) or reader.is_control(i) or reader.is_unknown(i) or reader.is_unused(i))]
     # Single characters need no merge; they come after all merged pieces.
@@ -122,9 +168,19 @@ class Encoder:
 
     def __init__(self, model: Model):
         self.model = model
+        #: Words seen lately, and those of the memory before; words move up when they are seen again.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.remembered = 0
         self.size = len(model.pieces)
-        self.longest = max(map(len, model.pieces))
+        self.lengths = np.array([len(p) for p in model.pieces])
+        self.longest = int(self.lengths.max())
+        # The pieces' characters (0: none left) as places in the sorted ones in use.
+        grid = np.zeros((self.size, self.longest), np.int64)
+        for n, p in enumerate(model.pieces):
+            grid[n, : len(p)] = [ord(c) + 1 for c in p]
+        self.letters, grid = np.unique(grid, return_inverse=True)
+        self.grid = grid.reshape(self.size, self.longest).astype(np.int32)
         self.slots = 1 << 20
         self.known = np.full(self.slots, -1, np.int64)
         self.fits = np.zeros(self.slots, bool)
@@ -195,29 +251,32 @@ class Encoder:
         columns = np.ascontiguousarray(raw).view(">u8").astype(np.uint64)
         suffixes = np.lexsort(columns.T[::-1])
         heads = raw[suffixes].view(f"S{width + spare}").ravel()
-        place = {int(c): i for i, c in enumerate(letters.tolist())}
-        usable = [n for n, p in enumerate(self.model.pieces) if all(ord(c) + 1 in place for c in p)]
-        low = np.zeros((len(usable), self.longest), table.dtype)
-        high = np.full((len(usable), self.longest), np.iinfo(padded.dtype).max, table.dtype)
-        for row, n in enumerate(usable):
-            code = [place[ord(c) + 1] for c in self.model.pieces[n]]
-            low[row, : len(code)] = code
-            high[row, : len(code)] = code
+        # The pieces that only have letters of the text, in the text's numbers.
+        at = np.minimum(np.searchsorted(letters, self.letters), len(letters) - 1)
+        here = letters[at] == self.letters
+        usable = np.flatnonzero((here[self.grid] | (self.grid == 0)).all(axis=1))
+        codes_of, blank = at[self.grid[usable]], self.grid[usable] == 0
+        low = np.where(blank, 0, codes_of).astype(table.dtype)
+        high = np.where(blank, np.iinfo(padded.dtype).max, codes_of).astype(table.dtype)
         as_text = lambda t: np.concatenate((t.view(np.uint8).reshape(len(t), width), np.zeros((len(t), spare), np.uint8)), axis=1).view(f"S{width + spare}").ravel()
         begin = np.searchsorted(heads, as_text(low), "left")
         end = np.searchsorted(heads, as_text(high), "right")
         count = end - begin
         at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return suffixes[at], np.repeat(np.array(usable, np.int32), count)
+        return suffixes[at], np.repeat(usable.astype(np.int32), count)
 
-    def _encode_new(self, words: list[str]) -> None:
+    def _relaxed(self, words: list[str], seed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(last piece of the path to each place, the words' starts, their sizes).
+
+        With ``seed`` the paths to the first places of a single word are given.
+        """
         text = "\0".join(words) + "\0"
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
         sizes = np.array([len(w) for w in words])
         starts = np.cumsum(sizes + 1) - (sizes + 1)
         codes[starts + sizes] = 0
         begin, piece = self._edges(codes)
-        lengths = np.array([len(p) for p in self.model.pieces])
+        lengths = self.lengths
         end = begin + lengths[piece]
         # A character that is no piece is an edge of its own.
         covered = np.zeros(len(codes), bool)
@@ -229,18 +288,30 @@ class Encoder:
         depth = end - np.repeat(starts, sizes + 1)[end - 1]
         order = np.argsort(depth * (self.longest + 1) + (end - begin), kind="stable")
         begin, end, piece, depth = begin[order], end[order], piece[order], depth[order]
-        last = np.full(len(codes) + 1, -3, np.int32)
+        last = np.full(len(codes) + 1, _NONE, np.int32)
         last[starts] = _BEGIN
-        cuts = np.searchsorted(depth, np.arange(1, depth.max(initial=0) + 2))
+        done = 0
+        if seed is not None:
+            last[: len(seed)] = seed
+            done = len(seed) - 1
+        cuts = np.searchsorted(depth, np.arange(done + 1, depth.max(initial=0) + 2))
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             before, now = last[begin[lo:hi]], piece[lo:hi]
             fits = (before == _BEGIN) | (before == _UNKNOWN) | (now == _UNKNOWN)
             check = np.flatnonzero(~fits)
             fits[check] = self._fit(before[check], now[check])
             last[end[lo:hi][fits]] = now[fits]
+        return last, starts, sizes
+
+    def _steps(self) -> np.ndarray:
+        """Characters of every piece; _UNKNOWN is the last but one."""
+        return np.concatenate((self.lengths, [1, 1]))
+
+    def _encode_new(self, words: list[str]) -> None:
+        last, starts, sizes = self._relaxed(words)
         # Back from the words' ends.
         back, at, unit = [], starts + sizes, np.arange(len(words))
-        step = np.concatenate((lengths, [1, 1]))  # _UNKNOWN is the last but one
+        step = self._steps()
         while len(at):
             token = last[at]
             back.append((unit, token, at - 1))
@@ -260,7 +331,62 @@ class Encoder:
             if not plain[k]:
                 chars = spot[bounds[k] : bounds[k + 1]] - starts[k]
                 own = np.array([x for i, c in zip(own.tolist(), chars.tolist()) for x in ([i] if i >= 0 else self._bytes(w[c]))], "<i4")
-            self.words[w] = own.tobytes()
+            self._remember(w, own.tobytes())
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        # What a dictionary's entry, a text and a byte string take besides their characters.
+        self.remembered += 250 + 2 * len(word) + len(ids)
+
+    def _encode_long(self, word: str) -> bytes:
+        """Ids of a word of any length, in memory of some 10 bytes a character.
+
+        Stretches of the word are relaxed side by side, each as if a word began there. A path depends on
+        the ``longest`` places before it only, so from where that many places in a row agree with the
+        stretch before, a stretch's paths are the word's own. One that never agrees is relaxed again
+        from the stretch before.
+        """
+        size, longest = len(word), self.longest
+        last = np.full(size + 1, _NONE, np.int32)
+        cuts = range(0, size, STRETCH)
+        group = max(1, INDEX_CHARS // (STRETCH + OVERLAP))
+        reached = 0
+        for lo in range(0, len(cuts), group):
+            here = cuts[lo : lo + group]
+            found, starts, sizes = self._relaxed([word[c : c + STRETCH + OVERLAP] for c in here])
+            for c, start, n in zip(here, starts.tolist(), sizes.tolist()):
+                own = found[start : start + n + 1]
+                if c + n <= reached:
+                    continue
+                if not c:
+                    last[: n + 1] = own
+                else:
+                    same = last[c + 1 : reached + 1] == own[1 : reached - c + 1]
+                    run = np.convolve(same, np.ones(longest, int), "valid") == longest
+                    if run.any():
+                        at = int(run.argmax()) + longest
+                        last[c + at : c + n + 1] = own[at:]
+                    else:
+                        begin = reached - longest
+                        rest = self._relaxed([word[begin : c + n]], last[begin : reached + 1])[0]
+                        last[begin : c + n + 1] = rest[: c + n + 1 - begin]
+                reached = c + n
+        tokens, step, at = array("i"), self._steps().tolist(), size
+        while at:
+            token = last.item(at)
+            tokens.append(token)
+            at -= step[token]
+        token = np.frombuffer(tokens, np.int32)[::-1]
+        ids = np.where(token >= 0, self.model.ids[np.maximum(token, 0)], -1).astype("<i4")
+        bare = np.flatnonzero(ids < 0)
+        if not len(bare):
+            return ids.tobytes()
+        spot = np.cumsum(self._steps()[token]) - 1
+        out, at = [], 0
+        for k, c in zip(bare.tolist(), spot[bare].tolist()):
+            out += [ids[at:k].tobytes(), array("i", self._bytes(word[c])).tobytes()]
+            at = k + 1
+        return b"".join([*out, ids[at:].tobytes()])
 
     def _bytes(self, char: str) -> list[int]:
         if not self.model.byte_ids:
@@ -270,11 +396,17 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
         cut = [words_of(t) for t in texts]
-        if len(self.words) > MAX_REMEMBERED:
-            self.words.clear()
-        new = set().union(*cut) - self.words.keys()
-        group, size = [], 0
-        for w in new:
+        if self.remembered > REMEMBERED_BYTES:
+            self.words, self.older, self.remembered = {}, self.words, 0
+        group, size, long = [], 0, {}
+        for w in set().union(*cut) - self.words.keys():
+            ids = self.older.get(w)
+            if ids is not None:
+                self._remember(w, ids)
+                continue
+            if len(w) > STRETCH:
+                long[w] = self._encode_long(w)
+                continue
             group.append(w)
             size += len(w) + 1
             if size >= INDEX_CHARS:
@@ -282,7 +414,7 @@ class Encoder:
                 group, size = [], 0
         if group:
             self._encode_new(group)
-        known = self.words.__getitem__
+        known = (self.words | long if long else self.words).__getitem__
         return [np.frombuffer(b"".join(map(known, words)), "<i4") for words in cut]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -307,9 +439,9 @@ def encode_documents(
     Empty table: no rows. Other columns are not read. A text that holds the blank's mark (U+2581)
     decodes to a blank there, as in the model's own library.
 
-    Scale: no shuffle. A worker holds one batch of texts, one index over at most INDEX_CHARS
-    characters of new words (a longer word alone) and a bounded memory of words. The vocabulary
-    is broadcast; its size is fixed by the model.
+    Scale: no shuffle. A worker holds one batch of texts, one index over about INDEX_CHARS characters of
+    new words and a memory of words bounded in bytes; a word longer than that is indexed in
+    stretches. The vocabulary is broadcast; its size is fixed by the model.
     """
     sent = df.sparkSession.sparkContext.broadcast(tuple(load_model(model_path)))
 
@@ -331,6 +463,31 @@ def encode_documents(
     return rows.mapInPandas(encode, schema).withColumnRenamed("key", key)
 
 
+def decode_ids(df: DataFrame, model_path: str, ids: str = "ids", out: str = "text") -> DataFrame:
+    """All columns of ``df`` and ``out``: the text of the token ids; replaces a column named ``out``.
+
+    Null ids give a null text, no ids an empty one. The blank that encoding puts before a text goes. Bytes
+    that are no UTF-8 become replacement characters, an id that stands for no known character a mark
+    (" \u2047 "), null ids within a list count for nothing; an id outside the vocabulary raises. No
+    shuffle; a worker holds one batch.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(load_model(model_path).decoded)
+
+    @F.pandas_udf("string")
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = sent.value
+        for batch in batches:
+            yield pd.Series([None if x is None else _text_of(table, x) for x in batch], dtype=object)
+
+    return df.withColumn(out, decoded(F.filter(F.col(ids).cast("array<int>"), lambda i: i.isNotNull())))
+
+
+def _text_of(decoded: list[bytes], ids: np.ndarray) -> str:
+    if len(ids) and (min(ids) < 0 or max(ids) >= len(decoded)):
+        raise ValueError("an id is outside the vocabulary")
+    return b"".join([decoded[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+
+
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
     """Keys and texts in batches of about BATCH_CHARS characters, one text at least."""
     keys: list = []
