@@ -27,7 +27,7 @@ MARK = "▁"
 #: Characters indexed at a time, and characters of texts encoded together.
 INDEX_CHARS, BATCH_CHARS = 250_000, 1_000_000
 #: Bytes of words after which a worker starts a new memory; it keeps the one before, too.
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 48 << 20
 #: A longer word is never remembered and is cut into stretches that overlap.
 STRETCH, OVERLAP = 4096, 256
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -163,6 +163,11 @@ def words_of(text: str) -> list[str]:
     return _RUNS.findall(MARK + text.replace(" ", MARK))
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0; short ones are sorted by their digits."""
+    return np.argsort(keys.astype(np.uint16) if len(keys) and keys.max() < 65536 else keys, kind="stable")
+
+
 class Encoder:
     """Encodes words by suffix-array matching and remembers them."""
 
@@ -173,7 +178,7 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self.remembered = 0
         self.size = len(model.pieces)
-        self.lengths = np.array([len(p) for p in model.pieces])
+        self.lengths = np.array([len(p) for p in model.pieces], np.int32)
         self.longest = int(self.lengths.max())
         # The pieces' characters (0: none left) as places in the sorted ones in use.
         grid = np.zeros((self.size, self.longest), np.int64)
@@ -239,7 +244,9 @@ class Encoder:
     def _edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and piece of every occurrence of a piece in the text of character codes (0: a cut)."""
         letters, dense = np.unique(codes, return_inverse=True)
-        padded = np.concatenate((dense.astype(np.uint16 if len(letters) < 65536 else np.uint32), np.zeros(self.longest, np.uint16)))
+        # The greatest number stands for "any" below, so a letter has none of it.
+        kind = np.uint8 if len(letters) < 256 else np.uint16 if len(letters) < 65536 else np.uint32
+        padded = np.concatenate((dense.astype(kind), np.zeros(self.longest, kind)))
         wide = np.lib.stride_tricks.sliding_window_view(padded, self.longest)[: len(codes)]
         table = np.ascontiguousarray(wide).astype(padded.dtype.newbyteorder(">"))
         width = table.dtype.itemsize * self.longest
@@ -249,7 +256,7 @@ class Encoder:
         if spare:
             raw = np.concatenate((raw, np.zeros((len(codes), spare), np.uint8)), axis=1)
         columns = np.ascontiguousarray(raw).view(">u8").astype(np.uint64)
-        suffixes = np.lexsort(columns.T[::-1])
+        suffixes = np.lexsort(columns.T[::-1]).astype(np.int32)
         heads = raw[suffixes].view(f"S{width + spare}").ravel()
         # The pieces that only have letters of the text, in the text's numbers.
         at = np.minimum(np.searchsorted(letters, self.letters), len(letters) - 1)
@@ -272,8 +279,8 @@ class Encoder:
         """
         text = "\0".join(words) + "\0"
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
-        sizes = np.array([len(w) for w in words])
-        starts = np.cumsum(sizes + 1) - (sizes + 1)
+        sizes = np.fromiter(map(len, words), np.int32, len(words))
+        starts = (np.cumsum(sizes + 1) - (sizes + 1)).astype(np.int32)
         codes[starts + sizes] = 0
         begin, piece = self._edges(codes)
         lengths = self.lengths
@@ -281,12 +288,12 @@ class Encoder:
         # A character that is no piece is an edge of its own.
         covered = np.zeros(len(codes), bool)
         covered[begin[lengths[piece] == 1]] = True
-        bare = np.flatnonzero(~covered & (codes != 0))
+        bare = np.flatnonzero(~covered & (codes != 0)).astype(np.int32)
         begin, end = np.concatenate((begin, bare)), np.concatenate((end, bare + 1))
         piece = np.concatenate((piece, np.full(len(bare), _UNKNOWN, np.int32)))
         # By place: the end's distance from the begin of its word, then the begin.
         depth = end - np.repeat(starts, sizes + 1)[end - 1]
-        order = np.argsort(depth * (self.longest + 1) + (end - begin), kind="stable")
+        order = _order(depth * (self.longest + 1) + (end - begin))
         begin, end, piece, depth = begin[order], end[order], piece[order], depth[order]
         last = np.full(len(codes) + 1, _NONE, np.int32)
         last[starts] = _BEGIN
@@ -321,22 +328,23 @@ class Encoder:
         unit = np.concatenate([b[0] for b in back])
         token = np.concatenate([b[1] for b in back])
         spot = np.concatenate([b[2] for b in back])
-        order = np.argsort(spot, kind="stable")
+        order = np.argsort(spot)
         unit, token, spot = unit[order], token[order], spot[order]
         ids = np.where(token >= 0, self.model.ids[np.maximum(token, 0)], -1).astype("<i4")
         bounds = np.searchsorted(unit, np.arange(len(words) + 1))
-        plain = np.bincount(unit[ids < 0], minlength=len(words)) == 0
-        for k, w in enumerate(words):
-            own = ids[bounds[k] : bounds[k + 1]]
-            if not plain[k]:
-                chars = spot[bounds[k] : bounds[k + 1]] - starts[k]
-                own = np.array([x for i, c in zip(own.tolist(), chars.tolist()) for x in ([i] if i >= 0 else self._bytes(w[c]))], "<i4")
-            self._remember(w, own.tobytes())
-
-    def _remember(self, word: str, ids: bytes) -> None:
-        self.words[word] = ids
+        data, cuts = ids.tobytes(), (4 * bounds).tolist()
+        new = {w: data[a:b] for w, a, b in zip(words, cuts, cuts[1:])}
+        for k in np.unique(unit[ids < 0]).tolist():
+            w, here = words[k], slice(bounds[k], bounds[k + 1])
+            chars = (spot[here] - starts[k]).tolist()
+            own = [x for i, c in zip(ids[here].tolist(), chars) for x in ([i] if i >= 0 else self._bytes(w[c]))]
+            new[w] = np.array(own, "<i4").tobytes()
+        self._remember(new)
+
+    def _remember(self, new: dict[str, bytes]) -> None:
+        self.words |= new
         # What a dictionary's entry, a text and a byte string take besides their characters.
-        self.remembered += 250 + 2 * len(word) + len(ids)
+        self.remembered += 250 * len(new) + 2 * sum(map(len, new)) + sum(map(len, new.values()))
 
     def _encode_long(self, word: str) -> bytes:
         """Ids of a word of any length, in memory of some 10 bytes a character.
@@ -398,12 +406,11 @@ class Encoder:
         cut = [words_of(t) for t in texts]
         if self.remembered > REMEMBERED_BYTES:
             self.words, self.older, self.remembered = {}, self.words, 0
+        missing = set().union(*cut) - self.words.keys()
+        known = missing & self.older.keys()
+        self._remember({w: self.older[w] for w in known})
         group, size, long = [], 0, {}
-        for w in set().union(*cut) - self.words.keys():
-            ids = self.older.get(w)
-            if ids is not None:
-                self._remember(w, ids)
-                continue
+        for w in missing - known:
             if len(w) > STRETCH:
                 long[w] = self._encode_long(w)
                 continue
