@@ -32,6 +32,8 @@ BATCH_CHARS = 4_000_000
 MAX_REMEMBERED = 2_000_000
 #: New words encoded as one text; the tokenizer is slower per word on longer ones.
 JOINED_WORDS = 64
+#: Bytes of input per file, about.
+FILE_BYTES = 256 << 20
 #: Bytes a reading task asks the store for at a time.
 READ_BYTES = 16 << 20
 
@@ -40,12 +42,14 @@ _UNSAFE = re.compile(r"\s \s|\s \Z")
 
 
 class Tokens(NamedTuple):
-    """A worker's tokenizer, its memory of words, the type of an id, and every token's bytes."""
+    """A worker's tokenizer, its memory of words, the type of an id, every token's bytes, and a pattern
+    of the tokens that were added to the vocabulary, which are found in a text before it is cut."""
 
     tokenizer: object
     words: dict[str, bytes]
     dtype: str
     sizes: np.ndarray
+    added: re.Pattern | None
 
 
 def encode_texts(texts: list[str], tokens: Tokens) -> list[bytes]:
@@ -53,9 +57,10 @@ def encode_texts(texts: list[str], tokens: Tokens) -> list[bytes]:
 
     A blank after a non-blank always starts a new pre-token, so the words between such blanks are
     encoded on their own, each distinct one once per worker. Texts with runs of white space that
-    such a cut would change go to the tokenizer whole.
+    such a cut would change, or with an added token, go to the tokenizer whole.
     """
-    whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t)}
+    added = tokens.added.search if tokens.added else lambda _: None
+    whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t) or added(t)}
     cut = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
     if len(tokens.words) > MAX_REMEMBERED:
         tokens.words.clear()
@@ -100,7 +105,7 @@ def _remember(words: list[str], tokens: Tokens) -> None:
 
 
 def load_tokenizer(path: str) -> Tokens:
-    """The tokenizer of a file, kept by the worker; special tokens in texts are ordinary text."""
+    """The tokenizer of a file, kept by the worker."""
     kept = worker_state("tokenizers")
     if path not in kept:
         import os
@@ -109,11 +114,12 @@ def load_tokenizer(path: str) -> Tokens:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         # A token of a byte-level vocabulary is written with one character per byte.
         sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-        kept[path] = Tokens(tokenizer, {}, width, sizes)
+        names = sorted({str(t.content) for t in tokenizer.get_added_tokens_decoder().values() if t.content})
+        added = re.compile("|".join(map(re.escape, names)), re.IGNORECASE) if names else None
+        kept[path] = Tokens(tokenizer, {}, width, sizes, added)
     return kept[path]
 
 
@@ -156,9 +162,10 @@ def write_records(
     Nulls: a null text is empty (the end id alone); null keys come first. Repeated keys stay, in
     the order of their texts. Empty table: no files. Extra columns are not read.
 
-    Scale: one range shuffle on the key; each partition becomes one file, streamed batch by batch.
-    The shuffle's partition count sets the file size. Files are named by attempt, and only those
-    of the manifest, which Spark commits, are ever read.
+    Scale: one range shuffle on the key; each partition becomes one file, streamed batch by batch. There
+    is a file per FILE_BYTES of input, as Spark's statistics have it, and at least one per shuffle
+    partition. All rows with a null key lie in the first file. Files are named by attempt, and only
+    those of the manifest, which Spark commits, are ever read.
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,7 +203,8 @@ def write_records(
             )
 
     rows = df.select(F.col(key).cast("bigint").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // FILE_BYTES, 1 << 20))
     ordered = rows.repartitionByRange(parts, F.col("_key").asc_nulls_first()).sortWithinPartitions(
         F.col("_key").asc_nulls_first(), "_text"
     )
