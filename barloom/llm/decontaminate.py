@@ -20,7 +20,8 @@ _WHITE = re.compile(r"\s+")
 ERROR_RATE = 0.05
 #: Characters of items per block: bounds the automaton each task holds; more items, more blocks.
 BLOCK_CHARS = 4_000_000
-#: Shorter items are no evidence of a leak and are not searched.
+#: A shorter item counts only where it stands unedited between word borders, and is no reason to drop
+#: a document.
 MIN_CHARS = 20
 
 
@@ -43,11 +44,12 @@ def pieces(text: str, errors: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def best_match(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
-    """(end, distance) of the best occurrence of ``pattern`` in ``text``, or None beyond ``errors``.
+def best_matches(pattern: str, text: str, errors: int) -> list[tuple[int, int]]:
+    """(end, distance) of the occurrences of ``pattern`` in ``text`` within ``errors`` edits.
 
-    Column by column, with the vertical differences of the edit matrix as bits of two integers.
-    The first of equally good ends is taken.
+    Column by column, with the vertical differences of the edit matrix as bits of two integers. Ends
+    next to each other are one occurrence as long as their distances fall and then rise; its best
+    end counts, the first of equally good ones.
     """
     m = len(pattern)
     masks: dict[str, int] = {}
@@ -56,6 +58,7 @@ def best_match(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
     full, top = (1 << m) - 1, 1 << (m - 1)
     plus, minus, distance = full, 0, m
     best = (0, m) if m <= errors else None
+    out, before, rising = [], m, False
     for j, c in enumerate(text):
         equal = masks.get(c, 0)
         vertical = equal | minus
@@ -66,9 +69,31 @@ def best_match(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
         up, down = up << 1 & full, down << 1 & full
         plus = down | (~(vertical | up) & full)
         minus = up & vertical
-        if distance <= errors and (best is None or distance < best[1]):
+        if distance > errors:
+            if best:
+                out.append(best)
+            best, rising = None, False
+        elif best is None:
+            best, rising = (j + 1, distance), False
+        elif distance < before and rising:
+            out.append(best)
+            best, rising = (j + 1, distance), False
+        elif distance < best[1]:
             best = (j + 1, distance)
-    return best
+        rising = rising or (best is not None and distance > before)
+        before = distance
+    return out + [best] if best else out
+
+
+def best_match(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
+    """(end, distance) of the best occurrence, the first of equally good ones; None beyond ``errors``."""
+    return min(best_matches(pattern, text, errors), key=lambda m: (m[1], m[0]), default=None)
+
+
+def _stands_alone(text: str, begin: int, end: int) -> bool:
+    """Whether no word goes on beyond the borders of the part."""
+    before, after = text[begin - 1 : begin], text[end : end + 1]
+    return not (before.isalnum() and text[begin].isalnum()) and not (after.isalnum() and text[end - 1].isalnum())
 
 
 class Matcher:
@@ -108,13 +133,13 @@ class Matcher:
         for at, spans in windows.items():
             key, item, errors = self.items[at]
             for low, high in spans:
-                found = best_match(item, text[low:high], errors)
-                if not found:
-                    continue
-                end = low + found[0]
-                # Backwards from the end: the same distance, and so the begin.
-                back = best_match(item[::-1], text[max(0, end - len(item) - errors) : end][::-1], errors)
-                out.append(Match(key, end - back[0], end, found[1]))
+                for end, distance in best_matches(item, text[low:high], errors):
+                    end += low
+                    # Backwards from the end: the same distance, and so the begin.
+                    back = best_match(item[::-1], text[max(0, end - len(item) - errors) : end][::-1], errors)
+                    begin = end - back[0]
+                    if len(item) >= MIN_CHARS or _stands_alone(text, begin, end):
+                        out.append(Match(key, begin, end, distance))
         return sorted(set(out))
 
 
@@ -130,14 +155,14 @@ def blocks(items: Sequence[tuple[int, str]], chars: int) -> list[list[tuple[int,
     return [b for b in out if b]
 
 
-def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "text", least: int = MIN_CHARS) -> list[tuple[int, str]]:
-    """Items on the driver, normalised, by key; items shorter than ``least`` are left out.
+def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[tuple[int, str]]:
+    """Items on the driver, normalised, by key; empty ones and null keys are left out.
 
     The benchmark is the stated query set; each of its texts is searched in all documents.
     """
     rows = benchmark.select(F.col(item).cast("bigint").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL").collect()
     kept = {(r["i"], normalise(r["t"])) for r in rows}
-    return sorted((i, t) for i, t in kept if len(t) >= least)
+    return sorted((i, t) for i, t in kept if t)
 
 
 def find_leaks(
@@ -151,7 +176,9 @@ def find_leaks(
     """One row per occurrence: ``key``, ``item_id``, ``begin``, ``end``, ``distance``.
 
     An item occurs where its normalised text lies within ``error_rate`` times its length edits of a
-    part of the whole normalised document; begin and end are places in that normalised text.
+    part of the whole normalised document; begin and end are places in that normalised text. Items of
+    under MIN_CHARS characters occur where they stand unedited between word borders. Occurrences may
+    overlap; a begin is the one that makes the occurrence shortest.
 
     Nulls: null or empty texts and items have no match; null item keys are left out; a null
     document key stays null. Repeated documents each give their rows, repeated items one. Empty
@@ -184,9 +211,14 @@ def _finder(sent, error_rate: float, key: str):
 
 
 def without_leaks(documents: DataFrame, items: Sequence[tuple[int, str]], text: str = "text", error_rate: float = ERROR_RATE) -> DataFrame:
-    """The documents in which no item occurs, with all their columns; a null text has none."""
+    """The documents in which no item occurs, with all their columns; a null text has none.
+
+    Items of under MIN_CHARS characters are no reason to drop a document: a word or a name alone is
+    no evidence that it holds the benchmark.
+    """
     left = documents
     sc = documents.sparkSession.sparkContext
+    items = [x for x in items if len(x[1]) >= MIN_CHARS]
     for block in blocks(items, BLOCK_CHARS):
         sent = sc.broadcast(block)
         left = left.where(~_tester(sent, error_rate)(F.col(text)))
