@@ -70,26 +70,36 @@ def warc_record(page: str, url: str, payload: bytes | None, digest: str, size: i
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    """Header fields by lower-case name; lines without a colon are none."""
+    pairs = (line.decode("utf-8", "replace").partition(":") for line in lines)
+    return {k.strip().lower(): v.strip() for k, colon, v in pairs if colon}
+
+
 def parse_record(data: bytes) -> dict:
-    """Headers (lower case), ``block``, HTTP headers and payload of one record; raises on a torn one."""
+    """Headers (lower case), HTTP headers and payload of one record; raises on a torn one.
+
+    The payload of a record that is no HTTP message is its whole block.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
     if not gap or not head.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    fields = {k.lower(): v for k, v in fields.items()}
+    fields = _fields(head.split(b"\r\n")[1:])
     length = int(fields["content-length"])
     if rest[length:] != b"\r\n\r\n":
         raise ValueError("a WARC record is cut short")
+    if not fields.get("content-type", "").lower().startswith("application/http"):
+        return {"fields": fields, "http": {}, "payload": rest[:length]}
     http, _, payload = rest[:length].partition(b"\r\n\r\n")
-    web = {k.lower(): v for k, v in (x.split(": ", 1) for x in http.decode().split("\r\n")[1:])}
-    return {"fields": fields, "http": web, "payload": payload}
+    return {"fields": fields, "http": _fields(http.split(b"\r\n")[1:]), "payload": payload}
 
 
 def zip_members(f) -> list[Member]:
-    """All members of a ZIP file given as a random-access file, from its central directory.
+    """The stored members of a ZIP file given as a random-access file, from its central directory.
 
     Reads the end record (behind a comment if there is one), the ZIP64 end record where a field is
-    at its limit, the directory, and each member's local header. Raises on compressed members.
+    at its limit, the directory, and each member's local header. Folders and compressed members,
+    which can't be read by range, are left out.
     """
     size = f.size()
     tail_at = max(0, size - (22 + 65535))
@@ -123,10 +133,8 @@ def zip_members(f) -> list[Member]:
         packed = wide.pop(0) if packed == 0xFFFFFFFF else packed
         header_at = wide.pop(0) if header_at == 0xFFFFFFFF else header_at
         pos += 46 + n_name + n_extra + n_comment
-        if name.endswith("/"):
-            continue
-        if method != 0 or packed != full:
-            raise ValueError(f"{name} is not stored")
+        if name.endswith("/") or method != 0 or packed != full:
+            continue  # a folder, or compressed: its parts can't be read by range
         local = f.read_at(30, header_at)
         if local[:4] != b"PK\x03\x04":
             raise ValueError(f"{name} has no local header")
@@ -134,6 +142,32 @@ def zip_members(f) -> list[Member]:
     return members
 
 
+def record_places(f) -> Iterator[tuple[int, int]]:
+    """(begin in the file, length) of every record that the package's indexes list, in their order.
+
+    An index is a stored member that ends in ``.cdx`` or ``.cdxj``, perhaps with ``.gz``. Its lines hold
+    a JSON object, perhaps behind other fields, with ``offset``, ``length`` and, if there are several
+    archives, the ``filename`` of one. Raises if there is no archive, no index, or no such file.
+    """
+    members = zip_members(f)
+    archives = [m for m in members if m.name.endswith((".warc.gz", ".warc"))]
+    indexes = [m for m in members if m.name.removesuffix(".gz").endswith((".cdx", ".cdxj"))]
+    if not archives or not indexes:
+        raise ValueError("the package has no stored archive with a stored index")
+    for index in indexes:
+        data = f.read_at(index.size, index.begin)
+        data = gzip.decompress(data) if index.name.endswith(".gz") else data
+        for line in data.split(b"\n"):
+            if b"{" not in line:
+                continue
+            entry = json.loads(line[line.index(b"{") :])
+            name = entry.get("filename")
+            found = [m for m in archives if name is None or m.name == name or m.name.endswith(f"/{name}")]
+            if len(found) != 1:
+                raise ValueError(f"an index names {name!r}, which is no single archive")
+            yield found[0].begin + int(entry["offset"]), int(entry["length"])
+
+
 def _zip64_values(extra: bytes) -> list[int]:
     pos = 0
     while pos + 4 <= len(extra):
@@ -221,7 +255,8 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
     """One row per record of the packages: page, payload_bytes, payload_digest, record_type, refers_to, payload.
 
     A response's bytes and digest come from its payload and must agree with its header; a revisit's come
-    from its headers, and its payload is null.
+    from its headers, and its payload is null. In packages of other writers (see ``record_places``)
+    records name no page; a digest they lack is worked out.
 
     Scale: a first pass reads directories and indexes and yields runs of records of about READ_BYTES;
     runs are then dealt to tasks, which read each with one range request.
@@ -232,18 +267,19 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
         for batch in batches:
             for name in batch["file"]:
                 store, path = open_store(f"{folder}/{name}")
-                with store.open_input_file(path) as f:
-                    members = {m.name: m for m in zip_members(f)}
-                    lines = f.read_at(members[INDEX_MEMBER].size, members[INDEX_MEMBER].begin).split(b"\n")
-                entries = [json.loads(x) for x in lines if x]
-                begin = members[WARC_MEMBER].begin
                 run: list[int] = []
-                for i, e in enumerate(entries):
-                    run.append(e["length"])
-                    if sum(run) >= span or len(run) >= 4096 or i + 1 == len(entries):
-                        at = begin + e["offset"] + e["length"] - sum(run)
-                        yield pd.DataFrame({"file": [name], "at": [at], "lengths": [run]})
-                        run = []
+                begin = size = 0
+                with store.open_input_file(path) as f:
+                    for at, length in record_places(f):
+                        if run and (size >= span or len(run) >= 4096 or at != begin + size):
+                            yield pd.DataFrame({"file": [name], "at": [begin], "lengths": [run]})
+                            run = []
+                        if not run:
+                            begin, size = at, 0
+                        run.append(length)
+                        size += length
+                if run:
+                    yield pd.DataFrame({"file": [name], "at": [begin], "lengths": [run]})
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -253,7 +289,8 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
                     data = f.read_at(int(sum(row.lengths)), int(row.at))
                 out, pos = [], 0
                 for n in row.lengths:
-                    out.append(_row(parse_record(gzip.decompress(data[pos : pos + n]))))
+                    record = data[pos : pos + n]
+                    out.append(_row(parse_record(gzip.decompress(record) if record[:2] == b"\x1f\x8b" else record)))
                     pos += n
                 yield pd.DataFrame(out, columns=["page", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]).astype(
                     {"page": "Int64", "refers_to": "Int64"}
@@ -269,20 +306,25 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
 
 def _row(record: dict) -> tuple:
     fields, kind = record["fields"], record["fields"]["warc-type"]
-    page = _page(fields["warc-record-id"])
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    size = int(record["http"]["content-length"])
+    page, payload = _page(fields.get("warc-record-id", "")), record["payload"]
+    ours = fields.get("warc-record-id", "").startswith(_PAGE)
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
+    size = int(record["http"].get("content-length", len(payload)))
     if kind == "revisit":
-        return page, size, digest, kind, _page(fields["warc-refers-to"]), None
-    payload = record["payload"]
+        return page, size, digest, kind, _page(fields.get("warc-refers-to", "")), None
+    if not ours:
+        return None, len(payload), digest or payload_digest(payload), kind, None, payload
     if payload_digest(payload) != digest or len(payload) != size:
         raise ValueError(f"page {page}: the payload does not match its header")
     return page, size, digest, kind, None, payload
 
 
+_PAGE = "<urn:page:"
+
+
 def _page(urn: str) -> int | None:
-    text = urn.removeprefix("<urn:page:").removesuffix(">")
-    return int(text) if text else None
+    text = urn.removeprefix(_PAGE).removesuffix(">")
+    return int(text) if urn.startswith(_PAGE) and text else None
 
 
 def archive_round_trip(
