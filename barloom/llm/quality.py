@@ -79,41 +79,45 @@ def quality_measures(df: DataFrame, text: str = "text") -> DataFrame:
     Words are runs of anything but blank, tab, line feed, vertical tab, form feed and carriage
     return. Null and empty texts have no words and 0 in every count; their ratios are 0. Whole
     texts are read; a text's arrays live only while its row is evaluated. Columns of ``df`` named
-    like a measure are replaced.
+    like a measure are replaced, names that begin with ``_quality`` are refused. Repeated rows each
+    have theirs; an empty table stays empty.
     """
+    clash = [c for c in df.columns if c.lower().startswith("_quality")]
+    if clash:
+        raise ValueError(f"reserved column names: {clash}")
     own = [
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "mean_word_chars",
         "symbol_ratio", "stop_ratio", "dup_line_ratio", "repeat_word_ratio",
     ]
     kept = [c for c in df.columns if c not in own or c == text]
     body = F.coalesce(F.col(text), F.lit(""))
-    words = F.filter(F.split(F.col("_body"), _WHITE), lambda w: w != "")
-    lines = F.filter(F.split(F.col("_body"), "\n"), lambda x: F.length(F.translate(x, _WHITE_CHARS, "")) > 0)
+    words = F.filter(F.split(F.col("_quality_body"), _WHITE), lambda w: w != "")
+    lines = F.filter(F.split(F.col("_quality_body"), "\n"), lambda x: F.length(F.translate(x, _WHITE_CHARS, "")) > 0)
     ratio = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(0.0))
     return (
-        df.select(*kept, body.alias("_body"))
-        .select(*kept, "_body", words.alias("_words"), lines.alias("_lines"))
+        df.select(*kept, body.alias("_quality_body"))
+        .select(*kept, "_quality_body", words.alias("_quality_words"), lines.alias("_quality_lines"))
         .select(
             *kept,
-            "_words",
-            F.size("_words").cast("long").alias("n_words"),
-            F.length(F.translate("_body", _WHITE_CHARS, "")).cast("long").alias("word_chars"),
-            (F.length("_body") - F.length(F.translate("_body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            F.size("_lines").cast("long").alias("_n_lines"),
-            (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-            F.size(F.filter("_words", lambda w: F.lower(w).isin(STOP_WORDS))).alias("_n_stops"),
+            "_quality_words",
+            F.size("_quality_words").cast("long").alias("n_words"),
+            F.length(F.translate("_quality_body", _WHITE_CHARS, "")).cast("long").alias("word_chars"),
+            (F.length("_quality_body") - F.length(F.translate("_quality_body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            F.size("_quality_lines").cast("long").alias("_quality_n_lines"),
+            (F.size("_quality_lines") - F.size(F.array_distinct("_quality_lines"))).cast("long").alias("n_dup_lines"),
+            F.size(F.filter("_quality_words", lambda w: F.lower(w).isin(STOP_WORDS))).alias("_quality_n_stops"),
         )
-        .withColumn("n_repeat_words", repeated_words(F.col("_words"), F.col("n_words")))
+        .withColumn("n_repeat_words", repeated_words(F.col("_quality_words"), F.col("n_words")))
         .withColumns(
             {
                 "mean_word_chars": ratio("word_chars", "n_words"),
                 "symbol_ratio": ratio("n_symbols", "n_words"),
-                "stop_ratio": ratio("_n_stops", "n_words"),
-                "dup_line_ratio": ratio("n_dup_lines", "_n_lines"),
+                "stop_ratio": ratio("_quality_n_stops", "n_words"),
+                "dup_line_ratio": ratio("n_dup_lines", "_quality_n_lines"),
                 "repeat_word_ratio": ratio("n_repeat_words", "n_words"),
             }
         )
-        .drop("_words", "_n_lines", "_n_stops")
+        .drop("_quality_words", "_quality_n_lines", "_quality_n_stops")
     )
 
 

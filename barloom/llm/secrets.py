@@ -217,15 +217,21 @@ def redact_live(
     """All rows and columns of ``df`` with the live secrets in ``text`` replaced by ``mask``.
 
     Copied examples stay as they are. Only texts with a candidate take part in the scan's joins; all
-    others pass through. Rows are told apart by key and text, so repeated keys are no trouble.
+    others pass through. Rows are told apart by key, repository and text, so repeated keys are no
+    trouble. Null texts stay null, repeated rows stay repeated, an empty table stays empty. Names
+    that begin with ``_secret`` are refused.
     """
+    clash = [c for c in df.columns if c.lower().startswith("_secret")]
+    if clash:
+        raise ValueError(f"reserved column names: {clash}")
     body = F.coalesce(F.col(text), F.lit(""))
     kinds = [*BASE_KINDS, *OWNED_KINDS]
     suspect = F.lit(False)
     for k in kinds:
         suspect = suspect | body.rlike(k.pattern)
     row = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("none")), F.coalesce(F.col(repository).cast("string"), F.lit("")), F.md5(body.cast("binary")))
-    some = df.where(suspect).withColumn("_row", row)
-    spans = scan_secrets(some, "_row", text, repository).dropDuplicates(["_row"])
-    masked = redact(some.join(spans, "_row"), F.col("spans"), text, mask)
+    some = df.where(suspect).withColumn("_secret_row", row)
+    spans = scan_secrets(some, "_secret_row", text, repository).dropDuplicates(["_secret_row"])
+    spans = spans.withColumnRenamed("spans", "_secret_spans")
+    masked = redact(some.join(spans, "_secret_row"), F.col("_secret_spans"), text, mask)
     return df.where(~suspect).unionByName(masked.select(*df.columns))

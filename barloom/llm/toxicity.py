@@ -168,6 +168,28 @@ def train(
     return {"": float(b)} | {f: float(v) for f, v in zip(names, w) if abs(v) > 1e-6}
 
 
+def penalty_report(
+    texts: Sequence[str],
+    labels: Sequence[int],
+    settings: Settings = Settings(),
+    terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
+) -> dict[str, float]:
+    """What the penalty does on labelled texts, trained with and without it.
+
+    ``twins``: texts that name a group. ``gap`` and ``gap_without``: mean difference between the scores of
+    a text and its twin. ``false`` and ``false_without``: texts of label 0 that name a group and
+    score 0.5 or more. Without twins both models are the same.
+    """
+    named = [(t, y, twin) for t, y in zip(texts, labels) if (twin := swapped(word_counts(t), terms)) is not None]
+    out: dict[str, float] = {"twins": len(named)}
+    for suffix, weight in (("", settings.counterfactual), ("_without", 0.0)):
+        model = train(texts, labels, settings=settings._replace(counterfactual=weight), terms=terms)
+        scores = [(score_text(model, t), score_text(model, " ".join(twin.elements())), y) for t, y, twin in named]
+        out[f"gap{suffix}"] = sum(abs(a - b) for a, b, _ in scores) / max(len(scores), 1)
+        out[f"false{suffix}"] = sum(a >= 0.5 for a, _, y in scores if not y)
+    return out
+
+
 def score_text(model: dict[str, float], text: str | None) -> float:
     """Between 0 and 1; an empty or null text has the score of the intercept."""
     get = model.get

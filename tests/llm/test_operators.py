@@ -129,7 +129,7 @@ def test_edit_distance_and_leaks(spark, documents):
     broken = item[: len(item) // 2]
     bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (None, item), (4, "short")], "item_id long, text string")
     items = decontaminate.benchmark_items(bench)
-    assert [i for i, _ in items] == [1]
+    assert [i for i, _ in items] == [1, 4]
     rows = [(1, "a " + item.upper() + " b"), (2, "x " + edited), (3, broken), (4, None), (5, ""), (6, item + " " + LONG + " " + item)]
     docs = documents(rows)
     got = sorted((r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.find_leaks(docs, items).collect())
@@ -241,7 +241,9 @@ def test_zip_directory():
     squeezed = io.BytesIO()
     with zipfile.ZipFile(squeezed, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("c", b"x" * 100)
-    for bad in (squeezed.getvalue(), b"", b"no archive"):
+        z.writestr(zipfile.ZipInfo("d"), b"stored")
+    assert [m.name for m in archive.zip_members(Bytes(squeezed.getvalue()))] == ["d"]
+    for bad in (b"", b"no archive"):
         with pytest.raises(ValueError):
             archive.zip_members(Bytes(bad))
 
@@ -251,8 +253,9 @@ def test_records(spark, documents):
 
     path = public.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    rows = ROWS + [(30, "a   b \n  c\t"), (31, "<|endoftext|>"), (32, "nul \0 nul")]
+    rows = ROWS + [
+        (30, "a   b \n  c\t"), (31, "<|endoftext|>"), (32, "nul \0 nul"), (33, "a <|endoftext|> b"), (34, "a<|endoftext|>b <|EndOfText|> <|end"),
+    ]
     folder = new_folder(spark, "records")
     manifest = records.write_records(documents(rows).withColumn("key", F.lit(0)), path, folder)
     got = sorted(records.read_records(spark, folder, manifest).collect(), key=lambda r: r["start"])
