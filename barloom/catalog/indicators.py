@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,18 +13,20 @@ from barloom.catalog.registry import QUERIES, ORACLES, query, rounded, rounded_s
 from barloom.functions.series import TYPICAL_PRICE, SeriesWindow, add_columns, true_range
 from barloom.operators import indicators as I
 from barloom.operators.completeness import incomplete_dates, incomplete_dates_after_warm_up
-from barloom.operators.extension import apply_per_series
+from barloom.operators.extension import apply_per_series, fold_per_series
 from barloom.operators.recurrence import ANYWHERE, NEVER, Ewm, Total, ewm, span_alpha, wilder_alpha
 from barloom.plans.incremental import (
     backfill_indicators,
     compute_all_indicators,
     daily_indicators,
+    rows_to_backfill,
     run_backfill,
     run_daily,
     run_refresh,
 )
 from barloom.schema import INDICATOR_COLUMNS, INDICATORS, STOCK_BARS, align_to_schema
 from barloom.session import new_folder, written
+from barloom.sinks.buckets import by_series, create_series_table, read_series_table, write_upsert_series
 from barloom.sinks.tables import read_table, write_new_dates, write_upsert
 from barloom.sources.bars import load_series
 
@@ -235,6 +238,7 @@ def long_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(I.compute(_series(spark, sf_dir), wanted), _LONG_OUT, 4)
 
 
+_CUT, _LATE = date(2000, 1, 1), date(2001, 10, 1)
 _EWM_OUT = ["ema_200", "wilder", "volume"]
 _EWM_SQL = f"""
 with {BARS_SQL.strip()}, s as (select *, row_number() over {W} - 1 as t from bars),
@@ -329,9 +333,53 @@ def apply_in_blocks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(done, ["mean"], 4)
 
 
+_FOLD_SQL = f"""with {BARS_SQL.strip()}, e as (select date, symbol, close / max(close) {_running()} - 1 as drawdown,
+  min(date) {_running()} as since from bars)
+select {rounded_sql(['drawdown'], 6)}, cast(since as varchar) as since from e"""
+
+
+@query("fold_per_series", _FOLD_SQL)
+def fold_per_series_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loss since the highest close so far, a state carried through every series."""
+
+    def step(state, frame):
+        top, since = state
+        since = since or frame["date"].iloc[0]
+        tops = frame["close"].cummax().clip(lower=top)
+        out = frame[["date", "symbol"]].assign(drawdown=frame["close"] / tops - 1, since=since)
+        return (tops.iloc[-1], since), out
+
+    schema = "date date, symbol string, drawdown double, since date"
+    done = fold_per_series(_series(spark, sf_dir), lambda: (0.0, None), step, schema)
+    return rounded(done, ["drawdown"], 6, ["symbol", F.col("since").cast("string").alias("since")])
+
+
+# -- tables by series -------------------------------------------------------------------
+
+
+def _series_table(spark: SparkSession, rows: DataFrame) -> str:
+    name = f"barloom_{uuid.uuid4().hex}"
+    create_series_table(rows, name, new_folder(spark, "by-series"), _BUCKETS)
+    return name
+
+
+_BUCKETS = 16
+
+
+@query("indicators_by_series", ALL_SQL)
+def indicators_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables are stored by symbol: early rows, then those that a backfill of it all adds."""
+    stored = read_series_table(spark, _series_table(spark, align_to_schema(bars(spark, sf_dir), STOCK_BARS)))
+    early = compute_all_indicators(load_series(stored.where(F.col("date") < F.lit(_CUT))))
+    name = _series_table(spark, early)
+    with by_series(spark):
+        due = written(rows_to_backfill(stored, read_series_table(spark, name)), "due")
+    write_upsert_series(due, name)
+    return rounded(read_series_table(spark, name), INDICATOR_COLUMNS, DIGITS)
+
+
 # -- incremental ------------------------------------------------------------------------
 
-_CUT, _LATE = date(2000, 1, 1), date(2001, 10, 1)
 _PROBE_NULL = (
     "rsi_14 is null or stoch_k is null or cci_20 is null or williams_r is null or sma_200 is null"
     " or ema_9 is null or ema_200 is null"
@@ -409,11 +457,10 @@ def refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("daily_from_state", f"{ALL_SQL} where date between date '{_CUT}' - 1 and date '{_CUT}'")
 def daily_from_state_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily job on two days: the first run builds the states, the second goes on from them, and a
-    third finds nothing to do."""
+    """The daily job on two days: the first run builds the states, the second goes on from them."""
     stored, path, state = (new_folder(spark, name) for name in ("bars", "indicators", "state"))
     write_new_dates(bars(spark, sf_dir), stored, STOCK_BARS)
-    for day in (_CUT - timedelta(1), _CUT, _CUT):
+    for day in (_CUT - timedelta(1), _CUT):
         run_daily(spark, stored, path, day, state)
     return rounded(read_table(spark, path, INDICATORS), INDICATOR_COLUMNS, DIGITS)
 

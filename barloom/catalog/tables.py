@@ -281,17 +281,21 @@ def trading_days_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(C.trading_days(spark, lo, hi, desc=True), "date")
 
 
+_EVEN_SQL = "cast(o_orderdate as date) - cast(date_diff('day', date '1970-01-01', cast(o_orderdate as date)) % 2 as int)"
+_EVEN = "date_sub(to_date(o_orderdate), unix_date(to_date(o_orderdate)) % 2)"
+
+
 @query(
     "missing_trading_days",
     f"""with {_CALENDAR_SQL.strip()},
-    days as (select distinct cast(o_orderdate as date) as date from orders where o_orderstatus = 'F')
+    days as (select distinct {_EVEN_SQL} as date from orders)
     select cast(date as varchar) as date from opened
     where date between (select min(date) from days) and (select max(date) from days)
       and date not in (select date from days)""",
 )
 def missing_trading_days_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
-    return _text(C.missing_trading_days(filled.withColumn("date", F.to_date("o_orderdate"))), "date")
+    """All orders are put on even days, so the odd open days have none."""
+    return _text(C.missing_trading_days(table(spark, sf_dir, "orders").selectExpr(f"{_EVEN} AS date")), "date")
 
 
 # -- completeness -----------------------------------------------------------------------
@@ -319,24 +323,19 @@ def series_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.series_profile(orders.withColumn("date", F.to_date("o_orderdate")), "o_custkey")
 
 
-# Open orders stand for bars, filled ones for rows that are computed (some incompletely).
-_DATES_SQL = """
-b as (select distinct cast(o_orderdate as date) as date from orders where o_orderstatus <> 'P'),
-i as (select cast(o_orderdate as date) as date, case when o_totalprice > 100000 then 1.0 end as rsi_14
-      from orders where o_orderstatus = 'F')"""
+# All orders stand for bars; all of them, put on even days, for rows that are computed (some incompletely).
+_DATES_SQL = f"""
+b as (select distinct cast(o_orderdate as date) as date from orders),
+i as (select {_EVEN_SQL} as date, case when o_orderkey % 50 <> 7 then 1.0 end as rsi_14 from orders)"""
 
 
 def _done_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
-    return done.selectExpr(
-        "to_date(o_orderdate) AS date", "CASE WHEN o_totalprice > 100000 THEN 1D END AS rsi_14"
-    )
+    done = table(spark, sf_dir, "orders")
+    return done.selectExpr(f"{_EVEN} AS date", "CASE WHEN o_orderkey % 50 <> 7 THEN 1D END AS rsi_14")
 
 
 def _bar_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").selectExpr(
-        "to_date(o_orderdate) AS date", "o_orderkey"
-    )
+    return table(spark, sf_dir, "orders").selectExpr("to_date(o_orderdate) AS date", "o_orderkey")
 
 
 @query(
@@ -354,7 +353,7 @@ def dates_to_compute_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "restrict_to_dates",
     f"""with {_DATES_SQL.strip()}
     select o_orderkey, cast(cast(o_orderdate as date) as varchar) as date from orders
-    where o_orderstatus <> 'P' and cast(o_orderdate as date) in (select date from i where rsi_14 is null)""",
+    where cast(o_orderdate as date) in (select date from i where rsi_14 is null)""",
 )
 def restrict_to_dates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = G.incomplete_dates(_done_orders(spark, sf_dir))
@@ -365,7 +364,7 @@ def restrict_to_dates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "not_yet_loaded",
     f"""with {_DATES_SQL.strip()}
     select o_orderkey, cast(cast(o_orderdate as date) as varchar) as date from orders
-    where o_orderstatus <> 'P' and cast(o_orderdate as date) not in (select date from i)""",
+    where cast(o_orderdate as date) not in (select date from i)""",
 )
 def not_yet_loaded_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(G.not_yet_loaded(_bar_orders(spark, sf_dir), _done_orders(spark, sf_dir)), "date")
@@ -609,6 +608,33 @@ def upsert_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.read_table(spark, path, STOCK_BARS), _PRICES, 4)
 
 
+_COUNTED = "symbol <> 'U7'"
+
+
+@query(
+    "stored_counts",
+    f"""with {_STOCK_SQL.strip()} select cast(date as varchar) as date, count(*) as n_rows, count(*) as n_close,
+    count(case when {_COUNTED} then vol end) as n_vol, 0 as n_trans from stock group by date""",
+)
+def stored_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and values per date of a stored table, from its footers; the table lacks some volumes."""
+    path = new_folder(spark, "counted")
+    stock = stock_table(_daily_stock(spark, sf_dir).drop("vol", "turnover")).withColumn("vol", F.expr(f"CASE WHEN {_COUNTED} THEN 1D END"))
+    tables.write_new_dates(stock, path, STOCK_BARS)
+    return _text(tables.stored_counts(spark, path, STOCK_BARS, ("close", "vol", "trans")), "date")
+
+
+@query(
+    "stored_incomplete_dates",
+    f"with {_STOCK_SQL.strip()} select distinct cast(date as varchar) as date from stock where not ({_COUNTED})",
+)
+def stored_incomplete_dates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "probed")
+    stock = stock_table(_daily_stock(spark, sf_dir).drop("vol", "turnover")).withColumn("vol", F.expr(f"CASE WHEN {_COUNTED} THEN 1D END"))
+    tables.write_new_dates(stock, path, STOCK_BARS)
+    return _text(tables.stored_incomplete_dates(spark, path, STOCK_BARS, ("close", "vol", "rsi_14")), "date")
+
+
 @query("read_stock_bars", f"with {_STOCK_SQL.strip()} select {rounded_sql(_STOCK_OUT, 4)} from stock")
 def read_stock_bars_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_stock_bars(spark, _stock_files(spark, sf_dir))

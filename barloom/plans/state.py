@@ -25,11 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.blocks import BLOCK_ROWS
-from barloom.operators.completeness import rows_per_date
 from barloom.operators.indicators import Indicator, default_indicators, look_back, resume
 from barloom.schema import KEYS, STOCK_BARS
 from barloom.session import written
-from barloom.sinks.tables import read_table
+from barloom.sinks.tables import read_table, stored_counts
 from barloom.sources.bars import SERIES_MEASURES, load_series
 
 #: Calendar days of an epoch; a state is as long as some 200 rows, so epochs are much longer.
@@ -95,14 +94,15 @@ class StateTable:
         return sorted(r[0] for r in self.series().select("epoch").distinct().collect())
 
 
-def changed_days(table: StateTable, bars: DataFrame, upto: date | None = None) -> dict[date, int]:
+def changed_days(table: StateTable, bars_path: str, upto: date | None = None) -> dict[date, int]:
     """Days up to ``upto`` whose number of bars is not that of the last look, with that number.
 
     The numbers come from the files' footers; days are bounded by the calendar.
     """
+    counts = stored_counts(table.spark, bars_path, STOCK_BARS)
     if upto is not None:
-        bars = bars.where(F.col("date") <= F.lit(upto))
-    counts = rows_per_date(bars).join(F.broadcast(table.days()), "date", "left")
+        counts = counts.where(F.col("date") <= F.lit(upto))
+    counts = counts.join(F.broadcast(table.days()), "date", "left")
     return {r["date"]: r["n_rows"] for r in counts.where("date IS NOT NULL AND (known IS NULL OR known <> n_rows)").collect()}
 
 
@@ -163,7 +163,7 @@ def advance(
     stored = read_table(spark, bars_path, STOCK_BARS)
     looked_at: dict[date, int] = {}
     if keys is None:
-        looked_at = changed_days(table, stored, upto)
+        looked_at = changed_days(table, bars_path, upto)
         keys = new_keys(table, stored, sorted(looked_at))
     else:
         keys = keys.where("date IS NOT NULL AND symbol IS NOT NULL").select(*KEYS).distinct()

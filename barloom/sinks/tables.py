@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.completeness import existing_dates, not_yet_loaded, restrict_to_dates, rows_per_date
+from barloom.operators.completeness import PROBES, existing_dates, not_yet_loaded, restrict_to_dates, rows_per_date
 from barloom.schema import KEYS, align_to_schema
 from barloom.session import written
 
@@ -23,6 +23,42 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+_V1_SOURCES = "spark.sql.sources.useV1SourceList"
+
+
+def stored_counts(
+    spark: SparkSession, path: str, schema: T.StructType, columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per date of the table at ``path``: ``n_rows``, and ``n_<column>``, the rows with a value in it.
+
+    The counts come from the footers of the files (aggregates pushed down to the Parquet source); no
+    column is read. A table that does not exist has no dates.
+    """
+    before = spark.conf.get(_V1_SOURCES)
+    kept = ",".join(s for s in before.split(",") if s.strip().lower() != "parquet")
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set(_V1_SOURCES, kept)
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
+    finally:
+        spark.conf.set(_V1_SOURCES, before)
+    return rows.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(f"n_{c}") for c in columns])
+
+
+def stored_incomplete_dates(
+    spark: SparkSession, path: str, schema: T.StructType, probes: tuple[str, ...] = PROBES
+) -> DataFrame:
+    """``incomplete_dates`` of a stored table, from its footers."""
+    present = tuple(p for p in probes if p in schema.fieldNames())
+    counts = stored_counts(spark, path, schema, present)
+    short = [f"`n_{p}` < n_rows" for p in present] or ["false"]
+    return counts.where(" OR ".join(short)).select("date")
+
+
 def _write(df: DataFrame, path: str, mode: str) -> None:
     # Rebalancing groups rows by date, so that a day becomes few files, and splits a large day.
     (
