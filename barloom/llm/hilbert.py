@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from barloom.llm.expressions import let
+from barloom.session import written
 
 #: Rows of a slice: the part of a curve cell that one task numbers.
 SLICE_ROWS = 1_000_000
-#: Rows, about, from which the cut points of text dimensions are taken.
-SAMPLED_TEXTS = 16_384
 #: A slice has no more than this share of all rows, so that small inputs spread as well.
 SLICES = 1024
 
@@ -84,27 +83,54 @@ def hilbert_index(cells: Sequence[Column], bits: int) -> Column:
     return let(F.aggregate(steps, start, turned), interleaved)
 
 
+def _text_cuts(df: DataFrame, texts: Sequence[str], bits: int) -> dict[str, list[str]]:
+    """The values at the ranks m * i / 2^bits of each text dimension's m values, counted over all rows.
+
+    Distinct values are counted, sorted by ranges and numbered within their range; the driver
+    gets a count per range and the values at the ranks, no others.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), _measure(df, d).alias("value")) for i, d in enumerate(texts)]))
+    counted = df.select(each.alias("e")).select("e.*").where("value IS NOT NULL").groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(counted.repartitionByRange(parts, "dim", "value").withColumn("part", F.spark_partition_id()), "text-ranges")
+    sums = ranged.groupBy("dim", "part").agg(F.sum("n")).orderBy("dim", "part").collect()
+    wanted = []
+    for i in range(len(texts)):
+        total, before = sum(n for dim, _, n in sums if dim == i), 0
+        ranks = [total * k // (1 << bits) for k in range(1, 1 << bits)] if total else []
+        for _, part, n in (r for r in sums if r[0] == i):
+            wanted += [(i, part, r - before) for r in ranks if before <= r < before + n]
+            before += n
+    if not wanted:
+        return {d: [] for d in texts}
+    along = Window.partitionBy("dim", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    holds = F.lit(False)
+    for dim, part in sorted({w[:2] for w in wanted}):
+        holds |= (F.col("dim") == dim) & (F.col("part") == part)
+    # Ranks are relative to the range here.
+    placed = ranged.where(holds).withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
+    rank = F.explode(F.array(*[F.struct(*[F.lit(x).cast("long").alias(c) for c, x in zip(("d", "p", "r"), w)]) for w in wanted]))
+    here = "dim = d AND part = p AND before <= r AND r < before + n"
+    found = placed.select("*", rank.alias("w")).select("dim", "part", "before", "n", "value", "w.*").where(here).select("d", "p", "r", "value")
+    at = {(d, p, r): value for d, p, r, value in found.collect()}
+    return {d: [at[w] for w in wanted if w[0] == i] for i, d in enumerate(texts)}
+
+
 def quantile_cuts(df: DataFrame, dims: Sequence[str], bits: int) -> list[list[float] | list[str]]:
-    """2^bits - 1 cut points per dimension; all null: none.
+    """2^bits - 1 cut points per dimension; all null: none. All rows count.
 
-    Those of numbers come from mergeable quantile sketches over all rows, those of texts from the
-    whole texts of about SAMPLED_TEXTS rows, drawn by a hash. Cuts only set how evenly the cells of
-    the curve are filled.
+    Those of numbers come from mergeable quantile sketches, those of texts are exact and whole. Cuts
+    only set how evenly the cells of the curve are filled.
     """
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     numbers = [d for d in dims if isinstance(df.schema[d].dataType, NumericType)]
     texts = [d for d in dims if d not in numbers]
-    sketches = [F.percentile_approx(_measure(df, d), shares, 10_000).alias(f"c{i}") for i, d in enumerate(numbers)]
-    n, *found = df.agg(F.count(F.lit(1)), *sketches).first()
-    cuts: dict[str, list] = {d: [float(c) for c in row or []] for d, row in zip(numbers, found)}
+    cuts: dict[str, list] = {}
+    if numbers:
+        sketches = [F.percentile_approx(_measure(df, d), shares, 10_000).alias(f"c{i}") for i, d in enumerate(numbers)]
+        cuts |= {d: [float(c) for c in row or []] for d, row in zip(numbers, df.agg(*sketches).first())}
     if texts:
-        # The place in the input tells rows apart that are equal; each is drawn with the same chance.
-        place = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(17)), F.lit(1 << 30))
-        share = min(1.0, SAMPLED_TEXTS / max(n, 1))
-        drawn = df.where(place < int(share * (1 << 30))).select(*[_measure(df, d).alias(f"c{i}") for i, d in enumerate(texts)]).collect()
-        for i, d in enumerate(texts):
-            values = sorted(r[i] for r in drawn if r[i] is not None)
-            cuts[d] = [values[min(len(values) - 1, int(len(values) * s))] for s in shares] if values else []
+        cuts |= _text_cuts(df, texts, bits)
     return [cuts[d] for d in dims]
 
 

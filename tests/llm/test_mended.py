@@ -109,6 +109,16 @@ def test_whole_texts_order_the_curve(spark):
     assert [r[0] for r in got] == [0, 0, 0, 1, 1, 2]
 
 
+def test_text_cuts_count_every_row(spark):
+    rows = [(f"k{i * i % 9973:05d}" if i % 3 else "k00500", None if i % 10 == 0 else f"é{i % 4}", float(i)) for i in range(40_000)] + [(None, None, None)] * 50
+    df = spark.createDataFrame(rows, "a string, b string, n double").repartition(5)
+    got = hilbert.quantile_cuts(df, ["b", "n", "a"], 4)
+    for cuts, column in ((got[2], 0), (got[0], 1)):
+        values = sorted(r[column] for r in rows if r[column] is not None)
+        assert cuts == [values[len(values) * k // 16] for k in range(1, 16)]
+    assert hilbert.quantile_cuts(df.select("a", "b", F.lit(None).cast("string").alias("c")).where("a IS NULL"), ["c", "a"], 4) == [[], []]
+
+
 def test_shard_query(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
