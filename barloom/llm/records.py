@@ -18,6 +18,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ BATCH_CHARS = 4_000_000
 MAX_REMEMBERED = 2_000_000
 #: New words encoded as one text; the tokenizer is slower per word on longer ones.
 JOINED_WORDS = 64
+#: Words whose ids are gathered at a time.
+GATHERED_WORDS = 1 << 15
 #: Bytes of input per file, about.
 FILE_BYTES = 256 << 20
 #: Bytes a reading task asks the store for at a time.
@@ -41,12 +45,55 @@ READ_BYTES = 16 << 20
 _UNSAFE = re.compile(r"\s \s|\s \Z")
 
 
+class Words:
+    """The ids of the words a worker remembers: a number per word, and all their ids back to back."""
+
+    def __init__(self, dtype: str) -> None:
+        self.dtype = dtype
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, self.dtype)
+        self.ends = np.zeros(1 << 16, np.int64)  # of word n - 1; 0 before the first
+
+    def add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Takes new words in, whose ids stand one after another."""
+        n = len(self.number)
+        ends = self.ends[n] + np.cumsum(counts)
+        self.ends = _with_room(self.ends, n + 1 + len(words))
+        self.ends[n + 1 : n + 1 + len(words)] = ends
+        self.ids = _with_room(self.ids, int(self.ends[n]) + len(ids))
+        self.ids[int(self.ends[n]) :][: len(ids)] = ids
+        self.number.update(zip(words, range(n, n + len(words))))
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered words back to back, and each one's end among them."""
+        counts = self.ends[numbers + 1]
+        counts -= self.ends[numbers]
+        ends = np.cumsum(counts)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, self.dtype)
+        for lo in range(0, len(numbers), GATHERED_WORDS):  # the places of some words at a time
+            hi = min(lo + GATHERED_WORDS, len(numbers))
+            first = int(ends[lo] - counts[lo])
+            at = np.repeat(self.ends[numbers[lo:hi]] - (ends[lo:hi] - counts[lo:hi]), counts[lo:hi])
+            at += np.arange(first, first + len(at))
+            out[first : first + len(at)] = self.ids[at]
+        return out, ends
+
+
+def _with_room(values: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(values):
+        return values
+    return np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
+
+
 class Tokens(NamedTuple):
     """A worker's tokenizer, its memory of words, the type of an id, every token's bytes, and a pattern
     of the tokens that were added to the vocabulary, which are found in a text before it is cut."""
 
     tokenizer: object
-    words: dict[str, bytes]
+    words: Words
     dtype: str
     sizes: np.ndarray
     added: re.Pattern | None
@@ -60,20 +107,28 @@ def encode_texts(texts: list[str], tokens: Tokens) -> list[bytes]:
     such a cut would change, or with an added token, go to the tokenizer whole.
     """
     added = tokens.added.search if tokens.added else lambda _: None
-    whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t) or added(t)}
-    cut = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
-    if len(tokens.words) > MAX_REMEMBERED:
+    whole = [bool(_UNSAFE.search(t) or added(t)) for t in texts]
+    out = [_ids(tokens, t).tobytes() if w else b"" for t, w in zip(texts, whole)]
+    cut = [i for i, w in enumerate(whole) if not w and texts[i]]
+    if not cut:
+        return out
+    if len(tokens.words.number) > MAX_REMEMBERED:
         tokens.words.clear()
+    # Only the distinct words of a batch become Python strings.
+    lists = pc.split_pattern(pa.array([texts[i] for i in cut], pa.large_string()), " ")
+    found = lists.flatten().dictionary_encode()
+    begins = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
     # Words are remembered as they stand after a blank; a text's first word goes by a name that no
     # word can have, with a blank before it.
-    firsts = [" " + words.pop(0) if words else "" for words in cut]
-    new = set().union(*cut)
-    new.update(firsts)
-    _remember(list(new - tokens.words.keys()), tokens)
-    known = tokens.words.__getitem__
-    out = [known(f) + b"".join(map(known, words)) if f else b"" for f, words in zip(firsts, cut)]
-    for i in whole:
-        out[i] = _ids(tokens, texts[i]).tobytes()
+    firsts = [" " + texts[i].partition(" ")[0] for i in cut]
+    numbers = _numbers(found.dictionary.to_numpy(zero_copy_only=False).tolist(), tokens)[found.indices.to_numpy()]
+    numbers[begins[:-1]] = _numbers(firsts, tokens)
+    ids, ends = tokens.words.joined(numbers)
+    data, width = ids.tobytes(), ids.itemsize
+    last = 0
+    for i, end in zip(cut, (ends[begins[1:] - 1] * width).tolist()):
+        out[i] = data[last:end]
+        last = end
     return out
 
 
@@ -81,27 +136,47 @@ def _ids(tokens: Tokens, text: str) -> np.ndarray:
     return np.asarray(tokens.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, tokens.dtype)
 
 
+def _numbers(words: list[str], tokens: Tokens) -> np.ndarray:
+    """The words' numbers in the worker's memory; those it lacks are encoded."""
+    known = list(map(tokens.words.number.get, words))
+    new = [i for i, n in enumerate(known) if n is None]
+    if new:
+        _remember(list(dict.fromkeys([words[i] for i in new])), tokens)
+        for i in new:
+            known[i] = tokens.words.number[words[i]]
+    return np.array(known, np.int64)
+
+
 def _remember(words: list[str], tokens: Tokens) -> None:
-    """Encodes new words: those without white space at their borders as one text with a blank before
-    each, cut again by the bytes of its tokens; all others one by one."""
-    plain = [" " + w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-    for lo in range(0, len(plain), JOINED_WORDS):
-        group = plain[lo : lo + JOINED_WORDS]
-        ids = _ids(tokens, "".join(group))
+    """Encodes new words: those without white space at their borders in groups, as one text with a blank
+    before each, cut again by the bytes of its tokens; all others one by one."""
+    plain = [w for w in words if w and w == w.strip()]
+    groups = [plain[lo : lo + JOINED_WORDS] for lo in range(0, len(plain), JOINED_WORDS)]
+    parts = [_ids(tokens, " " + " ".join(group)) for group in groups]
+    if groups:
+        sizes = pc.binary_length(pa.array(plain, pa.large_string())).to_numpy().astype(np.int64) + 1
+        lows = np.arange(len(groups)) * JOINED_WORDS
+        ids = np.concatenate(parts)
         ends = np.cumsum(tokens.sizes[ids])
-        want = np.cumsum([len(w.encode()) for w in group])
-        at = np.searchsorted(ends, want)
-        if not len(ends) or ends[-1] != want[-1] or not np.array_equal(ends[at], want):
-            continue  # its tokens are no bytes of the text: one by one
-        data, width = ids.tobytes(), ids.itemsize
-        last = 0
-        for w, end in zip(group, ((at + 1) * width).tolist()):
-            tokens.words[w[1:]] = data[last:end]
-            last = end
+        # The bytes of all tokens before a group, and where the words' last bytes are if its tokens are its bytes.
+        upto = np.cumsum([len(p) for p in parts])
+        after = np.concatenate([[0], ends])[np.concatenate([[0], upto])]
+        group = np.arange(len(plain)) // JOINED_WORDS
+        total = np.add.reduceat(sizes, lows)
+        want = np.cumsum(sizes) - (np.cumsum(total) - total)[group] + after[:-1][group]
+        at = np.minimum(np.searchsorted(ends, want), max(len(ends) - 1, 0))
+        right = (ends[at] == want) if len(ends) else np.zeros(len(plain), bool)
+        fits = np.logical_and.reduceat(right, lows) & (np.diff(after) == total)
+        # A group whose tokens are no bytes of its text is left to the one by one.
+        good = np.repeat(fits, [len(p) for p in parts])
+        counts = np.diff(at + 1, prepend=0)
+        first = np.concatenate([[0], upto[:-1]])
+        counts[lows] = at[lows] + 1 - first
+        tokens.words.add([w for w, ok in zip(plain, fits[group].tolist()) if ok], ids[good], counts[fits[group]])
     for w in words:
-        if w not in tokens.words:
-            first = w[:1] == " "
-            tokens.words[w] = _ids(tokens, w[1:] if first else " " + w).tobytes()
+        if w not in tokens.words.number:
+            ids = _ids(tokens, w[1:] if w[:1] == " " else " " + w)
+            tokens.words.add([w], ids, np.array([len(ids)]))
 
 
 def load_tokenizer(path: str) -> Tokens:
@@ -119,7 +194,7 @@ def load_tokenizer(path: str) -> Tokens:
         sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
         names = sorted({str(t.content) for t in tokenizer.get_added_tokens_decoder().values() if t.content})
         added = re.compile("|".join(map(re.escape, names)), re.IGNORECASE) if names else None
-        kept[path] = Tokens(tokenizer, {}, width, sizes, added)
+        kept[path] = Tokens(tokenizer, Words(width), width, sizes, added)
     return kept[path]
 
 
