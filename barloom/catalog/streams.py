@@ -75,7 +75,6 @@ def _ewm_stream(root: str, parts: list[DataFrame], delay_days: int | None = None
     spark = parts[0].sparkSession
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    own.conf.set("spark.sql.shuffle.partitions", "4")
     schema = "symbol string, date date, x double"
     for part in parts:
         part.write.mode("append").parquet(f"{root}/rows")

@@ -97,77 +97,112 @@ class _Ewm(NamedTuple):
     last: date | None = None
 
 
+class _Series:
+    """A series' mean and the rows that wait."""
+
+    def __init__(self, mean: _Ewm = _Ewm(), days: list[date] | None = None, xs: list[float | None] | None = None):
+        self.mean = mean
+        self.waiting: list[tuple[date, float | None]] = list(zip(days or [], xs or []))
+
+
 class _EwmState(StatefulProcessor):
-    """Carries an ``_Ewm`` per series; with ``reorder`` rows wait until the watermark has passed them."""
+    """Carries an ``_Ewm`` per series; with ``reorder`` rows wait until the watermark has passed them.
+
+    A key of the state is a group of series (see ``SERIES_GROUPS``), so that calls into the state
+    store and frames are shared by its series.
+    """
 
     def __init__(self, alpha: float, min_periods: int, reorder: bool):
         self.alpha, self.min_periods, self.reorder = alpha, min_periods, reorder
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("ewm", "y double, gap long, seen long, last date")
-        if self.reorder:
-            self.waiting = handle.getListState("waiting", "day date, x double")
-
-    def _state(self) -> _Ewm:
-        return _Ewm(*self.state.get()) if self.state.exists() else _Ewm()
+        self.state = handle.getListState(
+            "series", "symbol string, y double, gap long, seen long, last date, days array<date>, xs array<double>"
+        )
+
+    def _load(self) -> dict[str | None, _Series]:
+        return {r[0]: _Series(_Ewm(*r[1:5]), r[5], r[6]) for r in self.state.get()}
+
+    def _save(self, group: dict[str | None, _Series]) -> None:
+        """Stores the group; a timer is set for the first day that waits."""
+        rows = [
+            (symbol, *s.mean, [d for d, _ in s.waiting], [x for _, x in s.waiting])
+            for symbol, s in group.items()
+            if s.waiting or s.mean.last is not None
+        ]
+        if rows:
+            self.state.put(rows)
+        first = min((d for s in group.values() for d, _ in s.waiting), default=None)
+        if first is not None:
+            self.handle.registerTimer(_milliseconds(first))
 
     def _advance(self, state: _Ewm, day: date, x: float | None) -> _Ewm:
         y, gap, seen, _ = state
         gap += 1
-        if x is not None and not pd.isna(x):
+        if x is not None:
             weight = (1 - self.alpha) ** gap
             y = x if y is None else (weight * y + self.alpha * x) / (weight + self.alpha)
             gap, seen = 0, seen + 1
         return _Ewm(y, gap, seen, day)
 
-    def _means(self, key, rows: list[tuple[date | None, float | None]]) -> pd.DataFrame:
+    def _means(self, symbol: str | None, series: _Series, rows: list[tuple[date | None, float | None]], out: list) -> None:
         """Takes rows in the order of their days into the mean; those it is past come out as late."""
-        state, means, lates = self._state(), [], []
+        state = series.mean
         for day, x in rows:
             late = day is None or (state.last is not None and day <= state.last)
-            lates.append(late)
             if not late:
                 state = self._advance(state, day, x)
-            means.append(None if late or state.seen < self.min_periods else state.y)
-        self.state.update(tuple(state))
-        days, values = [r[0] for r in rows], [r[1] for r in rows]
-        return pd.DataFrame({"symbol": key[0], "date": days, "x": values, "ewm": means, "late": lates})
+            out.append((symbol, day, x, None if late or state.seen < self.min_periods else state.y, late))
+        series.mean = state
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A batch holds the new rows of the series only; they are put in order before use.
-        new = pd.concat(list(rows), ignore_index=True)
-        pairs = [(None if pd.isna(d) else d, None if pd.isna(x) else x) for d, x in zip(new["date"], new["x"])]
-        pairs.sort(key=lambda r: (r[0] is None, r[0] or date.min, r[1] is None, r[1] or 0.0))
-        if not self.reorder:
-            yield self._means(key, pairs)
-            return
-        passed = self._state().last
-        late = [r for r in pairs if r[0] is None or (passed is not None and r[0] <= passed)]
-        wait = [r for r in pairs if not (r[0] is None or (passed is not None and r[0] <= passed))]
-        if wait:
-            self.waiting.appendList(wait)
-            self.handle.registerTimer(_milliseconds(wait[0][0]))
-        if late:
-            yield self._means(key, late)
+        new: dict[str | None, list] = {}
+        for frame in rows:
+            symbols, days, xs = frame["symbol"], frame["date"], frame["x"]
+            nulls = [pd.isna(c).tolist() for c in (symbols, days, xs)]
+            for s, d, x, no_s, no_d, no_x in zip(symbols, days, xs.tolist(), *nulls):
+                new.setdefault(None if no_s else s, []).append((None if no_d else d, None if no_x else x))
+        group, out = self._load(), []
+        for symbol, pairs in new.items():
+            pairs.sort(key=_by_day)
+            series = group.setdefault(symbol, _Series())
+            if self.reorder:
+                passed = series.mean.last
+                late = [r for r in pairs if r[0] is None or (passed is not None and r[0] <= passed)]
+                series.waiting += [r for r in pairs if not (r[0] is None or (passed is not None and r[0] <= passed))]
+                pairs = late
+            self._means(symbol, series, pairs, out)
+        self._save(group)
+        if out:
+            yield _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is None, r[1] or 0.0))
-        due = [tuple(r) for r in rows if _milliseconds(r[0]) <= now]
-        rest = [tuple(r) for r in rows if _milliseconds(r[0]) > now]
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(_milliseconds(rest[0][0]))
-        else:
-            self.waiting.clear()
-        if due:
-            yield self._means(key, due)
+        group, out = self._load(), []
+        for symbol, series in group.items():
+            due = [r for r in series.waiting if _milliseconds(r[0]) <= now]
+            if due:
+                series.waiting = [r for r in series.waiting if _milliseconds(r[0]) > now]
+                self._means(symbol, series, sorted(due, key=_by_day), out)
+        if out:
+            self._save(group)
+            yield _frame(out)
 
     def close(self) -> None:
         pass
 
 
+def _by_day(row: tuple[date | None, float | None]) -> tuple:
+    day, x = row
+    return day is None, day or date.min, x is None, x or 0.0
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["symbol", "date", "x", "ewm", "late"])
+
+
 def _milliseconds(day: date) -> int:
     return (day - date(1970, 1, 1)).days * 86_400_000
 
@@ -175,6 +210,8 @@ def _milliseconds(day: date) -> int:
 #: Days by which event times run ahead of the dates they stand for. Spark drops rows behind the
 #: watermark; so far ahead none is, while timers, which are set for the dates, follow the watermark.
 _AHEAD = 100 * 365
+#: Groups by which the series of a stream are kept: the keys of its state. The number is part of a checkpoint.
+SERIES_GROUPS = 4096
 
 
 def stream_ewm(series: DataFrame, alpha: float, min_periods: int = 1, delay_days: int | None = None) -> DataFrame:
@@ -190,6 +227,9 @@ def stream_ewm(series: DataFrame, alpha: float, min_periods: int = 1, delay_days
     a date and all but one of several rows of one day (the one of least x counts). A row waits in the
     state of its series, at most one per day of the delay. Needs the RocksDB state store; with
     ``delay_days`` the stream must have no watermark of its own.
+
+    Scale: series are kept in SERIES_GROUPS groups by a hash of their symbol, so that a batch calls the
+    state store once per group and not per series. A task holds the new and the waiting rows of one group.
     """
     schema = T.StructType.fromDDL("symbol string, date date, x double, ewm double, late boolean")
     rows = series.select("symbol", "date", coerce_numeric(F.col("x")).alias("x"))
@@ -197,7 +237,8 @@ def stream_ewm(series: DataFrame, alpha: float, min_periods: int = 1, delay_days
     if reorder:
         ahead = F.date_add("date", _AHEAD).cast("timestamp")
         rows = rows.withColumn("_clock", ahead).withWatermark("_clock", f"{_AHEAD + delay_days} days")
-    return rows.groupBy("symbol").transformWithStateInPandas(
+    rows = rows.withColumn("_group", F.pmod(F.xxhash64("symbol"), F.lit(SERIES_GROUPS)))
+    return rows.groupBy("_group").transformWithStateInPandas(
         statefulProcessor=_EwmState(alpha, min_periods, reorder),
         outputStructType=schema,
         outputMode="Append",

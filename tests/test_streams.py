@@ -7,6 +7,7 @@ import pytest
 
 from barloom.catalog.streams import _ewm_stream
 from barloom.operators.recurrence import span_alpha
+from barloom.streaming import jobs
 
 D0 = date(2024, 1, 1)
 
@@ -66,3 +67,22 @@ def test_without_a_delay_rows_are_used_as_they_come(spark, tmp_path):
     out = {r["date"]: r for r in _ewm_stream(str(tmp_path / "s"), [frame(spark, p) for p in parts]).collect()}
     assert [out[D0 + timedelta(k)]["late"] for k in range(4)] == [False, True, False, False]
     assert out[D0 + timedelta(3)]["ema_9"] == pytest.approx(mean_of([0.0, 2.0, 3.0], span_alpha(9))[-1])
+
+
+def test_series_share_a_key_of_the_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "SERIES_GROUPS", 2)
+    rng = random.Random(5)
+    rows = [(s, D0 + timedelta(k), None if rng.random() < 0.2 else rng.uniform(1, 9)) for s in (*"abcdefg", None) for k in range(12)]
+    rng.shuffle(rows)
+    rows.sort(key=lambda r: (r[1] - D0).days // 6)
+    parts = [rows[: len(rows) // 2], rows[len(rows) // 2 :]]
+    for delay in (None, 3):
+        out = _ewm_stream(str(tmp_path / f"s{delay}"), [frame(spark, p) for p in parts], delay_days=delay).collect()
+        got = {(r["symbol"], r["date"]): r for r in out}
+        last = D0 + timedelta(11 - (delay or 0))
+        assert len(got) == len(out) and set(got) == {r[:2] for r in rows if r[1] <= last} and not any(r["late"] for r in out)
+        for s in (*"abcdefg", None):
+            mine = sorted((r for r in rows if r[0] == s), key=lambda r: r[1])
+            for (_, d, _), y in zip(mine, mean_of([x for _, _, x in mine], span_alpha(9))):
+                if d <= last:
+                    assert got[s, d]["ema_9"] == (None if y is None else pytest.approx(y, rel=1e-12))
