@@ -6,7 +6,9 @@ matching headers and zipping records are DataFrame expressions.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -29,6 +31,19 @@ _ARROW_ROW = pa.struct(
 #: The td cells of a row ``r``.
 _DATA = "filter(r.cells, (c, i) -> get(r.is_data, i))"
 _NONE = "no data found|no record found"
+_TAGS = frozenset(("table", "thead", "tbody", "tfoot", "tr", "td", "th"))
+#: Elements whose content a parser may read as something else than markup.
+_RAW = frozenset(
+    ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext", "svg", "math")
+)
+_SPACE = r"[\t\n\r\f ]"
+_ATTRIBUTE = rf"""{_SPACE}+[a-zA-Z_][\w:.-]*(?:{_SPACE}*={_SPACE}*(?:"[^"<>]*"|'[^'<>]*'|[\w#%.,:;-]+))?"""
+#: A token of plain markup, its text, the names of an end and of a start tag, and the mark of a closed one.
+_TOKEN = re.compile(
+    rf"(([^<]+)|</([a-zA-Z][a-zA-Z0-9]*){_SPACE}*>|<([a-zA-Z][a-zA-Z0-9]*)(?:{_ATTRIBUTE})*(?:{_SPACE}*|{_SPACE}+(/))>"
+    r"|<!--[\w ]+-->|<![dD][oO][cC][tT][yY][pP][eE][\w ]*>)",
+    re.ASCII,
+)
 
 
 class _Table:
@@ -41,7 +56,7 @@ class _Table:
         self.cell: list[str] | None = None
 
 
-class _Tables(HTMLParser):
+class _Builder:
     """Collects the tables of a page as lists of rows.
 
     A row has its number in the table, its section (thead, tbody, tfoot or none), the number of its
@@ -50,11 +65,10 @@ class _Tables(HTMLParser):
     """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.tables: list[_Table] = []
         self.open: list[_Table] = []
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str) -> None:
         if tag == "table":
             self.open.append(_Table())
             self.tables.append(self.open[-1])
@@ -74,7 +88,7 @@ class _Tables(HTMLParser):
                 if table.row is not None:
                     table.row.append((cell, tag == "td"))
 
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         if not self.open:
             return
         if tag in ("td", "th"):
@@ -87,42 +101,97 @@ class _Tables(HTMLParser):
         elif tag == "table":
             self.open.pop()
 
-    def handle_data(self, data):
+    def data(self, data: str) -> None:
         for table in self.open:
             if table.cell is not None:
                 table.cell.append(data)
 
-    def _end_row(self):
+    def _end_row(self) -> None:
         self.open[-1].row = self.open[-1].cell = None
 
-    def found(self, tight: bool) -> list[list[dict]]:
-        text = (lambda c: "".join(t.strip() for t in c)) if tight else (lambda c: "".join(c).strip())
-        return [
-            [
-                {
-                    "row_no": i,
-                    "section": section,
-                    "n_data": sum(data for _, data in row),
-                    "cells": [text(cell) for cell, _ in row],
-                    "is_data": [data for _, data in row],
-                }
-                for i, (section, row) in enumerate(table.rows, 1)
-            ]
-            for table in self.tables
-        ]
+
+class _Parser(HTMLParser):
+    """Hands the tags and texts of any page to a builder."""
+
+    def __init__(self, builder: _Builder) -> None:
+        super().__init__(convert_charrefs=True)
+        self.builder = builder
+
+    def handle_starttag(self, tag, attrs):
+        self.builder.start(tag)
+
+    def handle_endtag(self, tag):
+        self.builder.end(tag)
+
+    def handle_data(self, data):
+        self.builder.data(data)
+
+
+def _plain_tokens(html: str) -> list[tuple[str, ...]] | None:
+    """The texts and tags of a page of plain markup; None for any other page.
+
+    Plain are texts, tags with well-formed attributes, comments and document types; elements whose
+    content is no markup, and whatever a parser has to mend, are not.
+    """
+    tokens = _TOKEN.findall(html)
+    if sum([len(t[0]) for t in tokens]) != len(html) or not _RAW.isdisjoint([t[3].lower() for t in tokens]):
+        return None
+    return tokens
+
+
+def _tables(html: str) -> list[_Table]:
+    builder = _Builder()
+    tokens = _plain_tokens(html)
+    if tokens is None:
+        parser = _Parser(builder)
+        parser.feed(html)
+        parser.close()
+        return builder.tables
+    for _, text, end, start, closed in tokens:
+        if text:
+            if builder.open:
+                builder.data(unescape(text) if "&" in text else text)
+        elif start:
+            tag = start.lower()
+            if tag in _TAGS:
+                builder.start(tag)
+                if closed:
+                    builder.end(tag)
+        elif end:
+            tag = end.lower()
+            if tag in _TAGS:
+                builder.end(tag)
+    return builder.tables
+
+
+def _rows_array(pages: list[list[_Table]], tight: bool) -> pa.Array:
+    """The tables of pages as one Arrow array, built from flat columns."""
+    per_page, per_table, per_row = [0], [0], [0]
+    row_no, sections, n_data, cells, is_data = [], [], [], [], []
+    for tables in pages:
+        for table in tables:
+            for i, (section, row) in enumerate(table.rows, 1):
+                row_no.append(i)
+                sections.append(section)
+                flags = [data for _, data in row]
+                n_data.append(sum(flags))
+                is_data += flags
+                cells += ["".join([t.strip() for t in c]) if tight else "".join(c).strip() for c, _ in row]
+                per_row.append(len(cells))
+            per_table.append(len(row_no))
+        per_page.append(len(per_table) - 1)
+    lists = [pa.ListArray.from_arrays(pa.array(per_row, pa.int32()), v) for v in (pa.array(cells, pa.string()), pa.array(is_data, pa.bool_()))]
+    columns = [pa.array(row_no, pa.int32()), pa.array(sections, pa.string()), pa.array(n_data, pa.int32()), *lists]
+    rows = pa.StructArray.from_arrays(columns, fields=list(_ARROW_ROW))
+    in_tables = pa.ListArray.from_arrays(pa.array(per_table, pa.int32()), rows)
+    return pa.ListArray.from_arrays(pa.array(per_page, pa.int32()), in_tables)
 
 
 def _parser(tight: bool):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for html in batch.column("html").to_pylist():
-                parser = _Tables()
-                parser.feed(html or "")
-                parser.close()
-                found.append(parser.found(tight))
-            tables = pa.array(found, type=pa.list_(pa.list_(_ARROW_ROW)))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), tables], ["page_id", "tables"])
+            found = [_tables(html) if html else [] for html in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), _rows_array(found, tight)], ["page_id", "tables"])
 
     return parse
 
@@ -135,7 +204,9 @@ def page_tables(pages: DataFrame, tight: bool = False) -> DataFrame:
     A page is one value already, so its tables stay together: everything that needs a whole
     page is an array expression, and no step shuffles.
     """
-    with_table = pages.where(F.col("html").rlike("(?i)<table")).select("page_id", "html")
+    # Not a filter: that would be moved before the html is built, which would then be built twice.
+    html = F.when(F.col("html").rlike("(?i)<table"), F.col("html"))
+    with_table = pages.select("page_id", html.alias("html"))
     return with_table.mapInArrow(_parser(tight), _SCHEMA).where("size(tables) > 0")
 
 
@@ -194,18 +265,21 @@ def extract_records(pages: DataFrame) -> DataFrame:
     Rows with fewer cells than the header are left out and extra cells are cut off; of equal
     headers the last one wins.
     """
-    rows = page_tables(pages).selectExpr(
+    first = page_tables(pages).selectExpr(
         "page_id",
         "get(get(tables, 0), 0).cells AS header",
-        "inline(transform(slice(get(tables, 0), 2, size(get(tables, 0))),"
-        f" r -> struct(r.row_no, {_DATA} AS cells)))",
+        "transform(slice(get(tables, 0), 2, size(get(tables, 0))),"
+        f" r -> struct(r.row_no, {_DATA} AS cells)) AS rows",
     )
-    data = keep_wellformed_rows(rows.where("size(cells) > 0 AND size(header) > 0"), at_least=True)
+    # Per page, so that a row carries the header's columns only, not its page's tables.
     last = F.filter(
         F.transform("header", lambda h, i: F.struct(h.alias("key"), i.alias("at"))),
         lambda e: ~F.array_contains(F.slice("header", e["at"] + 2, F.size("header")), e["key"]),
     )
-    record = F.map_from_entries(
-        F.transform(last, lambda e: F.struct(e["key"], F.element_at("cells", e["at"] + 1)))
+    headed = first.where("size(header) > 0").withColumn("last", last)
+    rows = headed.selectExpr("page_id", "header", "last", "inline(rows)").where("size(cells) > 0")
+    data = keep_wellformed_rows(rows, at_least=True)
+    record = F.map_from_arrays(
+        "last.key", F.transform("last.at", lambda at: F.element_at("cells", at + 1))
     )
     return data.select("page_id", "row_no", record.alias("record"))
