@@ -8,7 +8,8 @@ is exchanged small without leaving any out:
    windows with one anchor travel together, as a hash of their joint bytes; joint bytes equal to
    those of a smaller document settle all their windows.
 2. The windows left (their anchor occurs elsewhere among other bytes: the ends of common passages)
-   are sorted in every run, front-coded, and exchanged.
+   are sorted in every run, front-coded, and exchanged. Neighbouring windows that share the bytes
+   around their anchor go to one bucket, where their overlap compresses.
 3. Loser trees merge the sorted runs by their known common prefixes; neighbours with a common
    prefix of 50 bytes are equal.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,10 +37,21 @@ BLOCK, SORT = 1 << 18, 1 << 18
 #: Bytes of text per bucket of the exchanges. A run sends every bucket a row, so both sizes should
 #: grow with the executors' memory where the input is very large.
 BUCKET_BYTES = 8 << 20
+#: Step 1 goes by ranges of the anchors' keys, one after the other, so that the files of its exchange,
+#: the most disk that any step takes, hold one range at a time; each range reads the texts again.
+ROUNDS = 2
 #: Windows whose anchor lies this far inside, and the bytes left and right of the anchor that all
 #: of them hold: equal windows agree there.
 _ZONES = ((22, 31, 22, 0), (15, 22, 15, 9), (8, 15, 8, 16), (0, 8, 0, 23))
 
+#: Bits of a zone's print in the exchange: at least so many, and one more whenever the buckets double,
+#: as a common anchor then meets twice as many others; so the windows that are left open by chance stay
+#: a small share of all at any size.
+_LEAST_PRINT, _PRINT = 16, 32
+#: Bits of the number by which zones are dealt to buckets, and windows of one zone that stay together; the
+#: windows of a more common one are dealt on to as many buckets as that takes.
+_DEAL, _TOGETHER = 24, 1 << 14
+
 _FLAG, _ENTRY, _OPEN, _SORTED = 0, 1, 2, 3
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
@@ -54,6 +67,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _print_bits(buckets: int) -> int:
+    return min(max(_LEAST_PRINT, (buckets - 1).bit_length() + 9), _PRINT)
+
+
+def _has_zone(n: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Per run of windows and zone whether it has windows there."""
+    n, off = n[:, None].astype(np.int64), off[:, None].astype(np.int64)
+    least, most = np.array(_ZONES)[:, :2].T
+    return (off >= least) & (off - n + 1 < most)
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -76,13 +100,14 @@ class Hasher:
     def of(self, sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((sums[end] - sums[begin]) * self.inverse[begin])
 
-    def anchors(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    def anchors(self, data: np.ndarray, offsets: np.ndarray, turn: int = 0, rounds: int = 1) -> dict[str, np.ndarray]:
         """Runs of windows with one anchor: ``pos``, ``n`` (windows), ``off`` (of the anchor), ``key``,
         ``joint``, ``zones``, ``doc``.
 
-        ``joint`` is a hash of all bytes of the windows. ``zones`` holds 10 bits for the bytes that the
-        windows of each zone share around the anchor (0: no window there). ``offsets`` are the texts'
-        bounds in ``data``; no window crosses them.
+        ``joint`` is a hash of all bytes of the windows. ``zones`` has a print per zone of the bytes that its
+        windows share around the anchor (0: no window there). ``key`` has 48 bits, in the upper ones.
+        ``offsets`` are the texts' bounds in ``data``; no window crosses them. Of ``rounds`` equal ranges of
+        keys, the runs of the one numbered ``turn`` are returned.
         """
         size, gram = self.size, self.gram
         out: dict[str, list[np.ndarray]] = {k: [] for k in ("pos", "n", "off", "key", "joint", "zones", "doc")}
@@ -107,45 +132,48 @@ class Hasher:
             first = np.flatnonzero(new)
             pos, n = whole[first], np.diff(np.r_[first, len(whole)])
             anchor = at[pos]
+            # Least hashes crowd at the low end; mixed once more, they deal out evenly.
+            key = _mix(grams[anchor] + np.uint64(_BASE)) & ~np.uint64(0xFFFF)
+            if rounds > 1:
+                mine = np.flatnonzero((key >> np.uint64(32)) * np.uint64(rounds) >> np.uint64(32) == np.uint64(turn))
+                pos, n, anchor, key = pos[mine], n[mine], anchor[mine], key[mine]
             off = anchor - pos
             joint = self.of(sums, pos, pos + n - 1 + size)
             joint = _mix(joint + (n * 64 + off).astype(np.uint64))
-            zones = np.zeros(len(joint), np.uint64)
-            for z, (least_off, most_off, left, right) in enumerate(_ZONES):
-                has = (off >= least_off) & (off - n + 1 < most_off)
-                a = np.where(has, anchor - left, 0)
-                zone = self.of(sums, a, np.where(has, anchor + gram + right, 1)) >> np.uint64(54) | np.uint64(1)
-                zones |= np.where(has, zone, np.uint64(0)) << np.uint64(10 * z)
-            # Least hashes crowd at the low end; mixed once more, they deal out evenly.
-            key = _mix(grams[anchor] + np.uint64(_BASE))
+            zones, present = np.zeros((len(joint), len(_ZONES)), np.uint32), _has_zone(n, off)
+            for z, (_, _, left, right) in enumerate(_ZONES):
+                at_zone = np.flatnonzero(present[:, z])
+                a = anchor[at_zone] - left
+                zones[at_zone, z] = self.of(sums, a, a + left + gram + right) >> np.uint64(64 - _PRINT)
             found = {"pos": pos + begin, "n": n, "off": off, "key": key, "joint": joint, "zones": zones, "doc": doc[pos]}
             for k, v in found.items():
                 out[k].append(v.astype(np.int32) if k in ("n", "off", "doc") else v)
-        return {k: np.concatenate(v) if v else np.zeros(0, np.uint64 if k in ("key", "joint", "zones") else np.int64) for k, v in out.items()}
+        empty = {k: np.zeros(0, np.uint64) for k in ("key", "joint")} | {"zones": np.zeros((0, len(_ZONES)), np.uint32)}
+        return {k: np.concatenate(v) if v else empty.get(k, np.zeros(0, np.int64)) for k, v in out.items()}
 
 
 def pack(columns: dict[str, np.ndarray]) -> bytes:
-    """Integer columns of one length as compressed byte planes; a sorted ``key`` as differences."""
+    """Integer columns as compressed byte planes; a sorted ``key`` as differences."""
     import zstandard
 
     squeeze = zstandard.ZstdCompressor(level=1)
-    n = len(next(iter(columns.values())))
-    parts = [n.to_bytes(8, "little")]
+    parts = []
     for name, values in columns.items():
         values = np.ascontiguousarray(values).astype(np.uint64)
+        n = len(values)
         if name == "key" and n:
             values = np.r_[values[:1], values[1:] - values[:-1]]
         data = squeeze.compress(np.ascontiguousarray(values.view(np.uint8).reshape(n, 8).T).tobytes())
-        parts += [len(data).to_bytes(8, "little"), data]
+        parts += [n.to_bytes(4, "little"), len(data).to_bytes(4, "little"), data]
     return b"".join(parts)
 
 
 def unpack(data: bytes, names: list[str]) -> dict[str, np.ndarray]:
     import zstandard
 
-    n, at, out = int.from_bytes(data[:8], "little"), 8, {}
+    at, out = 0, {}
     for name in names:
-        size = int.from_bytes(data[at : at + 8], "little")
+        n, size = (int.from_bytes(data[at + k : at + k + 4], "little") for k in (0, 4))
         raw = zstandard.decompress(data[at + 8 : at + 8 + size], max_output_size=8 * n + 1)
         at += 8 + size
         values = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(np.uint64).reshape(n)
@@ -197,25 +225,25 @@ _FOUND = "file int, grp int, kind int, data binary"
 
 
 def _flags(pos: np.ndarray, n: np.ndarray, size: int) -> bytes:
-    """Windows as merged intervals."""
+    """Windows as merged intervals: begins (``key``) and lengths."""
     order = np.argsort(pos, kind="stable")
     begin, end = pos[order].astype(np.int64), (pos[order] + n[order] + (size - 1)).astype(np.int64)
     reach = np.maximum.accumulate(end)
     new = np.r_[True, begin[1:] > reach[:-1]]
     first = np.flatnonzero(new)
-    return pack({"begin": begin[first], "end": reach[np.r_[first[1:] - 1, len(end) - 1]]})
+    return pack({"key": begin[first], "length": reach[np.r_[first[1:] - 1, len(end) - 1]] - begin[first]})
 
 
-def _entries(paths: list[str], buckets: int, size: int, gram: int):
-    """Step 1, per run: anchors seen first here go to their bucket, later copies are flagged."""
+def _entries(paths: list[str], buckets: int, size: int, gram: int, turn: int = 0, rounds: int = 1):
+    """Step 1, per run and range of keys: anchors seen first here go to their bucket, later copies are flagged."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return_memory()
-        hasher = Hasher(size, gram)
+        hasher, unsent = Hasher(size, gram), np.uint32(_PRINT - _print_bits(buckets))
         for file in (f for b in batches for f in b["file"]):
             for group in range(_groups(paths[file])):
                 data, offsets, keys, _ = _read(paths[file], group)
-                found = hasher.anchors(data, offsets)
+                found = hasher.anchors(data, offsets, turn, rounds)
                 doc = keys[found["doc"]]
                 order = np.lexsort((doc, found["joint"], found["key"]))
                 key, joint, doc = found["key"][order], found["joint"][order], doc[order]
@@ -228,10 +256,12 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
                 key, joint, zones, doc, pos, n, off = (x[~late] for x in (key, joint, zones, doc, pos, n, off))
                 bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+                has = _has_zone(n, off)
                 for b in np.flatnonzero(np.diff(cuts)):
                     s = slice(cuts[b], cuts[b + 1])
+                    prints = zones[s][has[s]] >> unsent
                     blob = pack(
-                        {"key": key[s], "joint": joint[s], "zones": zones[s], "doc": doc[s], "pos": pos[s], "shape": n[s] * 64 + off[s]}
+                        {"key": key[s], "joint": joint[s], "doc": doc[s], "pos": pos[s], "shape": n[s] * 64 + off[s], "prints": prints}
                     )
                     rows.append((int(b), file, group, _ENTRY, blob))
                 yield pd.DataFrame(rows, columns=["bucket", "file", "grp", "kind", "data"])
@@ -242,7 +272,7 @@ def _entries(paths: list[str], buckets: int, size: int, gram: int):
 def _settle(size: int):
     """Step 1, per bucket: flags windows with equal joint bytes in a smaller document, and leaves
     open the zones that share the anchor and the bytes around it with another document."""
-    names = ["key", "joint", "zones", "doc", "pos", "shape"]
+    names = ["key", "joint", "doc", "pos", "shape", "prints"]
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         return_memory()
@@ -252,23 +282,30 @@ def _settle(size: int):
         if not parts:
             return pd.DataFrame(out, columns=["file", "grp", "kind", "data"])
         run = np.repeat(np.arange(len(runs), dtype=np.int32), [len(p["key"]) for p in parts])
-        key, joint, zones, doc, pos, shape = (np.concatenate([p.pop(k) for p in parts]) for k in names)
-        doc = doc.astype(np.int64)
+        key, joint, doc, pos, shape, prints = (np.concatenate([p.pop(k) for p in parts]) for k in names)
+        doc, pos, shape = doc.astype(np.int64), pos.astype(np.int64), shape.astype(np.int32)
+        present = _has_zone(shape >> 6, shape & 63)
+        zones = np.zeros(present.shape, np.uint32)
+        zones[present] = prints
+        del parts, prints
         order = np.lexsort((doc, joint, key))
-        key, joint, zones, doc = (x[order] for x in (key, joint, zones, doc))
-        pos, shape, run = (x[order] for x in (pos.astype(np.int64), shape.astype(np.int32), run))
+        key, joint, doc, pos, shape, run, zones, present = (x[order] for x in (key, joint, doc, pos, shape, run, zones, present))
         new_key, new = _starts(key), _starts(key, joint)
         least = _least(new, doc)
         late = doc > least
         n, off = shape >> 6, shape & 63
 
-        def emit(kind: int, at: np.ndarray, begin: np.ndarray, count: np.ndarray) -> None:
-            by_run = np.argsort(run[at], kind="stable")
+        def emit(kind: int, at: np.ndarray, begin: np.ndarray, count: np.ndarray, **more: np.ndarray) -> None:
+            by_run = np.lexsort((begin, run[at]))
             at, begin, count = at[by_run], begin[by_run], count[by_run]
+            more = {name: x[by_run] for name, x in more.items()}
             cuts = np.searchsorted(run[at], np.arange(len(runs) + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 s = slice(cuts[k], cuts[k + 1])
-                blob = _flags(begin[s], count[s], size) if kind == _FLAG else pack({"pos": begin[s], "n": count[s]})
+                if kind == _FLAG:
+                    blob = _flags(begin[s], count[s], size)
+                else:
+                    blob = pack({"key": begin[s], "n": count[s], **{name: x[s] for name, x in more.items()}})
                 out.append((*runs[k], kind, blob))
 
         at = np.flatnonzero(late)
@@ -279,19 +316,23 @@ def _settle(size: int):
         still = np.flatnonzero(several[np.cumsum(new_key) - 1] & ~late)
         # ... and so do the bytes that the windows of a zone share.
         for z, (least_off, most_off, _, _) in enumerate(_ZONES):
-            zone = zones[still] >> np.uint64(10 * z) & np.uint64(1023)
-            at, zone = still[zone > 0], zone[zone > 0]
+            at = still[present[still, z]]
             if not len(at):
                 continue
+            zone = zones[at, z]
             order = np.lexsort((zone, key[at]))
             at, zone = at[order], zone[order]
             group = _starts(key[at], zone)
             begin = np.flatnonzero(group)
             shared = np.minimum.reduceat(least[at], begin) < np.maximum.reduceat(least[at], begin)
-            at = at[shared[np.cumsum(group) - 1]]
             # Windows of the zone: the anchor's place in them falls from ``off`` by one each.
             skip = np.maximum(off[at] - most_off + 1, 0)
-            emit(_OPEN, at, pos[at] + skip, np.minimum(n[at], off[at] - least_off + 1) - skip)
+            count = np.minimum(n[at], off[at] - least_off + 1) - skip
+            # Equal windows have equal zones, so they are dealt to one bucket.
+            deal = _mix(key[at] ^ _mix(zone.astype(np.uint64) * np.uint64(len(_ZONES)) + np.uint64(z))) >> np.uint64(64 - _DEAL)
+            spread = 1 + np.add.reduceat(count.astype(np.int64), begin) // _TOGETHER
+            kept = shared[np.cumsum(group) - 1]
+            emit(_OPEN, at[kept], (pos[at] + skip)[kept], count[kept], deal=deal[kept], spread=spread[np.cumsum(group) - 1][kept])
         return pd.DataFrame(out, columns=["file", "grp", "kind", "data"])
 
     return settle
@@ -301,30 +342,44 @@ def _sort_open(paths: list[str], buckets: int, size: int, gram: int):
     """Step 2, per run: the open windows as sorted, front-coded strings by bucket."""
 
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
+        import zstandard
+
         return_memory()
+        squeeze = zstandard.ZstdCompressor(level=1)
         file, group = int(rows["file"].iloc[0]), int(rows["grp"].iloc[0])
         data, offsets, keys, _ = _read(paths[file], group)
-        parts = [unpack(d, ["pos", "n"]) for d in rows["data"]]
-        pos = np.concatenate([p["pos"] for p in parts]).astype(np.int64)
-        n = np.concatenate([p["n"] for p in parts]).astype(np.int64)
-        pos = np.repeat(pos - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pos.sort()
-        hasher, hashes = Hasher(size, gram), np.zeros(len(pos), np.uint64)
-        for begin in range(0, len(data), BLOCK):
-            lo, hi = np.searchsorted(pos, (begin, begin + BLOCK))
-            if lo < hi:
-                at = pos[lo:hi] - begin
-                hashes[lo:hi] = hasher.of(hasher.sums(data[begin : begin + BLOCK + size - 1]), at, at + size)
+        names = ["key", "n", "deal", "spread"]
+        parts = [unpack(d, names) for d in rows["data"]]
+        begin, n, deal, spread = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in names)
+        by_place = np.argsort(begin)
+        begin, n, deal, spread = (x[by_place] for x in (begin, n, deal, spread))
+        pos = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        at_bucket, spread = np.repeat(deal * buckets >> _DEAL, n), np.repeat(spread, n)
+        if len(common := np.flatnonzero(spread > 1)):
+            hasher, at = Hasher(size, gram), pos[common]
+            hashes = np.zeros(len(at), np.uint64)
+            for first in range(0, len(data), BLOCK):
+                lo, hi = np.searchsorted(at, (first, first + BLOCK))
+                if lo < hi:
+                    sums = hasher.sums(data[first : first + BLOCK + size - 1])
+                    hashes[lo:hi] = hasher.of(sums, at[lo:hi] - first, at[lo:hi] - first + size)
+            on = (_mix(hashes) % spread[common].astype(np.uint64)).astype(np.int64)
+            at_bucket[common] = (at_bucket[common] + on) % buckets
+        # Windows by bucket, and by place within it.
+        order = np.argsort(at_bucket, kind="stable")
+        at_bucket, pos = at_bucket[order], pos[order]
         doc = keys[np.searchsorted(offsets, pos, "right") - 1]
         windows = np.lib.stride_tricks.sliding_window_view(data, size)
-        slices = -(-len(pos) // SORT)
-        share, out = _mix(hashes) % np.uint64(slices), []
-        for k in range(slices):
-            w = np.flatnonzero(share == k)
+        # Whole buckets of about SORT windows at a time.
+        ends = np.flatnonzero(np.r_[at_bucket[1:] != at_bucket[:-1], True]) + 1
+        ends = ends[np.r_[ends[1:] // SORT != ends[:-1] // SORT, True]]
+        out = []
+        for start, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            w = np.arange(start, end)
             strings = np.empty((len(w), size + 1), np.uint8)
             strings[:, :size], strings[:, size] = windows[pos[w]], 1  # the last byte keeps zero bytes from being trimmed
             # By bucket, then string, then document.
-            bucket = (hashes[w] % np.uint64(buckets)).astype(np.int64)
+            bucket = at_bucket[w]
             order = np.lexsort((doc[w], strings.view(f"S{size + 1}").ravel(), bucket))
             w, strings, bucket = w[order], strings[order], bucket[order]
             same = np.r_[False, (strings[1:] == strings[:-1]).all(axis=1)]
@@ -333,12 +388,14 @@ def _sort_open(paths: list[str], buckets: int, size: int, gram: int):
             if late.any():
                 out.append((file % buckets, file, group, _FLAG, _flags(pos[w[late]], np.ones(late.sum(), np.int64), size)))
             w, strings, bucket = w[~late], strings[~late], bucket[~late]
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cuts)):
-                s = slice(cuts[b], cuts[b + 1])
-                common, rest = front_code(strings[s, :size])
-                head = pack({"common": common, "doc": doc[w[s]], "pos": pos[w[s]]})
-                out.append((int(b), file, group, _SORTED, len(head).to_bytes(8, "little") + head + rest))
+            new = np.flatnonzero(_starts(bucket))
+            for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(bucket)]):
+                common, rest = front_code(strings[lo:hi, :size])
+                placed = np.sort(w[lo:hi])
+                head = pack(
+                    {"common": common, "place": np.searchsorted(placed, w[lo:hi]), "key": pos[placed], "doc": doc[placed]}
+                )
+                out.append((int(bucket[lo]), file, group, _SORTED, len(head).to_bytes(8, "little") + head + squeeze.compress(rest)))
         return pd.DataFrame(out, columns=["bucket", "file", "grp", "kind", "data"])
 
     return sort
@@ -348,14 +405,18 @@ def _merge_bucket(size: int):
     """Step 3, per bucket: merges the runs and flags strings that a smaller document holds."""
 
     def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        import zstandard
+
         return_memory()
         out = [(r.file, r.grp, _FLAG, r.data) for r in rows.itertuples() if r.kind == _FLAG]
         runs = [r for r in rows.itertuples() if r.kind == _SORTED]
         heads, rests = [], []
         for r in runs:
             n = int.from_bytes(r.data[:8], "little")
-            heads.append(unpack(r.data[8 : 8 + n], ["common", "doc", "pos"]))
-            rests.append(r.data[8 + n :])
+            head = unpack(r.data[8 : 8 + n], ["common", "place", "key", "doc"])
+            place = head.pop("place").astype(np.int64)
+            heads.append({"common": head["common"], "doc": head["doc"][place], "pos": head["key"][place]})
+            rests.append(zstandard.decompress(r.data[8 + n :], max_output_size=size * len(place) + 1))
         docs = [h["doc"].astype(np.int64).tolist() for h in heads]
         late: list[list[int]] = [[] for _ in runs]
         equal: list[tuple[int, int]] = []
@@ -397,9 +458,9 @@ def _cut(paths: list[str], content: bool):
             data, offsets, keys, null = _read(paths[file], group)
             edge = np.zeros(len(data) + 1, np.int32)
             for blob in flagged.get(group, []):
-                spans = unpack(blob, ["begin", "end"])
-                np.add.at(edge, spans["begin"].astype(np.int64), 1)
-                np.add.at(edge, spans["end"].astype(np.int64), -1)
+                spans = unpack(blob, ["key", "length"])
+                np.add.at(edge, spans["key"].astype(np.int64), 1)
+                np.add.at(edge, (spans["key"] + spans["length"]).astype(np.int64), -1)
             gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
             total = np.concatenate((np.zeros(1, np.int32), np.cumsum(gone, dtype=np.int32)))
             removed = total[offsets[1:]] - total[offsets[:-1]]
@@ -470,8 +531,11 @@ def remove_repeats(
     total = stored.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     files = spark.createDataFrame([(i,) for i in range(len(paths))], "file int").repartition(max(len(paths), 1), "file")
-    entries = files.mapInPandas(_entries(paths, buckets, size, gram), _ROW)
-    first = written(entries.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_settle(size), _FOUND), "settled")
+    settled = []
+    for turn in range(ROUNDS):
+        entries = files.mapInPandas(_entries(paths, buckets, size, gram, turn, ROUNDS), _ROW).repartition(-(-buckets // ROUNDS), "bucket")
+        settled.append(written(entries.groupBy("bucket").applyInPandas(_settle(size), _FOUND), "settled"))
+    first = reduce(DataFrame.unionByName, settled)
     runs = first.where(F.col("kind") == _OPEN).groupBy("file", "grp").applyInPandas(_sort_open(paths, buckets, size, gram), _ROW)
     second = runs.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge_bucket(size), _FOUND)
     flags = first.where(F.col("kind") == _FLAG).unionByName(second).select("file", "grp", "data")
